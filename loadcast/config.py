@@ -33,6 +33,7 @@ class ForecastConfig:
     already_vintaged: bool = False
     compact_output: bool = False
     oof_output_only: bool = False
+    parallel_fits: int = 2
 
     def validate(self) -> ForecastConfig:
         positive = {

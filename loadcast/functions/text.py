@@ -14,56 +14,69 @@ _NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 # Texts that stand for a missing value.
 NULL_TEXTS = ["", "nan", "None", "<NA>"]
 
-DATE_FORMATS = ["dd.MM.yyyy", "dd.MM.yyyy HH:mm", "dd.MM.yyyy HH:mm:ss", "yyyy/MM/dd", "yyyy/MM/dd HH:mm:ss"]
+# Date layouts tried after ISO, each behind the shape it needs so that hopeless texts are never handed to a parser.
+DATE_FORMATS = {
+    "dd.MM.yyyy": r"^\d{2}\.\d{2}\.\d{4}$",
+    "dd.MM.yyyy HH:mm": r"^\d{2}\.\d{2}\.\d{4} \d{2}:\d{2}$",
+    "dd.MM.yyyy HH:mm:ss": r"^\d{2}\.\d{2}\.\d{4} \d{2}:\d{2}:\d{2}$",
+    "yyyy/MM/dd": r"^\d{4}/\d{2}/\d{2}$",
+    "yyyy/MM/dd HH:mm:ss": r"^\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}$",
+}
 
 
-def _fold_table() -> tuple[str, str, dict[str, str]]:
-    """Characters whose compatibility decomposition is plain ASCII letters or digits.
+def _fold_table() -> tuple[dict[str, str], dict[str, str]]:
+    """Characters whose compatibility decomposition is plain ASCII letters or digits, in lower case.
 
-    One-character results go to `translate`; the few longer ones (ligatures, fractions) to a replace chain.
+    One-character results can go to `translate`; the few longer ones (ligatures, fractions) are kept apart.
     """
-    single = {"Ł": "L", "ł": "l"}
+    single = {"Ł": "l", "ł": "l"}
     longer: dict[str, str] = {}
     for code in range(0x80, 0x10000):
         if 0xD800 <= code <= 0xDFFF:
             continue
         char = chr(code)
-        flat = "".join(c for c in unicodedata.normalize("NFKD", char) if c.isascii() and c.isalnum())
+        flat = "".join(c for c in unicodedata.normalize("NFKD", char) if c.isascii() and c.isalnum()).lower()
         if len(flat) == 1:
             single.setdefault(char, flat)
         elif len(flat) > 1:
             longer[char] = flat
-    return "".join(single), "".join(single.values()), longer
+    return single, longer
 
 
-_FROM, _TO, _LONG = _fold_table()
+_SINGLE, _LONG = _fold_table()
+_UPPER = "".join(chr(c) for c in range(ord("A"), ord("Z") + 1))
+_DROP = "".join(chr(c) for c in range(1, 128) if not chr(c).isalnum())
+_ASCII_FROM, _ASCII_TO = _UPPER + _DROP, _UPPER.lower()
+_FROM, _TO = _UPPER + "".join(_SINGLE) + _DROP, _UPPER.lower() + "".join(_SINGLE.values())
+_LONG_CHARS = "".join(_LONG)
 
 
-def _fold_case(c: Column) -> Column:
-    return F.lower(F.regexp_replace(F.translate(c, _FROM, _TO), "[^a-zA-Z0-9]+", ""))
+def _is_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.char_length(c)
+
+
+def _fold(c: Column) -> Column:
+    """Fold and drop by character table; only text that still holds other scripts needs the regular expression."""
+    short = F.translate(c, _FROM, _TO)
+    return F.when(_is_ascii(short), short).otherwise(F.regexp_replace(short, "[^a-z0-9]+", ""))
 
 
 def token(c: Column) -> Column:
     """Case-, accent- and punctuation-free key; NULL stays NULL.
 
-    ASCII text takes the short branch. Texts with characters that unfold to several letters are split so that
-    only those characters are looked up.
+    ASCII text takes a 26-letter table. Other text is folded, and only text with characters that unfold to several
+    letters is split to look those up.
     """
-    unfold = F.array_join(
-        F.transform(
-            F.split(c, ""),
-            lambda ch: F.coalesce(F.try_element_at(_long_map(), ch), ch),
-        ),
-        "",
+    table = F.str_to_map(
+        F.lit("\x01".join(f"{k}\x02{v}" for k, v in _LONG.items())), F.lit("\x01"), F.lit("\x02")
+    )
+    unfolded = F.array_join(F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), ch)), "")
+    has_long = F.char_length(F.translate(c, _LONG_CHARS, "")) < F.char_length(c)
+    return (
+        F.when(_is_ascii(c), F.translate(c, _ASCII_FROM, _ASCII_TO))
+        .when(has_long, _fold(unfolded))
+        .otherwise(_fold(c))
     )
-    return F.when(c.rlike(_LONG_CLASS), _fold_case(unfold)).otherwise(_fold_case(c))
-
-
-def _long_map() -> Column:
-    return F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in _LONG.items())), F.lit("\x01"), F.lit("\x02"))
-
-
-_LONG_CLASS = "[" + "".join(f"\\u{ord(c):04x}" for c in _LONG) + "]"
 
 
 def py_token(value: object) -> str:
@@ -88,21 +101,23 @@ def first_int(c: Column) -> Column:
     return F.nullif(F.regexp_extract(c.cast("string"), r"(\d+)", 1), F.lit("")).try_cast("int")
 
 
-def to_local(c: Column, formats: list[str] | None = None) -> Column:
+def to_local(c: Column, formats: dict[str, str] | None = None) -> Column:
     """Wall-clock timestamp from ISO text or one of `formats`; unreadable text becomes NULL."""
     text = F.trim(c.cast("string"))
     tries = [text.try_cast("timestamp_ntz")]
-    tries += [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in (formats or DATE_FORMATS)]
+    for layout, shape in (formats or DATE_FORMATS).items():
+        tries.append(F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(layout))).cast("timestamp_ntz"))
     return F.coalesce(*tries)
 
 
-def to_day(c: Column, formats: list[str] | None = None) -> Column:
+def to_day(c: Column, formats: dict[str, str] | None = None) -> Column:
     return to_local(c, formats).cast("date")
 
 
-def to_instant(c: Column, formats: list[str] | None = None) -> Column:
+def to_instant(c: Column, formats: dict[str, str] | None = None) -> Column:
     """UTC instant; text without an offset is read as UTC."""
     text = F.trim(c.cast("string"))
     tries = [text.try_cast("timestamp")]
-    tries += [F.try_to_timestamp(text, F.lit(f)) for f in (formats or DATE_FORMATS)]
+    for layout, shape in (formats or DATE_FORMATS).items():
+        tries.append(F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(layout))))
     return F.coalesce(*tries)
