@@ -45,7 +45,7 @@ def _fold_table() -> tuple[dict[str, str], dict[str, str]]:
 
 _SINGLE, _LONG = _fold_table()
 _UPPER = "".join(chr(c) for c in range(ord("A"), ord("Z") + 1))
-_DROP = "".join(chr(c) for c in range(1, 128) if not chr(c).isalnum())
+_DROP = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 _ASCII_FROM, _ASCII_TO = _UPPER + _DROP, _UPPER.lower()
 _FROM, _TO = _UPPER + "".join(_SINGLE) + _DROP, _UPPER.lower() + "".join(_SINGLE.values())
 _LONG_CHARS = "".join(_LONG)
@@ -90,19 +90,37 @@ def clean_text(c: Column) -> Column:
     return F.when(~text.isin(NULL_TEXTS), text)
 
 
-def number(c: Column) -> Column:
-    """Locale-tolerant number: blanks and NBSP dropped, decimal comma accepted, anything else NULL (never NaN)."""
+_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+
+
+def number(c: Column, dtype: str = "string") -> Column:
+    """Locale-tolerant number: blanks and NBSP dropped, decimal comma accepted, anything else NULL (never NaN).
+
+    `dtype` is the column's Spark type; numbers that are numbers already are only cast.
+    """
+    if dtype.startswith(_NUMERIC):
+        plain = c.cast("double")
+        return F.when(~F.isnan(plain), plain)
     text = F.regexp_replace(F.regexp_replace(c.cast("string"), "[\\u00a0 ]", ""), ",", ".")
     return F.when(text.rlike(_NUMBER), F.trim(text).try_cast("double"))
 
 
-def first_int(c: Column) -> Column:
+def first_int(c: Column, dtype: str = "string") -> Column:
     """First run of digits, e.g. an hour written as '8', '8.0' or 'H08'."""
+    if dtype in ("tinyint", "smallint", "int", "bigint"):
+        return F.abs(c).try_cast("int")
     return F.nullif(F.regexp_extract(c.cast("string"), r"(\d+)", 1), F.lit("")).try_cast("int")
 
 
-def to_local(c: Column, formats: dict[str, str] | None = None) -> Column:
-    """Wall-clock timestamp from ISO text or one of `formats`; unreadable text becomes NULL."""
+def to_local(c: Column, dtype: str = "string", formats: dict[str, str] | None = None) -> Column:
+    """Wall-clock timestamp from ISO text or one of `formats`; unreadable text becomes NULL.
+
+    Typed columns are only cast, so that a filter on them still reaches the file scan.
+    """
+    if dtype == "timestamp_ntz":
+        return c
+    if dtype in ("date", "timestamp"):
+        return c.cast("timestamp_ntz")
     text = F.trim(c.cast("string"))
     tries = [text.try_cast("timestamp_ntz")]
     for layout, shape in (formats or DATE_FORMATS).items():
@@ -110,12 +128,16 @@ def to_local(c: Column, formats: dict[str, str] | None = None) -> Column:
     return F.coalesce(*tries)
 
 
-def to_day(c: Column, formats: dict[str, str] | None = None) -> Column:
-    return to_local(c, formats).cast("date")
+def to_day(c: Column, dtype: str = "string", formats: dict[str, str] | None = None) -> Column:
+    return c if dtype == "date" else to_local(c, dtype, formats).cast("date")
 
 
-def to_instant(c: Column, formats: dict[str, str] | None = None) -> Column:
+def to_instant(c: Column, dtype: str = "string", formats: dict[str, str] | None = None) -> Column:
     """UTC instant; text without an offset is read as UTC."""
+    if dtype == "timestamp":
+        return c
+    if dtype in ("date", "timestamp_ntz"):
+        return c.cast("timestamp")
     text = F.trim(c.cast("string"))
     tries = [text.try_cast("timestamp")]
     for layout, shape in (formats or DATE_FORMATS).items():

@@ -49,13 +49,14 @@ def lookup_point(df: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def type_energy(raw: DataFrame) -> DataFrame:
+    types = dict(raw.dtypes)
     return raw.withColumns(
         {
             **{c: T.clean_text(F.col(c)) for c in ("branch_code", "group_name", "client", "direction_text", "kind")},
-            "actual": T.number(F.col("actual")),
-            "direction_code": T.number(F.col("direction_code")),
-            "trade_hour": T.first_int(F.col("trade_hour")),
-            "trade_date": T.to_day(F.col("trade_date")),
+            "actual": T.number(F.col("actual"), types["actual"]),
+            "direction_code": T.number(F.col("direction_code"), types["direction_code"]),
+            "trade_hour": T.first_int(F.col("trade_hour"), types["trade_hour"]),
+            "trade_date": T.to_day(F.col("trade_date"), types["trade_date"]),
         }
     )
 

@@ -33,19 +33,21 @@ def type_weather(raw: DataFrame, already_vintaged: bool = False) -> tuple[DataFr
         raise ValueError("weather lacks the issue time; without it a backtest could see the future")
     explicit = {"w_trade_date", "w_trade_hour"} <= have
 
+    types = dict(df.dtypes)
+
     def typed(name: str, make, kind: str) -> Column:
-        return (make(F.col(name)) if name in have else F.lit(None).cast(kind)).alias(name)
+        return (make(F.col(name), types[name]) if name in have else F.lit(None).cast(kind)).alias(name)
 
-    local = T.to_local(F.col("w_valid_local"))
+    local = T.to_local(F.col("w_valid_local"), types["w_valid_local"])
     columns = [
         T.clean_text(F.col("point")).alias("point"),
-        typed("exec_id", lambda c: c, "string"),
+        typed("exec_id", lambda c, _: c, "string"),
         local.alias("w_valid_local"),
         typed("w_valid_utc", T.to_instant, "timestamp"),
         typed("issue_local", T.to_local, "timestamp_ntz"),
         typed("issue_utc", T.to_instant, "timestamp"),
-        (T.to_day(F.col("w_trade_date")) if "w_trade_date" in have else local.cast("date")).alias("w_trade_date"),
-        (T.first_int(F.col("w_trade_hour")) if "w_trade_hour" in have else F.hour(local) + 1).alias("w_trade_hour"),
+        typed("w_trade_date", T.to_day, "date") if "w_trade_date" in have else local.cast("date").alias("w_trade_date"),
+        typed("w_trade_hour", T.first_int, "int") if "w_trade_hour" in have else (F.hour(local) + 1).alias("w_trade_hour"),
         *[typed(f, T.number, "double") for f in N.WEATHER_FEATURES],
         (F.col("src_order") if "src_order" in have else F.monotonically_increasing_id()).alias("src_order"),
     ]

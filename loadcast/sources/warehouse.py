@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadcast import names as N
-from loadcast.functions.text import to_local
+from loadcast.functions.text import to_day
 from loadcast.functions.times import hours, lead_hours_by_minute
 from loadcast.operators.vintage import newest_per_key
 from loadcast.sources.scan import rename_by_alias
@@ -102,7 +102,7 @@ def infer_date_range(
     """
     low = high = None
     if valid_from is None or valid_to is None:
-        day = energy.select(to_local(F.col("trade_date")).cast("date").alias("d"))
+        day = energy.select(to_day(F.col("trade_date"), dict(energy.dtypes)["trade_date"]).alias("d"))
         low, high = day.agg(F.min("d"), F.max("d")).first()
         if low is None:
             raise ValueError("no readable trade_date: give valid_from and valid_to")
