@@ -31,7 +31,7 @@ def series_key(columns: list[str] | None = None) -> Column:
 
 
 def _present(columns: list[str]) -> Column:
-    return F.filter(F.array(*[F.col(c) for c in columns]), lambda x: x.isNotNull())
+    return F.array_compact(F.array(*columns))
 
 
 def array_mean(values: Column) -> Column:
@@ -116,7 +116,4 @@ def weather_features() -> dict[str, Column]:
 
 
 def feature_count() -> Column:
-    total = F.lit(0)
-    for name in N.WEATHER_FEATURES:
-        total = total + F.col(name).isNotNull().cast("int")
-    return total
+    return F.expr(" + ".join(f"int({name} is not null)" for name in N.WEATHER_FEATURES))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadcast.functions.rowwise import clip
@@ -35,22 +35,30 @@ def fill_baseline(
     """`baseline`, else the first median found from the narrowest level outwards, else 0; never below 0.
 
     A genuine 0 is a value. Only rows without a baseline are joined; all others pass straight through, so the wide
-    table is not shuffled for the few that need help.
+    table is not shuffled for the few that need help. The levels are resolved per distinct key combination first.
     """
     scope = scope or []
+    keys = list(dict.fromkeys([*scope, *(c for level in levels for c in level)]))
     kept = rows.filter(F.col("baseline").isNotNull()).withColumn(out, clip(F.col("baseline"), low=0.0))
     need = rows.filter(F.col("baseline").isNull())
-    found = []
+    found = _resolve(need.select(*keys).distinct(), medians, scope, keys, levels)
+    found = found.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_found")
+    filled = need.join(found, _same(keys), "left").drop(*[f"_k_{k}" for k in keys])
+    value = clip(F.coalesce(F.col("_found"), F.lit(0.0)), low=0.0)
+    return kept.unionByName(filled.withColumn(out, value).drop("_found"))
+
+
+def _same(keys: list[str]) -> Column:
+    return F.expr(" and ".join(f"{k} <=> _k_{k}" for k in keys))
+
+
+def _resolve(combos: DataFrame, medians: DataFrame, scope: list[str], keys: list[str], levels) -> DataFrame:
+    """Median of the narrowest level that has one, per key combination. Keys a level ignores are NULL on both sides."""
+    variants = []
     for number, level in enumerate(levels):
-        keys = [*scope, *level]
-        table = medians.filter(F.col("level") == number).select(
-            *[F.col(k).alias(f"_{number}_{k}") for k in keys], F.col("median").alias(f"_m{number}")
-        )
-        if keys:
-            condition = [F.col(k).eqNullSafe(F.col(f"_{number}_{k}")) for k in keys]
-            need = need.join(table, condition, "left").drop(*[f"_{number}_{k}" for k in keys])
-        else:
-            need = need.join(F.broadcast(table.agg(F.max(f"_m{number}").alias(f"_m{number}"))))
-        found.append(f"_m{number}")
-    value = F.coalesce(*[F.col(c) for c in found], F.lit(0.0))
-    return kept.unionByName(need.withColumn(out, clip(value, low=0.0)).drop(*found))
+        values = [f"'_v_{k}', {k if k in scope or k in level else f'nullif({k}, {k})'}" for k in keys]
+        variants.append(f"named_struct('_level', {number}, {', '.join(values)})")
+    wanted = combos.select(*keys, F.expr(f"inline(array({', '.join(variants)}))"))
+    side = medians.selectExpr("level as _m_level", *[f"{k} as _m_{k}" for k in keys], "median as _median")
+    match = F.expr(" and ".join(["_level = _m_level", *[f"_v_{k} <=> _m_{k}" for k in keys]]))
+    return wanted.join(side, match).groupBy(*keys).agg(F.min_by("_median", "_level").alias("_found"))

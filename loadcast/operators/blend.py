@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadcast import names as N
-from loadcast.functions.rowwise import blend, clip
+from loadcast.functions.rowwise import clip
 
 
 def alpha_steps(grid_steps: int) -> list[float]:
@@ -31,15 +31,15 @@ def alpha_grid(
     """
     rows = df.filter(finite("actual", baseline, correction))
     alphas = alpha_steps(grid_steps)
-    actual, base, corr = F.col("actual"), F.col(baseline), F.col(correction)
-    grid = [F.avg(F.abs(blend(base, corr, a) - actual)).alias(f"_a{i}") for i, a in enumerate(alphas)]
-    wide = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(F.abs(clip(base, low=0.0) - actual)).alias("baseline_mae"), *grid
-    )
-    cells = F.array(
-        *[F.struct(F.lit(a).alias("alpha"), F.col(f"_a{i}").alias("mae")) for i, a in enumerate(alphas)]
-    )
-    return wide.select(*keys, "n", "baseline_mae", F.inline(cells))
+    # Both inputs are finite here, so greatest() is a plain clip at zero.
+    grid = [
+        F.expr(f"avg(abs(greatest({baseline} + {a!r}D * {correction}, 0D) - actual)) as _a{i}")
+        for i, a in enumerate(alphas)
+    ]
+    base_mae = F.expr(f"avg(abs(greatest({baseline}, 0D) - actual)) as baseline_mae")
+    wide = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), base_mae, *grid)
+    cells = ", ".join(f"named_struct('alpha', {a!r}D, 'mae', _a{i})" for i, a in enumerate(alphas))
+    return wide.select(*keys, "n", "baseline_mae", F.expr(f"inline(array({cells}))"))
 
 
 def select_alpha(

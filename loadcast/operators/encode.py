@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FOLDS = 5
+ALL_ROWS = -1
 
 
 def row_fold(row_key: list[str], seed: int = 42, folds: int = FOLDS) -> Column:
@@ -30,7 +31,7 @@ def target_cells(df: DataFrame, categories: list[str], target: str, fold: Column
 
 
 def _category_totals(cells: DataFrame, categories: list[str], folds: int) -> DataFrame:
-    """Long per-fold encodings: feature, value, fold, enc. `fold` -1 is the encoding from all rows; every other
+    """Long per-fold encodings: feature, value, fold, enc. `fold` ALL_ROWS is the encoding from all rows; every other
     fold's encoding comes from the rows outside that fold. Categories unseen outside a fold take the overall mean."""
     long = cells.select(
         "fold",
@@ -39,29 +40,30 @@ def _category_totals(cells: DataFrame, categories: list[str], folds: int) -> Dat
         "q",
         F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in categories])).alias("t"),
     ).select("fold", "n", "s", "q", "t.*")
-    per_value = long.groupBy("feature", "value").agg(
-        *[F.sum(c).alias(f"all_{c}") for c in ("n", "s", "q")],
-        *[F.sum(F.when(F.col("fold") == k, F.col(c)).otherwise(0)).alias(f"{c}{k}") for k in range(folds) for c in ("n", "s", "q")],
-    )
-    overall = cells.agg(
-        *[F.sum(c).alias(f"sum_{c}") for c in ("n", "s", "q")],
-        *[F.sum(F.when(F.col("fold") == k, F.col(c)).otherwise(0)).alias(f"sum_{c}{k}") for k in range(folds) for c in ("n", "s", "q")],
-    )
+    sums = ["n", "s", "q"]
+    per_value = long.groupBy("feature", "value").agg(*_sums_outside(sums, folds, ""))
+    overall = cells.agg(*_sums_outside(sums, folds, "all_"))
     joined = per_value.join(F.broadcast(overall))
-
-    def encoding(k: int) -> Column:
-        minus = (lambda c: F.lit(0.0)) if k < 0 else (lambda c: F.col(f"{c}{k}"))
-        minus_all = (lambda c: F.lit(0.0)) if k < 0 else (lambda c: F.col(f"sum_{c}{k}"))
-        parts = [F.col(f"all_{c}") - minus(c) for c in ("n", "s", "q")]
-        wholes = [F.col(f"sum_{c}") - minus_all(c) for c in ("n", "s", "q")]
-        return _shrunk(*parts, *wholes)
-
     variants = F.array(
-        *[F.struct(F.lit(k).alias("fold"), encoding(k).alias("enc")) for k in [-1, *range(folds)]]
+        *[
+            F.struct(
+                F.lit(k).alias("fold"),
+                _shrunk(*[F.col(f"{prefix}{c}_{k}") for prefix in ("", "all_") for c in sums]).alias("enc"),
+            )
+            for k in [ALL_ROWS, *range(folds)]
+        ]
     )
     return joined.select("feature", "value", F.inline(variants))
 
 
+def _sums_outside(sums: list[str], folds: int, prefix: str) -> list[Column]:
+    """Each sum over all rows and over the rows outside every fold."""
+    everything = [F.expr(f"cast(sum({c}) as double) as `{prefix}{c}_{ALL_ROWS}`") for c in sums]
+    return everything + [
+        F.expr(f"cast(sum(if(fold = {k}, 0, {c})) as double) as `{prefix}{c}_{k}`") for k in range(folds) for c in sums
+    ]
+
+
 def encoding_table(cells: DataFrame, categories: list[str], folds: int = FOLDS) -> DataFrame:
     return _category_totals(cells, categories, folds)
 
@@ -75,21 +77,23 @@ def apply_encoding(
 ) -> DataFrame:
     """Adds `<category>_enc`. Without `fold` the all-rows encodings apply, with it the out-of-fold ones.
 
-    Encodings are looked up once per distinct category combination (as many as there are series), and the wide rows
-    are joined a single time instead of once per category.
+    Encodings are looked up once per distinct category combination (as many as there are series), all categories in
+    one join, and the wide rows are joined a single time.
     """
     tag = "_fold"
-    keyed = df.withColumn(tag, F.lit(-1) if fold is None else fold)
+    keyed = df.withColumn(tag, F.lit(ALL_ROWS) if fold is None else fold)
     combos = keyed.select(*categories, tag).distinct()
-    for c in categories:
-        side = encodings.filter(F.col("feature") == c).select(
-            F.col("value").alias(c), F.col("fold").alias(tag), F.col("enc").alias(f"{c}_enc")
-        )
-        combos = combos.join(side, [c, tag], "left")
-    combos = combos.select(
-        *categories, tag, *[F.coalesce(F.col(f"{c}_enc"), F.lit(float(default))).alias(f"{c}_enc") for c in categories]
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in categories])
+    wanted = combos.select(*categories, tag, F.inline(pairs))
+    side = encodings.select("feature", "value", F.col("fold").alias(tag), "enc")
+    found = wanted.join(side, ["feature", "value", tag], "left")
+    table = found.groupBy(*categories, tag).agg(
+        *[
+            F.coalesce(F.max(F.when(F.col("feature") == c, F.col("enc"))), F.lit(float(default))).alias(f"{c}_enc")
+            for c in categories
+        ]
     )
-    return keyed.join(combos, [*categories, tag], "left").drop(tag)
+    return keyed.join(table, [*categories, tag], "left").drop(tag)
 
 
 def crossfit_encode(
@@ -114,7 +118,8 @@ def impute_with_indicator(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def raw_inputs(categories: list[str], numeric: list[str]) -> Column:
     """All model inputs of a row as array<double>: encoded categories, then numeric features with NULLs."""
-    return F.array(*[F.col(f"{c}_enc") for c in categories], *[F.col(c).cast("double") for c in numeric])
+    names = [*[f"{c}_enc" for c in categories], *numeric]
+    return F.expr("array(" + ", ".join(f"cast({c} as double)" for c in names) + ")")
 
 
 def matrix_row(raw: Column, n_categories: int) -> Column:

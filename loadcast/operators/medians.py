@@ -48,10 +48,7 @@ def grouped_medians(
 
 
 def _same(group: list[str]) -> Column:
-    condition = F.lit(True)
-    for c in group:
-        condition = condition & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
-    return condition
+    return F.expr(" and ".join(f"{c} <=> _k_{c}" for c in group))
 
 
 def _by_level(rows, sets, scope, keys, used, levels, *aggregates: Column) -> DataFrame:

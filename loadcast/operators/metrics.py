@@ -14,26 +14,19 @@ _CELL = ["client", "direction", "point", "weather_status"]
 _SUMS = ["n", "ae", "se", "e", "y", "s"]
 
 
-def _usable(c: Column) -> Column:
-    return c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
-
-
 def _error_sums(predictor: str, prefix: str) -> list[Column]:
-    y, p = F.col("actual"), F.col(predictor)
-    ok = _usable(y) & _usable(p)
-    e = p - y
-    scale = F.abs(y) + F.abs(p)
+    """Sums over rows where actual and prediction are both finite numbers (NaN sorts above infinity, so it fails too)."""
+    y, p = "actual", predictor
+    ok = f"abs({y}) < double('inf') and abs({p}) < double('inf')"
     terms = {
-        "ae": F.abs(e),
-        "se": e * e,
-        "e": e,
-        "y": F.abs(y),
-        "s": F.when(scale > 0, 2 * F.abs(e) / scale).otherwise(0.0),
+        "ae": f"abs({p} - {y})",
+        "se": f"({p} - {y}) * ({p} - {y})",
+        "e": f"{p} - {y}",
+        "y": f"abs({y})",
+        "s": f"if(abs({y}) + abs({p}) > 0, 2 * abs({p} - {y}) / (abs({y}) + abs({p})), 0D)",
     }
-    return [
-        F.count_if(ok).alias(f"{prefix}n"),
-        *[F.sum(F.when(ok, t)).alias(f"{prefix}{name}") for name, t in terms.items()],
-    ]
+    sums = [F.expr(f"sum(if({ok}, {t}, null)) as {prefix}{name}") for name, t in terms.items()]
+    return [F.expr(f"count_if({ok}) as {prefix}n"), *sums]
 
 
 def error_cells(df: DataFrame, predictors: dict[str, str] = PREDICTORS) -> DataFrame:

@@ -164,6 +164,7 @@ def _backtest(table, medians, folds, spec, config, fit):
         return None, {}, []
     models = _in_threads(table.sparkSession, jobs, config.parallel_fits)
 
+    # Baselines are filled before the split by model: the filter of each part still reaches the partitioned table.
     calibration = []
     for f, d in active:
         model = models.get((f.number, d))
@@ -172,16 +173,14 @@ def _backtest(table, medians, folds, spec, config, fit):
         part = S.calibration_part(f.start, config.calibration_days)
         rows = table.filter(_is(d) & S.trainable() & (part == "CALIBRATION"))
         tagged = rows.withColumns({"fold": F.lit(f.number), "set_id": F.lit(f"CAL_{f.number}")})
+        filled = fill_baseline(tagged, medians, ["set_id"], SET_LEVELS)
         calibration.append(
-            model.predict(tagged, "correction").select(
-                "set_id", "fold", "client", "branch_code", "direction", "hour", "actual", "baseline", "correction"
-            )
+            model.predict(filled, "correction").select("fold", "direction", "actual", "baseline_filled", "correction")
         )
     chosen = {}
     if calibration:
-        filled = fill_baseline(_union(calibration), medians, ["set_id"], SET_LEVELS)
         picked = select_alpha(
-            filled,
+            _union(calibration),
             ["fold", "direction"],
             config.min_calibration_rows,
             config.min_improvement,
@@ -206,9 +205,9 @@ def _backtest(table, medians, folds, spec, config, fit):
         in_window = (F.col("model_utc") >= S.instant(f.start)) & (F.col("model_utc") < S.instant(f.end))
         rows = table.filter(_is(d) & S.trainable() & in_window)
         tagged = rows.withColumns({"fold": F.lit(f.number), "set_id": F.lit(f"TEST_{f.number}")})
-        tests.append(_corrected(models.get(key), tagged, "correction"))
-    filled = fill_baseline(_union(tests), medians, ["set_id"], SET_LEVELS, out="baseline_backtest").drop("set_id")
-    oof = filled.join(F.broadcast(_decision_frame(table, decisions)), ["fold", "direction"], "left")
+        filled = fill_baseline(tagged, medians, ["set_id"], SET_LEVELS, out="baseline_backtest").drop("set_id")
+        tests.append(_corrected(models.get(key), filled, "correction"))
+    oof = _union(tests).join(F.broadcast(_decision_frame(table, decisions)), ["fold", "direction"], "left")
     base, corr = F.col("baseline_backtest"), F.col("correction")
     oof = oof.withColumns(
         {
@@ -309,11 +308,11 @@ def _assemble(table, oof, medians, folds, decisions, models, cutoff, config) ->
         wanted = wanted & future
     parts = []
     for d in N.DIRECTIONS:
-        part = rows.filter(wanted & _is(d))
+        part = rows.filter(wanted & _is(d)).withColumn("set_id", F.lit("FINAL"))
+        part = fill_baseline(part, medians, ["set_id"], SET_LEVELS, out="baseline_full").drop("set_id")
         a = models[d]
         part = _corrected(a.model, part, "full_correction").withColumns(
             {
-                "set_id": F.lit("FINAL"),
                 "f_alpha": F.lit(a.alpha),
                 "f_n": F.lit(a.calibration_n).cast("long"),
                 "f_gain": F.lit(a.calibration_improvement),
@@ -321,7 +320,7 @@ def _assemble(table, oof, medians, folds, decisions, models, cutoff, config) ->
             }
         )
         parts.append(part)
-    scored = fill_baseline(_union(parts), medians, ["set_id"], SET_LEVELS, out="baseline_full").drop("set_id")
+    scored = _union(parts)
     base, corr = F.col("baseline_full"), F.col("full_correction")
     full = blend(base, corr, F.col("f_alpha"))
 

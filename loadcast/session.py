@@ -20,6 +20,8 @@ def build_session(master: str | None = None, app: str = "loadcast", **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # Recording a Python call site for every column expression costs more than building the plan.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     for key, value in settings.items():
