@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -409,11 +410,9 @@ def _future(df):
     return df.withColumn("actual", F.when(~late, F.col("actual")))
 
 
-def _run(spark, sf, importance=False):
-    from dataclasses import replace
-
+def _run(spark, sf, importance=False, n_splits=2):
     joined = materialize(_future(enriched(spark, sf)), "joined")
-    config = replace(_small_config(joined.count()), compute_importance=importance)
+    config = replace(_small_config(joined.count()), compute_importance=importance, n_splits=n_splits)
     return run_forecast(joined, config), joined, config
 
 
@@ -429,14 +428,14 @@ def residual_forecast(spark, sf):
 
 @query("permutation_importance")
 def permutation_importance_query(spark, sf):
-    result, _, _ = _run(spark, sf, importance=True)
+    result, _, _ = _run(spark, sf, importance=True, n_splits=1)
     return result.importance
 
 
 @query("package_score")
 def package_score(spark, sf):
     """Freeze a package and score the hours after its cutoff from it."""
-    result, joined, config = _run(spark, sf)
+    result, joined, config = _run(spark, sf, n_splits=1)
     mapping = V.energy(spark, sf).select("branch_code", "point").distinct()
     package = build_package(result, config, mapping)
     scored = score_package(package, joined)

@@ -24,65 +24,41 @@ DATE_FORMATS = {
 }
 
 
-def _fold_table() -> tuple[dict[str, str], dict[str, str]]:
-    """Characters whose compatibility decomposition is plain ASCII letters or digits, in lower case.
+def _fold_table() -> dict[str, str]:
+    """Characters outside ASCII whose compatibility decomposition holds exactly one ASCII letter or digit.
 
-    One-character results can go to `translate`; the few longer ones (ligatures, fractions) are kept apart.
+    The few signs that would unfold to several (ligatures, fractions, circled numbers) are not letters of any name and
+    are removed like punctuation.
     """
-    single = {"Ł": "l", "ł": "l"}
-    longer: dict[str, str] = {}
+    folded = {"Ł": "l", "ł": "l"}
     for code in range(0x80, 0x10000):
         if 0xD800 <= code <= 0xDFFF:
             continue
-        char = chr(code)
-        flat = "".join(c for c in unicodedata.normalize("NFKD", char) if c.isascii() and c.isalnum()).lower()
+        flat = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if c.isascii() and c.isalnum())
         if len(flat) == 1:
-            single.setdefault(char, flat)
-        elif len(flat) > 1:
-            longer[char] = flat
-    return single, longer
+            folded.setdefault(chr(code), flat.lower())
+    return folded
 
 
-_SINGLE, _LONG = _fold_table()
+_FOLDED = _fold_table()
 _UPPER = "".join(chr(c) for c in range(ord("A"), ord("Z") + 1))
 _DROP = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
-_ASCII_FROM, _ASCII_TO = _UPPER + _DROP, _UPPER.lower()
-_FROM, _TO = _UPPER + "".join(_SINGLE) + _DROP, _UPPER.lower() + "".join(_SINGLE.values())
-_LONG_CHARS = "".join(_LONG)
-
-
-def _is_ascii(c: Column) -> Column:
-    return F.octet_length(c) == F.char_length(c)
-
-
-def _fold(c: Column) -> Column:
-    """Fold and drop by character table; only text that still holds other scripts needs the regular expression."""
-    short = F.translate(c, _FROM, _TO)
-    return F.when(_is_ascii(short), short).otherwise(F.regexp_replace(short, "[^a-z0-9]+", ""))
+# Characters at the end of the first text without a partner in the second are deleted by translate().
+_FROM, _TO = _UPPER + "".join(_FOLDED) + _DROP, _UPPER.lower() + "".join(_FOLDED.values())
 
 
 def token(c: Column) -> Column:
     """Case-, accent- and punctuation-free key; NULL stays NULL.
 
-    ASCII text takes a 26-letter table. Other text is folded, and only text with characters that unfold to several
-    letters is split to look those up.
+    One table look-up per character; the pattern then only has to remove other scripts, so it rarely matches at all.
     """
-    table = F.str_to_map(
-        F.lit("\x01".join(f"{k}\x02{v}" for k, v in _LONG.items())), F.lit("\x01"), F.lit("\x02")
-    )
-    unfolded = F.array_join(F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), ch)), "")
-    has_long = F.char_length(F.translate(c, _LONG_CHARS, "")) < F.char_length(c)
-    return (
-        F.when(_is_ascii(c), F.translate(c, _ASCII_FROM, _ASCII_TO))
-        .when(has_long, _fold(unfolded))
-        .otherwise(_fold(c))
-    )
+    return F.regexp_replace(F.translate(c, _FROM, _TO), "[^a-z0-9]+", "")
 
 
 def py_token(value: object) -> str:
     """The same key for a handful of header names on the driver."""
-    text = str(value).translate(str.maketrans({"Ł": "L", "ł": "l"}))
-    return "".join(c for c in unicodedata.normalize("NFKD", text) if c.isascii() and c.isalnum()).lower()
+    table = {ord(k): v for k, v in zip(_FROM, _TO)}
+    return "".join(c for c in str(value).translate(table) if c.isascii() and c.isalnum())
 
 
 def clean_text(c: Column) -> Column:

@@ -116,14 +116,25 @@ def impute_with_indicator(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def _input_columns(categories: list[str], numeric: list[str]) -> list[str]:
+    return [f"cast({c} as double)" for c in [*[f"{c}_enc" for c in categories], *numeric]]
+
+
+def model_matrix(categories: list[str], numeric: list[str]) -> Column:
+    """Model inputs of a row: encoded categories and numeric features with NULL → 0, then one missing flag per numeric
+    feature."""
+    filled = [f"coalesce({c}, 0D)" for c in _input_columns(categories, numeric)]
+    flags = [f"double({c} is null)" for c in numeric]
+    return F.expr("array(" + ", ".join([*filled, *flags]) + ")")
+
+
 def raw_inputs(categories: list[str], numeric: list[str]) -> Column:
-    """All model inputs of a row as array<double>: encoded categories, then numeric features with NULLs."""
-    names = [*[f"{c}_enc" for c in categories], *numeric]
-    return F.expr("array(" + ", ".join(f"cast({c} as double)" for c in names) + ")")
+    """The inputs as one array that still holds its NULLs, for swapping single entries."""
+    return F.expr("array(" + ", ".join(_input_columns(categories, numeric)) + ")")
 
 
-def matrix_row(raw: Column, n_categories: int) -> Column:
-    """The same inputs with NULL → 0, followed by one missing flag per numeric feature."""
+def matrix_of(raw: Column, n_categories: int) -> Column:
+    """`model_matrix` computed from `raw_inputs`."""
     filled = F.transform(raw, lambda x: F.coalesce(x, F.lit(0.0)))
     flags = F.transform(F.slice(raw, n_categories + 1, F.size(raw) - n_categories), lambda x: x.isNull().cast("double"))
     return F.concat(filled, flags)

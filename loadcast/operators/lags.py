@@ -50,4 +50,6 @@ def add_lags(
 
 
 def add_lag_statistics(df: DataFrame, lag_days: tuple[int, ...] = DEFAULT_LAGS) -> DataFrame:
-    return df.withColumns(lag_statistics(lag_days))
+    for step in lag_statistics(lag_days):
+        df = df.withColumns(step)
+    return df

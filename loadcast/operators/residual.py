@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -29,17 +29,16 @@ class ResidualModel:
     scale: float
     spec: FeatureSpec
 
-    def _raw(self, df: DataFrame) -> DataFrame:
-        encoded = E.apply_encoding(df, self.encodings, self.spec.categorical, self.default)
-        return encoded.withColumn("_raw", E.raw_inputs(self.spec.categorical, self.spec.numeric))
+    def encode(self, df: DataFrame) -> DataFrame:
+        return E.apply_encoding(df, self.encodings, self.spec.categorical, self.default)
 
     def predict(self, df: DataFrame, out: str = "correction") -> DataFrame:
+        matrix = E.model_matrix(self.spec.categorical, self.spec.numeric)
         helper = [f"{c}_enc" for c in self.spec.categorical]
-        return self._score(self._raw(df), out).drop("_raw", *helper)
+        return self.score(self.encode(df), matrix, out).drop(*helper)
 
-    def _score(self, df: DataFrame, out: str) -> DataFrame:
-        row = E.matrix_row(F.col("_raw"), len(self.spec.categorical))
-        scored = self.trees.transform(df.withColumn("features", array_to_vector(row)))
+    def score(self, df: DataFrame, matrix: Column, out: str) -> DataFrame:
+        scored = self.trees.transform(df.withColumn("features", array_to_vector(matrix)))
         return scored.withColumn(out, F.col("prediction") * F.lit(self.scale)).drop("features", "prediction")
 
 
@@ -72,9 +71,8 @@ def fit_residual(train: DataFrame, spec: FeatureSpec, config: ForecastConfig) ->
     encodings = materialize(E.encoding_table(cells, spec.categorical), "encodings")
     scale = float(stats.scale) if stats.scale else 1.0
     encoded = E.apply_encoding(usable, encodings, spec.categorical, mean, fold)
-    raw = E.raw_inputs(spec.categorical, spec.numeric)
     matrix = encoded.select(
-        array_to_vector(E.matrix_row(raw, len(spec.categorical))).alias("features"),
+        array_to_vector(E.model_matrix(spec.categorical, spec.numeric)).alias("features"),
         (F.col("residual_target") / scale).alias("label"),
         (F.unix_seconds("model_utc") > F.lit(stats.newest)).alias("held_out"),
     )
@@ -106,9 +104,9 @@ def permutation_importance(
     """
     spec = model.spec
     sample = newest_rows(usable_rows(test), max_rows, ROW_KEY)
-    sample = materialize(
-        model._raw(sample).select("_raw", "residual_target", *ROW_KEY, F.xxhash64(*ROW_KEY).alias("_h")), "importance"
-    )
+    raw = E.raw_inputs(spec.categorical, spec.numeric).alias("_raw")
+    narrow = model.encode(sample).select(raw, "residual_target", *ROW_KEY, F.xxhash64(*ROW_KEY).alias("_h"))
+    sample = materialize(narrow, "importance")
     n = sample.count()
     if n < min_rows:
         return None
@@ -135,8 +133,9 @@ def permutation_importance(
         ).alias("_raw"),
     )
     miss = F.avg(F.abs(F.col("correction") - F.col("residual_target")))
-    plain = model._score(base.select("_raw", "residual_target"), "correction").agg(miss.alias("base_mae"))
-    scored = model._score(variants, "correction").groupBy("feature", "_repeat").agg(miss.alias("mae"))
+    matrix = E.matrix_of(F.col("_raw"), len(spec.categorical))
+    plain = model.score(base.select("_raw", "residual_target"), matrix, "correction").agg(miss.alias("base_mae"))
+    scored = model.score(variants, matrix, "correction").groupBy("feature", "_repeat").agg(miss.alias("mae"))
     rise = F.col("mae") - F.col("base_mae")
     return (
         scored.join(F.broadcast(plain))
