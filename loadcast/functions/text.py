@@ -7,9 +7,9 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's notion of white space: Unicode space plus the four ASCII separators.
-_SPACE = r"(?U)[\s\x1c-\x1f]+"
-_NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+# Python's notion of white space beyond the blank: Unicode spaces, line breaks and the four ASCII separators.
+_SPACES = "".join(chr(c) for c in range(0x10000) if chr(c).isspace() and c != 0x20)
+_NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))$"
 
 # Texts that stand for a missing value.
 NULL_TEXTS = ["", "nan", "None", "<NA>"]
@@ -62,7 +62,8 @@ def py_token(value: object) -> str:
 
 
 def clean_text(c: Column) -> Column:
-    text = F.trim(F.regexp_replace(c.cast("string"), _SPACE, " "))
+    """White space trimmed and collapsed to single blanks; texts that stand for a missing value become NULL."""
+    text = F.trim(F.regexp_replace(F.translate(c.cast("string"), _SPACES, " " * len(_SPACES)), " {2,}", " "))
     return F.when(~text.isin(NULL_TEXTS), text)
 
 
@@ -77,15 +78,19 @@ def number(c: Column, dtype: str = "string") -> Column:
     if dtype.startswith(_NUMERIC):
         plain = c.cast("double")
         return F.when(~F.isnan(plain), plain)
-    text = F.regexp_replace(F.regexp_replace(c.cast("string"), "[\\u00a0 ]", ""), ",", ".")
-    return F.when(text.rlike(_NUMBER), F.trim(text).try_cast("double"))
+    # Comma to dot; blanks, NBSP and other outer white space have no partner and are deleted.
+    text = F.translate(c.cast("string"), ",\u00a0 \t\r\n", ".")
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
 def first_int(c: Column, dtype: str = "string") -> Column:
     """First run of digits, e.g. an hour written as '8', '8.0' or 'H08'."""
     if dtype in ("tinyint", "smallint", "int", "bigint"):
         return F.abs(c).try_cast("int")
-    return F.nullif(F.regexp_extract(c.cast("string"), r"(\d+)", 1), F.lit("")).try_cast("int")
+    text = c.cast("string")
+    return F.when(text.rlike(r"^\d{1,9}$"), text.try_cast("int")).otherwise(
+        F.nullif(F.regexp_extract(text, r"(\d+)", 1), F.lit("")).try_cast("int")
+    )
 
 
 def to_local(c: Column, dtype: str = "string", formats: dict[str, str] | None = None) -> Column:
@@ -105,7 +110,9 @@ def to_local(c: Column, dtype: str = "string", formats: dict[str, str] | None =
 
 
 def to_day(c: Column, dtype: str = "string", formats: dict[str, str] | None = None) -> Column:
-    return c if dtype == "date" else to_local(c, dtype, formats).cast("date")
+    if dtype in ("date", "timestamp", "timestamp_ntz"):
+        return c.cast("date")
+    return F.coalesce(F.trim(c.cast("string")).try_cast("date"), to_local(c, dtype, formats).cast("date"))
 
 
 def to_instant(c: Column, dtype: str = "string", formats: dict[str, str] | None = None) -> Column:

@@ -12,9 +12,8 @@ from loadcast.session import bounded_broadcast
 from loadcast.sources.scan import resolve_mapping
 
 
-def direction_from_text(text: Column) -> Column:
+def direction_from_token(key: Column) -> Column:
     """EXPORT is tested first: a text naming both directions counts as EXPORT."""
-    key = T.token(text)
     return F.when(key.contains(N.EXPORT_TOKEN), N.EXPORT).when(key.contains(N.IMPORT_TOKEN), N.IMPORT)
 
 
@@ -29,15 +28,17 @@ def direction_mismatch(direction: Column, sign: Column) -> Column:
 
 def classify_direction(df: DataFrame) -> DataFrame:
     """`direction` from the text, else from the sign of the code; `direction_source` says which."""
-    by_text = direction_from_text(F.col("direction_text"))
-    by_sign = direction_from_sign(F.col("direction_code"))
-    return df.withColumns(
-        {
-            "direction": F.coalesce(by_text, by_sign),
-            "direction_source": F.when(by_text.isNotNull(), N.SRC_TEXT)
-            .when(by_sign.isNotNull(), N.SRC_SIGN)
-            .otherwise(N.SRC_NONE),
-        }
+    # One column per step: the planner keeps them apart, so the text is tokenised once per row.
+    df = df.withColumn("_key", T.token(F.col("direction_text"))).withColumns(
+        {"_text": direction_from_token(F.col("_key")), "_sign": direction_from_sign(F.col("direction_code"))}
+    )
+    source = (
+        F.when(F.col("_text").isNotNull(), N.SRC_TEXT)
+        .when(F.col("_sign").isNotNull(), N.SRC_SIGN)
+        .otherwise(N.SRC_NONE)
+    )
+    return df.withColumns({"direction": F.coalesce("_text", "_sign"), "direction_source": source}).drop(
+        "_key", "_text", "_sign"
     )
 
 

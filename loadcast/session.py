@@ -11,15 +11,30 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 
 
+# Runtime settings every session should have.
+RUNTIME = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # HotSpot never compiles methods above 8000 bytes; beyond that, split projections beat one huge generated loop.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session that somebody else made."""
+    for key, value in RUNTIME.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(master: str | None = None, app: str = "loadcast", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        **RUNTIME,
         # Recording a Python call site for every column expression costs more than building the plan.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **{k.replace("__", "."): v for k, v in conf.items()},
