@@ -123,7 +123,8 @@ def run_forecast(
 ) -> ForecastResult:
     """Backtest on expanding windows, learn one final model per direction, forecast the future rows.
 
-    The feature table is written once, split by direction, and every later step reads the slices it needs. Medians and
+    `history` may name narrower rows with the same series keys, hours and actuals (all hours of `joined` included) for
+    the lags. The feature table is written once, split by direction, and every later step reads the slices it needs. Medians and
     calibration run for all folds in one job each; only model fits are submitted one by one.
     """
     config.validate()

@@ -12,7 +12,7 @@ from loadcast.operators import quality as Q
 from loadcast.operators.metrics import kpi_summary
 from loadcast.plans.forecast import ForecastResult, run_forecast
 from loadcast.plans.package import ForecastPackage, build_package, save_package
-from loadcast.plans.prepare import join_prepared, prepare_energy, prepare_joined
+from loadcast.plans.prepare import join_prepared, prepare_energy
 from loadcast.sinks import tables as OUT
 from loadcast.sources import scan
 from loadcast.sources.warehouse import empty_weather, infer_date_range, warehouse_extract
@@ -36,9 +36,12 @@ def run_from_files(
     part_regex: str | None = None,
     csv: bool = False,
 ) -> RunOutput:
-    joined, quality, mapping = prepare_joined(spark, energy_path, weather_path, mapping_path, config, part_regex)
+    mapping = scan.scan_mapping(spark, mapping_path)
+    energy, quality = prepare_energy(scan.scan_energy(spark, energy_path, part_regex=part_regex), mapping, config)
+    joined, join_quality = join_prepared(energy, scan.scan_weather(spark, weather_path), config)
+    quality = Q.append_quality(quality, join_quality)
     source = {"weather_source": "file", "weather_path": weather_path, "weather_start": config.weather_start}
-    return _finish(joined, quality, mapping, source, output_path, config, csv)
+    return _finish(energy, joined, quality, mapping, source, output_path, config, csv)
 
 
 def run_from_warehouse(
@@ -70,12 +73,13 @@ def run_from_warehouse(
     joined, join_quality = join_prepared(energy, weather, config)
     quality = Q.append_quality(quality, join_quality, Q.source_quality(spark, n, low, high))
     source = {"weather_source": "warehouse", "valid_from": str(low), "valid_to": str(high)}
-    return _finish(joined, quality, mapping, source, output_path, config, csv)
+    return _finish(energy, joined, quality, mapping, source, output_path, config, csv)
 
 
-def _finish(joined, quality, mapping, source, output_path, config, csv) -> RunOutput:
+def _finish(energy, joined, quality, mapping, source, output_path, config, csv) -> RunOutput:
     spark = joined.sparkSession
-    result = run_forecast(joined, config)
+    # Lags need energy only, so their history is read without the weather join.
+    result = run_forecast(joined, config, history=energy)
     predictions = result.predictions
     quality = Q.append_quality(
         quality,

@@ -22,10 +22,20 @@ RUNTIME = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session that somebody else made."""
+SHUFFLE_BYTES = 128 * 1024 * 1024
+
+
+def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Apply the runtime settings to a session that somebody else made.
+
+    With `input_bytes` the shuffle partition count is raised to about one per 128 MB of input (never lowered); AQE
+    merges what turns out to be small, but it cannot split ordinary aggregation partitions.
+    """
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
+    if input_bytes is not None:
+        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(current, -(-input_bytes // SHUFFLE_BYTES))))
     return spark
 
 
@@ -52,11 +62,13 @@ def require_utc(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; a fresh one only where none is named (tests)."""
+    """The folder the cluster names in spark.checkpoint.dir; a fresh local one only in local mode without a setting."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="run-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -57,15 +57,22 @@ def limit_input(df: DataFrame, max_rows: int | None, selection: str = "head") ->
     if max_rows is None:
         return df
     last = selection == "tail"
-    block = F.floor(F.col("source_row") / F.lit(SORT_LIMIT))
-    return first_n(df, max_rows, [(F.col("source_sheet"), last), (block, last), (F.col("source_row"), last)])
+    return first_n(df, max_rows, [(F.col("source_sheet"), last), *_row_order(last)])
+
+
+def _row_order(descending: bool) -> list[tuple[Column, bool]]:
+    """Source rows by block and then by number, so that even the last refinement sorts one block only."""
+    return [(F.floor(F.col("source_row") / F.lit(SORT_LIMIT)), descending), (F.col("source_row"), descending)]
 
 
 def newest_rows(df: DataFrame, max_rows: int | None, ties: list[str]) -> DataFrame:
     """Newest `max_rows` by model_utc (all when None); ties broken by provenance."""
     if max_rows is None:
         return df
-    return first_n(df, max_rows, [(F.col("model_utc"), True), *[(F.col(c), True) for c in ties]])
+    order = [(F.col("model_utc"), True)]
+    for name in ties:
+        order += _row_order(True) if name == "source_row" else [(F.col(name), True)]
+    return first_n(df, max_rows, order)
 
 
 def input_limit_report(total_rows: int | Column, used: DataFrame, selection: str) -> DataFrame:

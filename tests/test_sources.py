@@ -10,7 +10,9 @@ from fixtures import mapping, plant
 from loadcast import names as N
 from loadcast.config import ForecastConfig
 from loadcast.plans.run import run_from_files
+from loadcast.session import tune
 from loadcast.sinks import tables as OUT
+from loadcast.sinks.vocabulary import to_source_vocabulary
 from loadcast.sources import limits as L
 from loadcast.sources import scan as S
 from loadcast.sources import warehouse as WH
@@ -173,6 +175,24 @@ def test_output_columns(spark):
     assert set(OUT.output_columns(df, compact=True)) == {"forecast", *audit}
 
 
+def test_source_vocabulary(spark):
+    df = spark.sql("select 'IMPORT' direction, 'OOF' prediction_status, 'MATCHED' weather_status, 'x' other, 1.0D actual")
+    out = to_source_vocabulary(df)
+    assert out.columns == ["kierunek_energii_norm", "status_predykcji", "weather_status", "other", "wartosc_rzeczywista"]
+    assert tuple(out.first())[:4] == ("POBRANIE", "OOF_BACKTEST", "DOPASOWANA", "x")
+
+
+def test_shuffle_partitions_follow_the_input(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        tune(spark, 128 * 1024 * 1024 * 50 + 1)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "51"
+        tune(spark, 1)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "51"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_whole_run_from_files(spark, folder):
     energy, weather = plant(spark, 20)
     energy.orderBy("source_row").drop("source_sheet", "source_row").coalesce(1).write.options(header=True, sep=";").csv(f"{folder}/e")
