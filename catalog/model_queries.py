@@ -401,6 +401,7 @@ def _small_config(rows: int) -> ForecastConfig:
         backend="depth_limited",
         tree_depth=3,
         max_importance_rows=500,
+        parallel_fits=4,
         weather_start=None,
     )
 

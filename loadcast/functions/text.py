@@ -7,9 +7,9 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's notion of white space beyond the blank: Unicode spaces, line breaks and the four ASCII separators.
-_SPACES = "".join(chr(c) for c in range(0x10000) if chr(c).isspace() and c != 0x20)
-_NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))$"
+# Python's notion of white space: blank, line breaks, the four ASCII separators and the Unicode spaces.
+_SPACES = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+_NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 
 # Texts that stand for a missing value.
 NULL_TEXTS = ["", "nan", "None", "<NA>"]
@@ -63,7 +63,7 @@ def py_token(value: object) -> str:
 
 def clean_text(c: Column) -> Column:
     """White space trimmed and collapsed to single blanks; texts that stand for a missing value become NULL."""
-    text = F.trim(F.regexp_replace(F.translate(c.cast("string"), _SPACES, " " * len(_SPACES)), " {2,}", " "))
+    text = F.trim(F.regexp_replace(c.cast("string"), _SPACES, " "))
     return F.when(~text.isin(NULL_TEXTS), text)
 
 
@@ -78,8 +78,8 @@ def number(c: Column, dtype: str = "string") -> Column:
     if dtype.startswith(_NUMERIC):
         plain = c.cast("double")
         return F.when(~F.isnan(plain), plain)
-    # Comma to dot; blanks, NBSP and other outer white space have no partner and are deleted.
-    text = F.translate(c.cast("string"), ",\u00a0 \t\r\n", ".")
+    # Comma to dot; blank and NBSP have no partner and are deleted.
+    text = F.translate(c.cast("string"), ",\u00a0 ", ".")
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 

@@ -15,11 +15,12 @@ def row_fold(row_key: list[str], seed: int = 42, folds: int = FOLDS) -> Column:
 
 def _shrunk(n: Column, s: Column, q: Column, all_n: Column, all_s: Column, all_q: Column) -> Column:
     """Category mean pulled towards the overall mean by the ratio of the variances (empirical Bayes)."""
+    all_n, some = F.nullif(all_n, F.lit(0.0)), F.nullif(n, F.lit(0.0))
     overall = all_s / all_n
     overall_var = F.greatest(all_q / all_n - overall * overall, F.lit(0.0))
-    spread = F.greatest(q - s * s / n, F.lit(0.0))
-    weight = overall_var * n / (overall_var * n + spread / n)
-    return F.when((n > 0) & (overall_var > 0), weight * (s / n) + (1 - weight) * overall).otherwise(overall)
+    spread = F.greatest(q - s * s / some, F.lit(0.0))
+    weight = overall_var * some / F.nullif(overall_var * some + spread / some, F.lit(0.0))
+    return F.coalesce(weight * (s / some) + (1 - weight) * overall, overall)
 
 
 def target_cells(df: DataFrame, categories: list[str], target: str, fold: Column) -> DataFrame:
