@@ -44,6 +44,7 @@ def _category_totals(cells: DataFrame, categories: list[str], folds: int) -> Dat
     sums = ["n", "s", "q"]
     per_value = long.groupBy("feature", "value").agg(*_sums_outside(sums, folds, ""))
     overall = cells.agg(*_sums_outside(sums, folds, "all_"))
+    # `overall` is a single row.
     joined = per_value.join(F.broadcast(overall))
     variants = F.array(
         *[

@@ -125,8 +125,9 @@ def kpi_summary(predictions: DataFrame, metrics: DataFrame, trained: list[str])
             for metric in ("mae", "wape")
         ]
     )
-    # Two one-row frames side by side.
-    row = counts.join(F.broadcast(headline)).withColumn(
+    # Two one-row frames become one row: stacked, then the only non-NULL value per column.
+    both = counts.unionByName(headline, allowMissingColumns=True)
+    row = both.agg(*[F.max(c).alias(c) for c in both.columns]).withColumn(
         "gain", F.when(F.col("mae_lag") != 0, (F.col("mae_lag") - F.col("mae_hybrid")) / F.col("mae_lag"))
     )
     items = [

@@ -134,14 +134,10 @@ def permutation_importance(
     )
     miss = F.avg(F.abs(F.col("correction") - F.col("residual_target")))
     matrix = E.matrix_of(F.col("_raw"), len(spec.categorical))
-    plain = model.score(base.select("_raw", "residual_target"), matrix, "correction").agg(miss.alias("base_mae"))
+    plain = model.score(base.select("_raw", "residual_target"), matrix, "correction").agg(miss).first()[0]
     scored = model.score(variants, matrix, "correction").groupBy("feature", "_repeat").agg(miss.alias("mae"))
-    rise = F.col("mae") - F.col("base_mae")
-    return (
-        scored.join(F.broadcast(plain))
-        .groupBy("feature")
-        .agg(F.avg(rise).alias("importance"), F.stddev_pop(rise).alias("spread"))
-    )
+    rise = F.col("mae") - F.lit(plain)
+    return scored.groupBy("feature").agg(F.avg(rise).alias("importance"), F.stddev_pop(rise).alias("spread"))
 
 
 def importance_summary(per_fold: DataFrame) -> DataFrame:

@@ -148,6 +148,8 @@ def run_forecast(
 
 def _backtest(table, medians, folds, spec, config, fit):
     """Out-of-fold rows with their forecast, the fold models and the decision taken per (fold, direction)."""
+    if not folds:
+        return None, {}, []
     counts = {(r.direction, r.fold): r for r in S.fold_counts(table, folds, config.calibration_days).collect()}
     active, jobs = [], {}
     for f in folds:

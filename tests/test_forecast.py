@@ -170,3 +170,22 @@ def test_importance_covers_every_feature(spark, joined):
     rows = result.importance.collect()
     assert {r.feature for r in rows} == set(result.spec.all) and {r.direction for r in rows} == set(N.DIRECTIONS)
     assert any(r.importance > 0 for r in rows)
+
+
+def test_without_any_actual_nothing_is_forecast(joined):
+    empty = joined.withColumn("actual", F.lit(None).cast("double"))
+    result = run_forecast(empty, CONFIG)
+    assert result.cutoff is None and result.decisions == [] and result.metrics.count() == 0
+    status = [r[0] for r in result.predictions.select("prediction_status").distinct().collect()]
+    assert status == [N.P_GAP] and result.predictions.count() == 7680
+    assert {a.calibration_reason for a in result.models.values()} == {N.R_FEW_FINAL}
+
+
+def test_short_history_falls_back_to_the_baseline(joined):
+    """Too few rows with lags before the calibration window: plain baseline, alpha 0."""
+    short = joined.filter(F.col("trade_date") <= "2025-01-12")
+    result = run_forecast(short, dataclasses.replace(CONFIG, min_train_rows=400, calibration_days=7))
+    assert {d["calibration_reason"] for d in result.decisions} == {N.R_FEW_FIT}
+    oof = result.predictions.filter(F.col("prediction_status") == N.P_OOF)
+    assert oof.count() > 0
+    assert oof.filter((F.col("strategy") != N.S_BASELINE) | (F.col("forecast") != F.col("baseline_backtest"))).count() == 0
