@@ -7,8 +7,8 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's notion of white space: blank, line breaks, the four ASCII separators and the Unicode spaces.
-_SPACES = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+# Python's notion of white space: Unicode space (one property test per character) plus the four ASCII separators.
+_SPACES = r"(?U)[\s\x1c-\x1f]+"
 _NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 
 # Texts that stand for a missing value.
