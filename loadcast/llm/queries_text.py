@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.llm import fingerprints, mixing
+from loadcast.llm import fingerprints, mixing, near_text
 from loadcast.llm.common import query, table
 from loadcast.session import materialize
 
@@ -23,3 +23,37 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all texts and edited texts."""
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"), materialize)
+
+
+#: Every pair of texts that share a shingle is counted; components by spreading the smallest id over the links.
+NEAR_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN [array_to_string(ws[i:i + 4], ' ') for i in range(1, len(ws) - 3)]
+                                      WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh
+  FROM w
+), n AS (
+  SELECT d.doc_id, count(s.sh) AS n FROM documents d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n
+  HAVING 100 * count(*) >= 85 * (na.n + nb.n - count(*))
+), reach(doc_id, seen) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.seen
+)
+SELECT n.doc_id, n.n AS n_shingles, min(r.seen) AS component_id, n.doc_id = min(r.seen) AS kept
+FROM n JOIN reach r ON r.doc_id = n.doc_id GROUP BY n.doc_id, n.n
+"""
+
+
+@query("op7_minhash_near_dedup", NEAR_SQL)
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle counts and near-duplicate components of all documents."""
+    return near_text.near_duplicates(table(spark, sf_dir, "documents"))
