@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.llm import fingerprints, mixing, near_text
+from loadcast.llm import fingerprints, mixing, near_text, pieces
 from loadcast.llm.common import query, table
 from loadcast.session import materialize
 
@@ -57,3 +57,9 @@ FROM n JOIN reach r ON r.doc_id = n.doc_id GROUP BY n.doc_id, n.n
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle counts and near-duplicate components of all documents."""
     return near_text.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op4_sentencepiece")
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of all texts and whether they decode to the text."""
+    return pieces.encoded_documents(table(spark, sf_dir, "documents"))
