@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadcast.llm import warc
+from loadcast.llm import html_text, warc
 from loadcast.llm.common import query, table
 
 #: SHA-1 in base 32: ten hexadecimal digits are eight characters of five bits.
@@ -30,3 +30,9 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, index = warc.write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     records = warc.read_records(folder, index, payloads=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op1_html_extract")
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extracted_pages(table(spark, sf_dir, "pages"))
