@@ -103,11 +103,10 @@ def edited_texts(docs: DataFrame, store) -> DataFrame:
         F.col("k").alias("prev_k"), F.coalesce("next_k", "wrap").alias("k"), F.floor(F.col("n") / 4).alias("need")
     )
     given = (
-        rows.select("k", "text")
-        .join(follows, "k")
+        rows.join(follows, "k")
         .select(
             "prev_k",
-            F.xxhash64("text").alias("h"),
+            F.xxhash64("doc_id", "text").alias("h"),  # the same columns as below, so that one shuffle of the texts serves both
             F.struct(
                 F.expr("left(text, cast(need as int))").alias("prefix"), sketch(F.col("text")).alias("sketch")
             ).alias("given"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.llm import fingerprints, mixing, near_text, pieces
+from loadcast.llm import fingerprints, mixing, near_text, pieces, quality
 from loadcast.llm.common import query, table
 from loadcast.session import materialize
 
@@ -63,3 +63,11 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of all texts and whether they decode to the text."""
     return pieces.encoded_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op5_quality")
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.scored_documents(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
