@@ -201,9 +201,11 @@ def near_duplicates(docs: DataFrame, limit: Limit = Limit()) -> DataFrame:
         .agg(F.min("doc_id").alias("rep"), F.first("low").alias("low"))
     )
     lists = materialize(inverted_lists(classes), "lists")
-    # Full sets of the listed texts only; they are made again from the text instead of being kept for all rows.
+    # Full sets of the listed texts only; they are made again from the text instead of being kept for all rows. The merge
+    # join keeps one plan at every size, and its order by id serves the joins below.
+    listed = lists.select(F.col("rep").alias("doc_id")).distinct().hint("merge")
     full = (
-        docs.join(lists.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        docs.join(listed, "doc_id", "left_semi")
         .select(F.col("doc_id").alias("rep"), shingle_set(F.col("text"), limit).alias("s"))
         .withColumn("h1", F.xxhash64("s"))
         .dropDuplicates(["rep", "h1"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.llm import fingerprints, mixing, near_text, pieces, quality
+from loadcast.llm import fingerprints, mixing, near_text, pieces, quality, secrets
 from loadcast.llm.common import query, table
 from loadcast.session import materialize
 
@@ -71,3 +71,9 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.scored_documents(docs, table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op8_secrets")
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secrets.scanned_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
