@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,10 +36,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound what a Python worker holds at once; the settings are read when a plan with Python in it starts."""
+_SHIPPED: set[str] = set()
+
+
+def ready_workers(spark: SparkSession) -> None:
+    """Bound what a Python worker holds at once, and hand this package to workers that cannot import it.
+
+    The batch settings are read when a plan with Python in it starts. The package (some hundred kilobytes) is served by
+    Spark itself, once for each application.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        _SHIPPED.add(context.applicationId)
+        package = Path(__file__).parent.parent
+        target = Path(tempfile.mkdtemp(prefix="run-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(target, "w") as out:
+            for path in sorted(package.rglob("*.py")):
+                out.write(path, path.relative_to(package.parent))
+        context.addPyFile(str(target))
 
 
 def ascii_lower(text: Column) -> Column:

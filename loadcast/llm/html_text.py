@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import small_batches
+from loadcast.llm.common import ready_workers
 
 #: Elements whose content is not text of the page, and those that are read up to their end tag without markup.
 RAW = frozenset("script style textarea title noscript template iframe noframes noembed xmp svg math canvas object select".split())
@@ -312,7 +312,7 @@ def extract(html: Column) -> Column:
 
 def extracted_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every row."""
-    small_batches(pages.sparkSession)
+    ready_workers(pages.sparkSession)
     return pages.select("page_id", "url", extract(F.col("html")).alias("text")).select(
         "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars")
     )

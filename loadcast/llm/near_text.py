@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from loadcast.llm.common import ascii_lower, shingle_hashes, small_batches, words
+from loadcast.llm.common import ascii_lower, shingle_hashes, ready_workers, words
 from loadcast.llm.graph import connected_components
 from loadcast.llm.groups import Parts, in_blocks, sorted_groups
 from loadcast.session import materialize
@@ -192,7 +192,7 @@ def _block_links(percent: int):
 
 def near_duplicates(docs: DataFrame, limit: Limit = Limit()) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of `docs`."""
-    small_batches(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     rows = materialize(set_rows(docs, limit), "sets")
     key = ["n", "h1", "h2"]
     classes = (

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import small_batches
+from loadcast.llm.common import ready_workers
 
 MARK = "▁"
 #: The default vocabulary; any file of the same format may be named instead.
@@ -340,6 +340,6 @@ def decode(spark: SparkSession, tokens: Column, path: str = MODEL) -> Column:
 
 def encoded_documents(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """doc_id, tokens, n_tokens, n_bytes and exact of every row."""
-    small_batches(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     e = docs.select("doc_id", encode(docs.sparkSession, F.col("text"), path).alias("e"))
     return e.select("doc_id", "e.tokens", F.size("e.tokens").cast("long").alias("n_tokens"), "e.n_bytes", "e.exact")

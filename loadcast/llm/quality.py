@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import small_batches
+from loadcast.llm.common import ready_workers
 
 
 @dataclass(frozen=True)
@@ -272,7 +272,7 @@ def scorer(net: Network):
 
 def scored_documents(docs: DataFrame, labels: DataFrame, options: QualityOptions = QualityOptions()) -> DataFrame:
     """`docs` with `held_out`, `score` and `predicted`; columns of these names are replaced."""
-    small_batches(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     net = fit(*training_sample(docs.select("doc_id", "text"), labels, options), options)
     scored = docs.withColumn("held_out", held_out(F.col("doc_id"))).withColumn("score", scorer(net)(F.col("text")))
     return scored.withColumn("predicted", (F.col("score") >= options.threshold).cast("int"))

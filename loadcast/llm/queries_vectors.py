@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from loadcast.llm import near_vectors
-from loadcast.llm.common import query, small_batches, table
+from loadcast.llm.common import query, ready_workers, table
 
 VECTOR_SQL = """
 WITH RECURSIVE v AS (
@@ -28,5 +28,5 @@ FROM reach r LEFT JOIN n ON n.x = r.vec_id GROUP BY r.vec_id
 @query("op10_embedding_near_dedup", VECTOR_SQL)
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Direct links and components of all vectors."""
-    small_batches(spark)
+    ready_workers(spark)
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))

@@ -26,7 +26,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import small_batches
+from loadcast.llm.common import ready_workers
 from loadcast.session import materialize, shared_folder
 
 INDEX = pa.schema(
@@ -157,7 +157,7 @@ def _writer(folder: str, date: str):
 def write_archives(pages: DataFrame, options: WarcOptions = WarcOptions()) -> tuple[str, DataFrame]:
     """Write a record per row of `pages` (page_id, url, html); the folder of the archives and their index."""
     spark = pages.sparkSession
-    small_batches(spark)
+    ready_workers(spark)
     html = F.coalesce("html", F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.sha1(html.cast("binary")).alias("sha1"))
     # Payloads that occur once need no partner, so only the others are looked up.
@@ -209,7 +209,7 @@ def _reader(folder: str, options: WarcOptions, payloads: bool):
 
 def read_records(folder: str, index: DataFrame, options: WarcOptions = WarcOptions(), payloads: bool = True) -> DataFrame:
     """The records that the rows of `index` name. A revisit's payload is that of the response it refers to, not repeated."""
-    small_batches(index.sparkSession)
+    ready_workers(index.sparkSession)
     ordered = (
         index.select("archive", "offset", "length")
         .repartitionByRange("archive", "offset")
