@@ -56,7 +56,7 @@ def shingle_set(text: Column, limit: Limit) -> Column:
 def set_rows(docs: DataFrame, limit: Limit) -> DataFrame:
     """doc_id, size and identity of each row's shingle set and its smallest hashes."""
     return (
-        docs.select("doc_id", shingle_set(F.col("text"), limit).alias("s"))
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), shingle_set(F.col("text"), limit).alias("s"))
         .select(
             "doc_id",
             F.size("s").cast("long").alias("n"),
@@ -206,7 +206,7 @@ def near_duplicates(docs: DataFrame, limit: Limit = Limit()) -> DataFrame:
     listed = lists.select(F.col("rep").alias("doc_id")).distinct().hint("merge")
     full = (
         docs.join(listed, "doc_id", "left_semi")
-        .select(F.col("doc_id").alias("rep"), shingle_set(F.col("text"), limit).alias("s"))
+        .select(F.col("doc_id").cast("long").alias("rep"), shingle_set(F.col("text"), limit).alias("s"))
         .withColumn("h1", F.xxhash64("s"))
         .dropDuplicates(["rep", "h1"])
     )

@@ -86,7 +86,7 @@ def buckets(x: np.ndarray, functions: int, tables: int, seed: int) -> np.ndarray
     for t in range(tables):
         codes = [corners(wide, np.random.default_rng([seed, d, t, f])) for f in range(functions)]
         for probe in range(1 + functions):
-            h = np.full(m, np.uint64(t * 1_000_003 + d))
+            h = _mix(np.full(m, np.uint64(d)), t + 1)
             for f in range(functions):
                 h = _mix(h, codes[f][:, 1 if probe == f + 1 else 0])
             out[:, t * (1 + functions) + probe] = h.view(np.int64)
@@ -128,8 +128,11 @@ def _block_links(limit: float):
         for group in sorted_groups(batches, ["list", "i", "j"]):
             v = group.column("v").combine_chunks()
             ends = v.offsets.to_numpy()
-            x = _unit(v.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]].reshape(len(group), -1))
-            near = x @ x.T >= limit
+            flat, size = v.values.to_numpy(zero_copy_only=False), np.diff(ends)
+            x = np.zeros((len(group), size.max()))
+            x[np.arange(size.max()) < size[:, None]] = flat[ends[0] : ends[-1]]
+            x = _unit(x)
+            near = (x @ x.T >= limit) & (size[:, None] == size[None, :])
             np.fill_diagonal(near, False)
             i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
             if i != j:

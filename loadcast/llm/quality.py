@@ -276,3 +276,9 @@ def scored_documents(docs: DataFrame, labels: DataFrame, options: QualityOptions
     net = fit(*training_sample(docs.select("doc_id", "text"), labels, options), options)
     scored = docs.withColumn("held_out", held_out(F.col("doc_id"))).withColumn("score", scorer(net)(F.col("text")))
     return scored.withColumn("predicted", (F.col("score") >= options.threshold).cast("int"))
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, options: QualityOptions = QualityOptions()) -> DataFrame:
+    """The rows of `docs` that are not rejected, with all their columns as they were."""
+    rows = docs.select("doc_id", "text", F.struct("*").alias("row"))
+    return scored_documents(rows, labels, options).where("predicted = 1").select("row.*")
