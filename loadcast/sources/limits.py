@@ -1,4 +1,4 @@
-"""Exact "first n in this order" for large n, and the input-limit report."""
+"""Exact "first n in this order" for any n, and the input-limit report."""
 
 from __future__ import annotations
 
@@ -6,63 +6,104 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SORT_LIMIT = 10_000
+#: Whole numbers are narrowed by so many bits at a time, so that no step counts more than 65,536 values.
+_BITS = 16
 
 
 def first_n(df: DataFrame, n: int, order: list[tuple[Column, bool]]) -> DataFrame:
-    """First `n` rows by `order`, a coarse-to-fine list of (column, descending); the whole list is a total order.
+    """First `n` rows by `order`, a coarse-to-fine list of (column, descending); NULL comes last.
 
-    A sorted limit keeps up to n rows per task and merges them all in one task, which is fine for small n only. Above
-    SORT_LIMIT the rows are counted per value of the coarsest column; values wholly inside the limit are kept by a
-    plain filter, and only the one value that straddles the limit is refined with the next column. Each level moves
-    (value, count) pairs, never rows, so any n stays distributed.
+    Rows are counted by the coarsest column until the value is known in which the limit falls. Better values are kept by
+    a plain filter, and only that value is refined with the next column. Only (value, count) pairs move, never rows, and
+    they are the same steps for every n. Rows equal in all of `order` are exchangeable. Timestamps are compared as whole
+    numbers (microseconds), so that no zone touches them.
     """
-    return _first_n(df, n, order)
-
-
-def _sort_key(c: Column, descending: bool) -> Column:
-    return c.desc_nulls_last() if descending else c.asc_nulls_last()
-
-
-def _first_n(df: DataFrame, n: int, order: list[tuple[Column, bool]]) -> DataFrame:
-    if n <= SORT_LIMIT or len(order) == 1:
-        return df.orderBy(*[_sort_key(c, d) for c, d in order]).limit(n)
+    if n <= 0:
+        return df.limit(0)
+    if not order:
+        return df.limit(n)
     (column, descending), rest = order[0], order[1:]
+    kind = df.select(column.alias("v")).schema["v"].dataType.typeName()
+    if kind == "timestamp":
+        column, kind = F.unix_micros(column), "long"
+    elif kind == "date":
+        column, kind = F.unix_date(column), "long"
+    elif kind == "timestamp_ntz":
+        column, kind = F.unix_micros(column.cast("timestamp")), "long"
+    whole = kind in ("byte", "short", "integer", "long")
+    edge, better, at_edge = (_whole_edge if whole else _any_edge)(df, column, descending, n)
+    if edge == "all":
+        return df
+    kept, left = df.filter(column.isNotNull() & better), df.filter(at_edge)
+    value, before, size = edge
+    if before + size == n:
+        return kept.unionByName(left)
+    return kept.unionByName(first_n(left, n - before, rest))
+
+
+def _null_edge(column: Column, before: int, size: int):
+    return (None, before, size), F.lit(True), column.isNull()
+
+
+def _whole_edge(df: DataFrame, column: Column, descending: bool, n: int):
+    """The whole number in which row n falls: found digit by digit, counting at most 65,536 values in each pass."""
+    low, high, known, total = df.agg(
+        F.min(column), F.max(column), F.count(column), F.count(F.lit(1))
+    ).first()
+    if total <= n:
+        return "all", None, None
+    if known < n:
+        return _null_edge(column, known, total - known)
+    # Distance from the best value, so that smaller is always better.
+    best = high if descending else low
+    away = (F.lit(best) - column) if descending else (column - F.lit(best))
+    shift = max(0, -(-(int(high) - int(low)).bit_length() // _BITS) - 1) * _BITS
+    before, size, prefix, rows = 0, known, 0, df.filter(column.isNotNull())
+    while True:
+        digits = rows.groupBy(F.shiftright(away.cast("long"), shift).alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()
+        for d, size in sorted((r.d, r.n) for r in digits):
+            if before + size >= n:
+                prefix = d
+                break
+            before += size
+        if not shift:
+            break
+        rows = df.filter(column.isNotNull() & (F.shiftright(away.cast("long"), shift) == prefix))
+        shift -= _BITS
+    value = best - prefix if descending else best + prefix
+    return (value, before, size), (column > value) if descending else (column < value), column == value
+
+
+def _any_edge(df: DataFrame, column: Column, descending: bool, n: int):
+    """The same for columns of few distinct values (names of parts): their counts in order."""
     counts = df.groupBy(column.alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    window = W.orderBy(_sort_key(F.col("v"), descending)).rowsBetween(W.unboundedPreceding, 0)
-    edge = (
-        counts.withColumn("upto", F.sum("n").over(window))
-        .filter(F.col("upto") >= n)
-        .orderBy("upto")
-        .limit(1)
-        .collect()
-    )
+    order = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_last()
+    upto = F.sum("n").over(W.orderBy(order).rowsBetween(W.unboundedPreceding, 0))
+    edge = counts.withColumn("upto", upto).filter(F.col("upto") >= n).orderBy("upto").limit(1).collect()
     if not edge:
-        return df
-    value, inside = edge[0]["v"], n - (edge[0]["upto"] - edge[0]["n"])
-    at_edge = column.eqNullSafe(F.lit(value))
-    better = (column > F.lit(value)) if descending else (column < F.lit(value))
+        return "all", None, None
+    value, before = edge[0]["v"], edge[0]["upto"] - edge[0]["n"]
     if value is None:
-        better = column.isNotNull()
-    kept = df.filter(better)
-    if inside == edge[0]["n"]:
-        return kept.unionByName(df.filter(at_edge))
-    return kept.unionByName(_first_n(df.filter(at_edge), inside, rest))
+        return _null_edge(column, before, edge[0]["n"])
+    better = (column > F.lit(value)) if descending else (column < F.lit(value))
+    return (value, before, edge[0]["n"]), better, column == F.lit(value)
+
+
+def part_order(part: str = "source_sheet") -> list[Column]:
+    """Natural order of parts: by name up to its last digits, then by these as a number, so that part 9 precedes 10."""
+    name = F.col(part)
+    number = F.coalesce(F.expr(f"try_cast(regexp_extract({part}, '([0-9]+)$', 1) as bigint)"), F.lit(-1).cast("long"))
+    return [F.regexp_replace(name, "[0-9]+$", ""), number, name]
 
 
 def limit_input(df: DataFrame, max_rows: int | None, selection: str = "head") -> DataFrame:
-    """Head or tail of the source in (source_sheet, source_row) order."""
+    """Head or tail of the source: parts in natural order, then source_row."""
     if selection not in ("head", "tail"):
         raise ValueError("selection must be 'head' or 'tail'")
     if max_rows is None:
         return df
     last = selection == "tail"
-    return first_n(df, max_rows, [(F.col("source_sheet"), last), *_row_order(last)])
-
-
-def _row_order(descending: bool) -> list[tuple[Column, bool]]:
-    """Source rows by block and then by number, so that even the last refinement sorts one block only."""
-    return [(F.floor(F.col("source_row") / F.lit(SORT_LIMIT)), descending), (F.col("source_row"), descending)]
+    return first_n(df, max_rows, [(c, last) for c in [*part_order(), F.col("source_row")]])
 
 
 def newest_rows(df: DataFrame, max_rows: int | None, ties: list[str]) -> DataFrame:
@@ -71,7 +112,7 @@ def newest_rows(df: DataFrame, max_rows: int | None, ties: list[str]) -> DataFra
         return df
     order = [(F.col("model_utc"), True)]
     for name in ties:
-        order += _row_order(True) if name == "source_row" else [(F.col(name), True)]
+        order += [(c, True) for c in (part_order() if name == "source_sheet" else [F.col(name)])]
     return first_n(df, max_rows, order)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadcast import names as N
@@ -47,6 +47,18 @@ def query_parameters(
     }
 
 
+def _wall_clock(moment: dt.datetime) -> Column:
+    """A wall-clock literal by its text; a datetime would be shifted by the driver's zone."""
+    return F.lit(moment.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+
+
+def ordered_extract(rows: DataFrame) -> DataFrame:
+    """The extract in the order of its source query (point, delivery time): ranges over tasks, sorted in each, so that
+    files written from it are in order one after another without a sort in one task."""
+    order = ["point", "w_valid_local"]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def warehouse_extract(
     view: DataFrame,
     valid_from: object,
@@ -68,8 +80,8 @@ def warehouse_extract(
         & (F.col("owner") == p["owner"])
         & (F.col("forecast_type") == p["forecast_type"])
         & (F.col("is_last_in_batch") == 1)
-        & (F.col("w_valid_local") >= F.lit(p["valid_from"]).cast("timestamp_ntz"))
-        & (F.col("w_valid_local") < F.lit(p["valid_to"]).cast("timestamp_ntz"))
+        & (F.col("w_valid_local") >= _wall_clock(p["valid_from"]))
+        & (F.col("w_valid_local") < _wall_clock(p["valid_to"]))
         & F.col("issue_utc").isNotNull()
         & (F.col("issue_utc") <= F.col("w_valid_utc") - hours(p["min_lead_hours"]))
     )

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,9 +74,7 @@ def test_parquet_scan_has_row_index(spark, folder):
     assert df.filter(F.col("source_row") != F.col("actual").cast("long") + 2).count() == 0
 
 
-@pytest.mark.parametrize("bound", [10_000, 1])
-def test_limits(spark, folder, bound, monkeypatch):
-    monkeypatch.setattr(L, "SORT_LIMIT", bound)
+def test_limits(spark, folder):
     df = S.scan_energy(spark, parts(folder), fmt="csv", part_regex=S.PART_REGEX)
     tail = L.limit_input(df, 3, "tail")
     assert sorted(r.trade_date for r in tail.collect()) == ["2025-02-02", "2025-02-03", "2025-02-04"]
@@ -88,8 +87,8 @@ def test_limits(spark, folder, bound, monkeypatch):
 
 @pytest.mark.parametrize("n", [1, 400, 1000, 1400, 2000, 5000])
 def test_large_limit_equals_sorted_limit(spark, n, monkeypatch):
-    """A third of the rows shares one time and some have none."""
-    monkeypatch.setattr(L, "SORT_LIMIT", 10)
+    """A third of the rows shares one time and some have none; numbers take several digits."""
+    monkeypatch.setattr(L, "_BITS", 3)
     df = spark.range(2000).select(
         F.when(F.col("id") % 3 == 0, F.lit(50)).when(F.col("id") % 20 != 1, F.pmod(F.xxhash64("id"), F.lit(100)).cast("int")).alias("t"),
         (F.col("id") % 7).alias("s"),
@@ -100,6 +99,48 @@ def test_large_limit_equals_sorted_limit(spark, n, monkeypatch):
     assert got == {r.id for r in want}
 
 
+def test_parts_are_in_natural_order(spark):
+    df = spark.createDataFrame([(f"Dane_{p}", r) for p in range(1, 13) for r in (2, 3)], "source_sheet string, source_row long")
+    tail = {(r.source_sheet, r.source_row) for r in L.limit_input(df, 5, "tail").collect()}
+    assert tail == {("Dane_12", 2), ("Dane_12", 3), ("Dane_11", 2), ("Dane_11", 3), ("Dane_10", 3)}
+    assert {r.source_sheet for r in L.limit_input(df, 18, "head").collect()} == {f"Dane_{p}" for p in range(1, 10)}
+
+
+def test_newest_rows_survive_the_repeated_hour(spark):
+    """The driver's zone must not matter: the limit falls into the hour that an autumn clock shows twice."""
+    zone, old = os.environ.get("TZ"), time.tzname
+    os.environ["TZ"] = "Europe/Warsaw"
+    time.tzset()
+    try:
+        rows = spark.range(400).select(
+            F.timestamp_seconds(F.lit(1_761_436_800) + F.floor(F.col("id") / 40) * 3600).alias("model_utc"), F.col("id").alias("source_row")
+        )
+        for n in range(20, 400, 40):
+            got = {r.source_row for r in L.newest_rows(rows, n, ["source_row"]).select("source_row").collect()}
+            assert got == set(range(400 - n, 400))
+        view = spark.range(72).select(
+            F.col("id").alias("exec_id"),
+            F.lit("Lublin").alias("punkt"),
+            F.expr("timestamp_ntz'2025-06-30 00:00:00' + make_dt_interval(0, int(id))").alias("dataGodzinaCET"),
+            F.timestamp_seconds(F.lit(1_751_234_400) + F.col("id") * 3600).alias("dataGodzinaUTC"),
+            F.timestamp_seconds(F.lit(1_700_000_000)).alias("czasDanychZrodlaUTC"),
+            F.expr("to_date(timestamp_ntz'2025-06-30 00:00:00' + make_dt_interval(0, int(id)))").alias("dataCET"),
+            (F.col("id") % 24 + 1).cast("int").alias("godzinaHandlowa25"),
+            F.lit("o").alias("wlasciciel"), F.lit("t").alias("typ"), F.lit(1).alias("czyOstatniNaCzasDanych"), F.lit(1.0).alias("temperatura"),
+        )
+        got = WH.warehouse_extract(view, "2025-07-01", "2025-07-02", 0, "o", "t")
+        assert WH.ordered_extract(got).columns == got.columns
+        got = got.select(F.col("w_valid_local").cast("string")).collect()
+        assert sorted(r[0] for r in got) == [f"2025-07-01 {h:02d}:00:00" for h in range(24)]
+    finally:
+        if zone is None:
+            del os.environ["TZ"]
+        else:
+            os.environ["TZ"] = zone
+        time.tzset()
+        assert time.tzname == old
+
+
 def test_no_training_cap_keeps_everything(spark):
     df = spark.range(5)
     assert L.newest_rows(df, None, []) is df
