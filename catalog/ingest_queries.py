@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog import views as V
@@ -11,7 +13,8 @@ from loadcast.functions.rowwise import series_key
 from loadcast.functions.times import strict_to_utc, valid_time
 from loadcast.operators import energy as EN
 from loadcast.operators.quality import append_quality
-from loadcast.sinks.tables import COMPACT, exported_rows, locale_text, output_columns, safe_part
+from loadcast.session import scratch_folder
+from loadcast.sinks.tables import exported_rows, locale_text, output_columns, safe_part, write_predictions
 from loadcast.sources import scan
 from loadcast.sources.limits import input_limit_report, limit_input
 from loadcast.sources.warehouse import infer_date_range
@@ -241,14 +244,13 @@ def normalize_energy(spark, sf):
     f"""WITH r AS ({_RAW_SQL}), q AS (
           SELECT count(*) AS a, count(*) FILTER (branch_code IS NULL) AS b,
             count(*) FILTER (branch_code IS NOT NULL AND point IS NULL) AS c,
-            array_to_string(list_sort(list(DISTINCT branch_code) FILTER (point IS NULL AND branch_code IS NOT NULL)), ', ') AS u,
             count(*) FILTER (direction IS NULL) AS d,
             count(*) FILTER ((direction = 'IMPORT' AND sgn < 0) OR (direction = 'EXPORT' AND sgn > 0)) AS e,
             count(*) FILTER (trade_hour NOT BETWEEN 1 AND 24) AS f,
             count(*) FILTER (actual IS NULL) AS g, count(*) FILTER (actual < 0) AS h FROM r)
         SELECT 'energy_rows' AS "check", a AS "count", '' AS details FROM q
         UNION ALL SELECT 'missing_branch', b, '' FROM q
-        UNION ALL SELECT 'unknown_branch', c, u FROM q
+        UNION ALL SELECT 'unknown_branch', c, 'codes in unknown_branches' FROM q
         UNION ALL SELECT 'missing_direction', d, '' FROM q
         UNION ALL SELECT 'direction_mismatch', e, 'the direction text wins' FROM q
         UNION ALL SELECT 'hour_25_or_invalid', f, 'needs the trade key of the weather source' FROM q
@@ -259,6 +261,15 @@ def quality_energy(spark, sf):
     return EN.energy_quality(EN.normalize_energy(_raw_text(spark, sf), _branch_mapping(spark, sf)))
 
 
+@query(
+    "unknown_branches",
+    f"""SELECT branch_code, count(*) AS n_rows FROM ({_RAW_SQL})
+        WHERE branch_code IS NOT NULL AND point IS NULL GROUP BY branch_code""",
+)
+def unknown_branches(spark, sf):
+    return EN.unknown_branches(EN.normalize_energy(_raw_text(spark, sf), _branch_mapping(spark, sf)))
+
+
 @query(
     "date_range_clamp",
     """SELECT greatest(CAST(min(CAST(ts AS DATE)) AS TIMESTAMP), TIMESTAMP '2024-01-10') AS valid_from,
@@ -449,3 +460,70 @@ def quality_append(spark, sf):
         )
 
     return append_quality(block("orders", "a", "x"), block("customer", "b", "y"))
+
+
+@query(
+    "tail_over_parts",
+    """SELECT 'Dane_' || (o_orderkey % 12 + 1) AS source_sheet, o_orderkey AS source_row FROM orders
+       ORDER BY o_orderkey % 12 + 1 DESC, o_orderkey DESC LIMIT 3000""",
+)
+def tail_over_parts(spark, sf):
+    """Parts 1 to 12 in natural order: 12 is last, not 9."""
+    key = F.col("o_orderkey")
+    rows = table(spark, sf, "orders").select(F.concat(F.lit("Dane_"), (key % 12 + 1).cast("string")).alias("source_sheet"), key.alias("source_row"))
+    return limit_input(rows, 3_000, "tail")
+
+
+def _nine(spark, sf):
+    """Nine text columns of `orders` under the names of an energy source."""
+    from loadcast import names as N
+
+    orders = table(spark, sf, "orders")
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_clerk", "o_orderdate", "o_shippriority", "o_orderkey", "o_totalprice"]
+    have = [c if c in orders.columns else "o_orderkey" for c in columns]
+    return orders.select(*[F.col(c).cast("string").alias(n) for c, n in zip(have, N.ENERGY_COLUMNS, strict=True)])
+
+
+@query(
+    "multi_part_scan",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS first_column, CAST(o_custkey AS VARCHAR) AS second_column FROM orders""",
+)
+def multi_part_scan(spark, sf):
+    """`orders` written as CSV parts with two headers and two separators, and scanned back by name."""
+    from loadcast import names as N
+
+    rows, root = _nine(spark, sf), f"{scratch_folder(spark)}/{uuid.uuid4().hex}"
+    odd = F.col(N.ENERGY_COLUMNS[0]).cast("long") % 2 == 1
+    rows.filter(odd).repartition(3).write.options(header=True, sep=";").csv(f"{root}/a")
+    rows.filter(~odd).select(*reversed(N.ENERGY_COLUMNS)).repartition(2).write.options(header=True, sep=",").csv(f"{root}/b")
+    back = scan.scan_energy(spark, [f"{root}/a", f"{root}/b"], fmt="csv")
+    return back.select(F.col(N.ENERGY_COLUMNS[0]).alias("first_column"), F.col(N.ENERGY_COLUMNS[1]).alias("second_column"))
+
+
+@query(
+    "provenance_rows",
+    """SELECT i + 2 AS source_row, CAST(o_orderkey AS VARCHAR) AS first_column
+       FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders)""",
+)
+def provenance_rows(spark, sf):
+    """One CSV file in key order: a row's number is its place in the file, header included."""
+    from loadcast import names as N
+
+    path = f"{scratch_folder(spark)}/{uuid.uuid4().hex}/one"
+    rows = _nine(spark, sf)
+    rows.coalesce(1).sortWithinPartitions(F.col(N.ENERGY_COLUMNS[0]).cast("long")).write.options(header=True, sep=";").csv(path)
+    return scan.scan_energy(spark, path, fmt="csv").select("source_row", F.col(N.ENERGY_COLUMNS[0]).alias("first_column"))
+
+
+@query(
+    "predictions_by_part",
+    f"""SELECT source_row, actual, regexp_replace(source_sheet, '[^a-zA-Z0-9_-]', '_', 'g') AS part
+        FROM ({V.ENERGY_SQL}) WHERE source_row % 3 <> 0""",
+)
+def predictions_by_part(spark, sf):
+    """The sink writes a folder per part; what comes back is what was exported."""
+    row = F.col("source_row")
+    status = F.when(row % 3 == 0, "WARMUP").when(row % 2 == 0, "OOF").otherwise("FUTURE")
+    path = f"{scratch_folder(spark)}/{uuid.uuid4().hex}/predictions"
+    write_predictions(V.energy(spark, sf).withColumn("prediction_status", status), path, compact=True, oof_only=True)
+    return spark.read.parquet(path).select("source_row", "actual", F.col("part").cast("string").alias("part"))

@@ -387,20 +387,19 @@ def lag_baseline_report(spark, sf):
     return _rounded(M.metrics_by_scope(M.error_cells(lagged_rows, {N.M_LAG: "baseline"})))
 
 
-def _small_config(rows: int) -> ForecastConfig:
-    """Row thresholds follow the table size; few shallow trees keep the check short, all rows are used."""
+def _small_config() -> ForecastConfig:
+    """Windows that fit the month of `events`; few shallow trees keep a fit short. All rows are used at every size."""
     return ForecastConfig(
         validation_days=5,
         n_splits=2,
         calibration_days=4,
-        min_train_rows=max(20, rows // 50),
-        min_calibration_rows=max(10, rows // 100),
+        min_train_rows=20,
+        min_calibration_rows=10,
         min_improvement=0.0,
         max_iter=3,
         step_size=0.3,
         backend="depth_limited",
         tree_depth=3,
-        max_importance_rows=500,
         parallel_fits=4,
         weather_start=None,
     )
@@ -413,7 +412,7 @@ def _future(df):
 
 def _run(spark, sf, importance=False, n_splits=2):
     joined = materialize(_future(enriched(spark, sf)), "joined")
-    config = replace(_small_config(joined.count()), compute_importance=importance, n_splits=n_splits)
+    config = replace(_small_config(), compute_importance=importance, n_splits=n_splits)
     return run_forecast(joined, config), joined, config
 
 
@@ -429,7 +428,7 @@ def residual_forecast(spark, sf):
 
 @query("permutation_importance")
 def permutation_importance_query(spark, sf):
-    result, _, _ = _run(spark, sf, importance=True, n_splits=1)
+    result, _, _ = _run(spark, sf, importance=True)
     return result.importance
 
 

@@ -43,18 +43,11 @@ _WAREHOUSE_SQL = """
          event_id AS exec_id, value AS temperature FROM events"""
 
 
-@query(
-    "vintage_exec_tiebreak",
-    f"""SELECT point, w_trade_date, w_trade_hour, exec_id, issue_utc, temperature,
-          CAST(CAST(date_diff('minute', issue_utc, w_valid_utc) / 60.0 AS DECIMAL(10, 2)) AS DOUBLE) AS lead_hours_sql
-        FROM (SELECT *, row_number() OVER (PARTITION BY point, w_trade_date, w_trade_hour
-                                           ORDER BY issue_utc DESC, exec_id DESC) AS rn
-              FROM ({_WAREHOUSE_SQL}) WHERE issue_utc <= w_valid_utc - INTERVAL 24 HOUR) WHERE rn = 1""",
-)
-def vintage_exec_tiebreak(spark, sf):
+def _warehouse(spark, sf):
+    """`events` as the warehouse view of issued forecasts."""
     e = F.col("event_id")
     hour = F.date_trunc("hour", "ts")
-    view = table(spark, sf, "events").select(
+    return table(spark, sf, "events").select(
         F.concat(F.lit("P"), (F.col("user_id") % 4).cast("string")).alias("punkt"),
         F.col("ts").cast("date").alias("dataCET"),
         (F.hour("ts") + 1).alias("godzinaHandlowa25"),
@@ -67,15 +60,54 @@ def vintage_exec_tiebreak(spark, sf):
         F.lit(1).alias("czyOstatniNaCzasDanych"),
         F.col("value").alias("temperatura"),
     )
-    out = warehouse_extract(
-        view, "2023-01-01", "2030-01-01", 24, "owner", "kind", points=["P0", "P1", "P2", "P3"]
-    )
+
+
+def _extract_columns(out):
     return out.select(
         "point", "w_trade_date", "w_trade_hour", "exec_id", F.col("issue_utc").cast("timestamp_ntz").alias("issue_utc"),
         "temperature", F.col("lead_hours_sql").cast("double").alias("lead_hours_sql"),
     )
 
 
+@query(
+    "vintage_exec_tiebreak",
+    f"""SELECT point, w_trade_date, w_trade_hour, exec_id, issue_utc, temperature,
+          CAST(CAST(date_diff('minute', issue_utc, w_valid_utc) / 60.0 AS DECIMAL(10, 2)) AS DOUBLE) AS lead_hours_sql
+        FROM (SELECT *, row_number() OVER (PARTITION BY point, w_trade_date, w_trade_hour
+                                           ORDER BY issue_utc DESC, exec_id DESC) AS rn
+              FROM ({_WAREHOUSE_SQL}) WHERE issue_utc <= w_valid_utc - INTERVAL 24 HOUR) WHERE rn = 1""",
+)
+def vintage_exec_tiebreak(spark, sf):
+    out = warehouse_extract(
+        _warehouse(spark, sf), "2023-01-01", "2030-01-01", 24, "owner", "kind", points=["P0", "P1", "P2", "P3"]
+    )
+    return _extract_columns(out)
+
+
+@query(
+    "extract_filters",
+    f"""SELECT point, w_trade_date, w_trade_hour, exec_id, issue_utc, temperature,
+          CAST(CAST(date_diff('minute', issue_utc, w_valid_utc) / 60.0 AS DECIMAL(10, 2)) AS DOUBLE) AS lead_hours_sql
+        FROM (SELECT *, row_number() OVER (PARTITION BY point, w_trade_date, w_trade_hour
+                                           ORDER BY issue_utc DESC, exec_id DESC) AS rn
+              FROM ({_WAREHOUSE_SQL}) WHERE issue_utc <= w_valid_utc - INTERVAL 6 HOUR
+                AND exec_id % 3 = 1 AND exec_id % 2 = 1 AND exec_id % 5 <> 0 AND point IN ('P1', 'P2')
+                AND w_valid_utc + INTERVAL 1 HOUR >= TIMESTAMP '2024-01-05' AND w_valid_utc + INTERVAL 1 HOUR < TIMESTAMP '2024-01-20')
+        WHERE rn = 1""",
+)
+def extract_filters(spark, sf):
+    """Owner, type, batch flag, points and window each leave rows out."""
+    e = F.col("execId")
+    view = _warehouse(spark, sf).withColumns(
+        {
+            "wlasciciel": F.concat(F.lit("own"), (e % 3).cast("string")),
+            "typ": F.concat(F.lit("k"), (e % 2).cast("string")),
+            "czyOstatniNaCzasDanych": (e % 5 != 0).cast("int"),
+        }
+    )
+    return _extract_columns(warehouse_extract(view, "2024-01-05", "2024-01-20", 6, "own1", "k1", points=["P1", "P2"]))
+
+
 @query(
     "sql_named_parameters",
     """SELECT event_type, count(*) AS n, min(ts) AS first_ts FROM events

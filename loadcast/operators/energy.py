@@ -68,6 +68,12 @@ def normalize_energy(raw: DataFrame, mapping: DataFrame) -> DataFrame:
     return df.withColumn("valid_local", valid_time(F.col("trade_date"), F.col("trade_hour")))
 
 
+def unknown_branches(df: DataFrame) -> DataFrame:
+    """Branch codes without a weather point and their rows, however many there are."""
+    unknown = df.filter(F.col("branch_code").isNotNull() & F.col("point").isNull())
+    return unknown.groupBy("branch_code").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def energy_quality(df: DataFrame) -> DataFrame:
     """Check/count/details rows over normalised energy, in one pass."""
     unknown = F.col("branch_code").isNotNull() & F.col("point").isNull()
@@ -75,7 +81,6 @@ def energy_quality(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("branch_code").isNull()).alias("no_branch"),
         F.count_if(unknown).alias("unknown_branch"),
-        F.array_join(F.array_sort(F.collect_set(F.when(unknown, F.col("branch_code")))), ", ").alias("unknown_list"),
         F.count_if(F.col("direction").isNull()).alias("no_direction"),
         F.count_if(direction_mismatch(F.col("direction"), F.col("direction_code"))).alias("mismatch"),
         F.count_if(~F.coalesce(F.col("trade_hour").between(1, 24), F.lit(False))).alias("bad_hour"),
@@ -87,7 +92,7 @@ def energy_quality(df: DataFrame) -> DataFrame:
             F.lit(8),
             F.lit("energy_rows"), F.col("rows"), F.lit(""),
             F.lit("missing_branch"), F.col("no_branch"), F.lit(""),
-            F.lit("unknown_branch"), F.col("unknown_branch"), F.col("unknown_list"),
+            F.lit("unknown_branch"), F.col("unknown_branch"), F.lit("codes in unknown_branches"),
             F.lit("missing_direction"), F.col("no_direction"), F.lit(""),
             F.lit("direction_mismatch"), F.col("mismatch"), F.lit("the direction text wins"),
             F.lit("hour_25_or_invalid"), F.col("bad_hour"), F.lit("needs the trade key of the weather source"),

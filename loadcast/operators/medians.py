@@ -79,14 +79,22 @@ def _tag_levels(rows: DataFrame, scope: list[str], keys: list[str], levels: list
 
 
 def _coarse_bucket(v: Column) -> Column:
-    """Order-preserving bucket: sign, power of two and 4096 steps within it."""
-    size = F.abs(v)
+    """Order-preserving bucket: sign, power of two and 4096 steps within it; infinities lie outside all others."""
+    size = _finite_size(v)
     power = F.floor(F.log2(size)).cast("double")
     step = F.floor(size / F.pow(F.lit(2.0), power) * _OCTAVE_PARTS)
     code = ((power + 1100) * (2 * _OCTAVE_PARTS) + step).cast("long")
+    outside = F.lit(1 << 40)
+    code = F.when(F.isnan(v), outside + 1).when(F.abs(v) == float("inf"), outside).otherwise(code)
     return F.when(v == 0, F.lit(0).cast("long")).when(v > 0, code).otherwise(-code)
 
 
+def _finite_size(v: Column) -> Column:
+    """The absolute value; 1 in place of infinity and NaN, whose buckets do not depend on it."""
+    size = F.abs(v)
+    return F.when(size < float("inf"), size).otherwise(F.lit(1.0))
+
+
 def _narrow(rows: DataFrame, group: list[str], bucket: Column) -> DataFrame:
     """Keep only the buckets that hold a wanted rank; ranks become relative to the bucket.
 
@@ -124,7 +132,7 @@ def _large_medians(rows: DataFrame, group: list[str]) -> DataFrame:
     ).withColumn("_rank", F.floor((F.col("_size") + 1 + F.col("_which")) / 2).cast("long"))
     keys = [*group, "_which", "_size"]
     first = _narrow(both, keys, _coarse_bucket(F.col("_v")))
-    size = F.abs(F.col("_v"))
+    size = _finite_size(F.col("_v"))
     power = F.pow(F.lit(2.0), F.floor(F.log2(size)))
     inside = size / power * _OCTAVE_PARTS - F.floor(size / power * _OCTAVE_PARTS)
     fine = F.when(F.col("_v") == 0, F.lit(0)).otherwise(F.floor(inside * _FINE_PARTS) * F.signum("_v"))

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from loadcast.config import ForecastConfig
 from loadcast.operators import encode as E
 from loadcast.operators.features import FeatureSpec
+from loadcast.operators.medians import grouped_medians
 from loadcast.session import materialize, shared_folder
-from loadcast.sources.limits import newest_rows
 
 ROW_KEY = ["source_sheet", "source_row"]
 LEAF_LIMIT_DEPTH = 5
@@ -48,6 +48,23 @@ def usable_rows(df: DataFrame) -> DataFrame:
     return usable.withColumn("residual_target", F.col("actual") - F.col("baseline"))
 
 
+def held_out_from(by_hour: list[tuple[int | None, int]]) -> int | None:
+    """The hour from which rows decide when to stop: the newest hours that hold a tenth of the rows, never all of them.
+
+    None if no hour can be held out (all rows share one).
+    """
+    hours = sorted(((h, n) for h, n in by_hour if h is not None), reverse=True)
+    total, held, chosen = sum(n for _, n in by_hour), 0, None
+    for h, n in hours:
+        held += n
+        if held == total:
+            break
+        chosen = h
+        if 10 * held >= total:
+            break
+    return chosen
+
+
 def fit_residual(train: DataFrame, spec: FeatureSpec, config: ForecastConfig) -> ResidualModel:
     """Fit on all usable rows of `train`.
 
@@ -60,23 +77,24 @@ def fit_residual(train: DataFrame, spec: FeatureSpec, config: ForecastConfig) ->
     usable = usable_rows(train)
     fold = E.row_fold(ROW_KEY, config.seed)
     cells = materialize(E.target_cells(usable, spec.categorical, "residual_target", fold), "target_cells")
-    stats = usable.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx(F.abs("residual_target"), 0.5).alias("scale"),
-        F.percentile_approx(F.unix_seconds("model_utc"), 0.9).alias("newest"),
-    ).first()
-    if stats.n < config.min_train_rows:
+    hour = F.floor(F.unix_seconds("model_utc") / 3600)
+    # One row per hour of history, so the split is exact and its counts stay small.
+    by_hour = [(r.h, r.n) for r in usable.groupBy(hour.alias("h")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    rows, first_held = sum(n for _, n in by_hour), held_out_from(by_hour)
+    middle = grouped_medians(usable.select(F.abs("residual_target").alias("size")), [[]], "size").first()
+    if rows < config.min_train_rows:
         raise ValueError("too few rows with a lag baseline to learn a correction")
     mean = E.overall_mean(cells).first()[0]
     encodings = materialize(E.encoding_table(cells, spec.categorical), "encodings")
-    scale = float(stats.scale) if stats.scale else 1.0
+    scale = float(middle["median"]) if middle and middle["median"] else 1.0
     encoded = E.apply_encoding(usable, encodings, spec.categorical, mean, fold)
     matrix = encoded.select(
         array_to_vector(E.model_matrix(spec.categorical, spec.numeric)).alias("features"),
-        (F.col("residual_target") / scale).alias("label"),
-        (F.unix_seconds("model_utc") > F.lit(stats.newest)).alias("held_out"),
+        (F.col("residual_target") / F.lit(scale)).alias("label"),
+        F.coalesce(hour >= F.lit(first_held), F.lit(False)).alias("held_out"),
     )
     depth = LEAF_LIMIT_DEPTH if config.backend == "leaf_limited" else config.tree_depth
+    stop = {} if first_held is None else {"validationIndicatorCol": "held_out"}
     trees = GBTRegressor(
         featuresCol="features",
         labelCol="label",
@@ -85,7 +103,7 @@ def fit_residual(train: DataFrame, spec: FeatureSpec, config: ForecastConfig) ->
         stepSize=config.step_size,
         maxDepth=depth,
         minInstancesPerNode=MIN_LEAF_ROWS if config.backend == "leaf_limited" else 1,
-        validationIndicatorCol="held_out",
+        **stop,
         validationTol=1e-4,
         seed=config.seed,
         maxMemoryInMB=1024,
@@ -95,30 +113,28 @@ def fit_residual(train: DataFrame, spec: FeatureSpec, config: ForecastConfig) ->
 
 
 def permutation_importance(
-    model: ResidualModel, test: DataFrame, max_rows: int = 5_000, repeats: int = 2, seed: int = 42, min_rows: int = 50
-) -> DataFrame | None:
+    model: ResidualModel, test: DataFrame, repeats: int = 2, seed: int = 42, bucket_rows: int = 2_000
+) -> DataFrame:
     """Rise of the MAE when one input is shuffled: feature, importance, spread over repeats.
 
-    Works on the newest `max_rows` rows (the size of the report's sample). All features and repeats are scored as one
-    DataFrame. None when fewer than `min_rows` rows are available.
+    All test rows count. They are dealt to random buckets of about `bucket_rows` and shuffled inside them, so that no
+    task orders all rows. All features and repeats are scored as one DataFrame. Without rows the values are NULL.
     """
     spec = model.spec
-    sample = newest_rows(usable_rows(test), max_rows, ROW_KEY)
     raw = E.raw_inputs(spec.categorical, spec.numeric).alias("_raw")
-    narrow = model.encode(sample).select(raw, "residual_target", *ROW_KEY, F.xxhash64(*ROW_KEY).alias("_h"))
+    narrow = model.encode(usable_rows(test)).select(raw, "residual_target", *ROW_KEY, F.xxhash64(*ROW_KEY).alias("_h"))
     sample = materialize(narrow, "importance")
-    n = sample.count()
-    if n < min_rows:
-        return None
+    buckets = max(1, sample.count() // bucket_rows)
     names = spec.all
-    # Positions 1..n: at most `max_rows` rows, so an unpartitioned order is fine here.
-    base = sample.withColumn("_i", F.row_number().over(W.orderBy("_h", *ROW_KEY)))
     spec_array = F.array(*[F.lit(x) for x in names])
     shuffled = None
     for r in range(repeats):
-        order = W.orderBy(F.xxhash64("_h", F.lit(seed + r)), *ROW_KEY)
-        donor = base.select(F.row_number().over(order).alias("_i"), F.col("_raw").alias("_other"))
-        pairs = base.select("_i", "_raw", "residual_target").join(donor, "_i").withColumn("_repeat", F.lit(r))
+        dealt = sample.withColumn("_b", F.pmod(F.xxhash64("_h", F.lit(seed - 1 - r)), F.lit(buckets)))
+        inside = W.partitionBy("_b")
+        base = dealt.withColumn("_i", F.row_number().over(inside.orderBy("_h", *ROW_KEY)))
+        other = F.row_number().over(inside.orderBy(F.xxhash64("_h", F.lit(seed + r)), *ROW_KEY))
+        donor = dealt.select("_b", other.alias("_i"), F.col("_raw").alias("_other"))
+        pairs = base.select("_b", "_i", "_raw", "residual_target").join(donor, ["_b", "_i"]).withColumn("_repeat", F.lit(r))
         shuffled = pairs if shuffled is None else shuffled.unionByName(pairs)
     variants = shuffled.select(
         "_repeat", "residual_target", "_raw", "_other", F.posexplode(spec_array).alias("_f", "feature")
@@ -134,10 +150,12 @@ def permutation_importance(
     )
     miss = F.avg(F.abs(F.col("correction") - F.col("residual_target")))
     matrix = E.matrix_of(F.col("_raw"), len(spec.categorical))
-    plain = model.score(base.select("_raw", "residual_target"), matrix, "correction").agg(miss).first()[0]
+    plain = model.score(sample.select("_raw", "residual_target"), matrix, "correction").agg(miss).first()[0]
     scored = model.score(variants, matrix, "correction").groupBy("feature", "_repeat").agg(miss.alias("mae"))
-    rise = F.col("mae") - F.lit(plain)
-    return scored.groupBy("feature").agg(F.avg(rise).alias("importance"), F.stddev_pop(rise).alias("spread"))
+    rise = F.col("mae") - F.lit(plain).cast("double")
+    found = scored.groupBy("feature").agg(F.avg(rise).alias("importance"), F.stddev_pop(rise).alias("spread"))
+    every = test.sparkSession.createDataFrame([(x,) for x in names], "feature string")
+    return every.join(found, "feature", "left")
 
 
 def importance_summary(per_fold: DataFrame) -> DataFrame:
@@ -147,7 +165,7 @@ def importance_summary(per_fold: DataFrame) -> DataFrame:
         .agg(
             F.avg("importance").alias("importance"),
             F.stddev_samp("importance").alias("spread_over_folds"),
-            F.countDistinct("fold").alias("n_folds"),
+            F.countDistinct(F.when(F.col("importance").isNotNull(), F.col("fold"))).alias("n_folds"),
         )
         .orderBy("direction", F.desc("importance"))
     )

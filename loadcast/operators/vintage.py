@@ -49,7 +49,7 @@ def type_weather(raw: DataFrame, already_vintaged: bool = False) -> tuple[DataFr
         typed("w_trade_date", T.to_day, "date") if "w_trade_date" in have else local.cast("date").alias("w_trade_date"),
         typed("w_trade_hour", T.first_int, "int") if "w_trade_hour" in have else (F.hour(local) + 1).alias("w_trade_hour"),
         *[typed(f, T.number, "double") for f in N.WEATHER_FEATURES],
-        (F.col("src_order") if "src_order" in have else F.monotonically_increasing_id()).alias("src_order"),
+        (F.col("src_order") if "src_order" in have else F.xxhash64(*sorted(df.columns))).alias("src_order"),
     ]
     df = df.select(*columns).withColumn("point_key", T.token(F.col("point")))
     return df.filter(F.col("w_valid_local").isNotNull() & (F.col("point_key") != "")), explicit

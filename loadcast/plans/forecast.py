@@ -365,7 +365,6 @@ def _importance(oof, fold_models, config) -> DataFrame | None:
     frames = []
     for (fold, direction), model in fold_models.items():
         rows = oof.filter(_is(direction) & (F.col("fold") == fold))
-        one = permutation_importance(model, rows, config.max_importance_rows, seed=config.seed)
-        if one is not None:
-            frames.append(one.withColumns({"direction": F.lit(direction), "fold": F.lit(fold)}))
+        one = permutation_importance(model, rows, seed=config.seed)
+        frames.append(one.withColumns({"direction": F.lit(direction), "fold": F.lit(fold)}))
     return importance_summary(_union(frames)) if frames else None

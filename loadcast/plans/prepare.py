@@ -9,7 +9,7 @@ from loadcast.config import ForecastConfig
 from loadcast.operators import energy as EN
 from loadcast.operators import enrich as J
 from loadcast.operators import vintage as V
-from loadcast.session import require_utc
+from loadcast.session import materialize, plan_bytes, require_utc, tune
 from loadcast.sources import scan
 from loadcast.sources.limits import input_limit_report, limit_input
 
@@ -17,8 +17,10 @@ from loadcast.sources.limits import input_limit_report, limit_input
 def prepare_energy(raw: DataFrame, mapping: DataFrame, config: ForecastConfig) -> tuple[DataFrame, DataFrame]:
     """Normalised energy and its quality rows. `raw` comes from `scan_energy`."""
     require_utc(raw.sparkSession)
+    tune(raw.sparkSession, plan_bytes(raw))
     used = limit_input(raw, config.max_input_rows, config.row_selection)
-    energy = EN.normalize_energy(used, mapping)
+    # The text is parsed once; counts, modes, lags and quality read the typed table.
+    energy = materialize(EN.normalize_energy(used, mapping), "energy")
     total = raw.count() if config.max_input_rows is not None else F.col("used")
     quality = EN.energy_quality(energy).unionByName(input_limit_report(total, energy, config.row_selection))
     return energy, quality

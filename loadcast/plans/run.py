@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from loadcast import names as N
 from loadcast.config import ForecastConfig
 from loadcast.operators import quality as Q
+from loadcast.operators.energy import unknown_branches
 from loadcast.operators.metrics import kpi_summary
 from loadcast.plans.forecast import ForecastResult, run_forecast
 from loadcast.plans.package import ForecastPackage, build_package, save_package
@@ -88,17 +89,18 @@ def _finish(energy, joined, quality, mapping, source, output_path, config, csv)
         Q.model_quality(spark, result.models),
     )
     kpi = kpi_summary(predictions, result.metrics, [d for d in N.DIRECTIONS if result.models[d].model is not None])
-    package = build_package(result, config, mapping)
+    package = build_package(result, config, mapping.drop("src_order"))
     root = output_path.rstrip("/")
     write = OUT.write_csv if csv else OUT.write_parquet
     OUT.write_predictions(predictions, f"{root}/predictions", config.compact_output, config.oof_output_only, csv)
     write(result.metrics, f"{root}/metrics")
     write(quality, f"{root}/quality")
-    write(mapping, f"{root}/mapping")
+    write(unknown_branches(energy), f"{root}/unknown_branches")
+    write(mapping.drop("src_order"), f"{root}/mapping")
     write(kpi, f"{root}/kpi")
     if result.importance is not None:
         write(result.importance, f"{root}/importance")
     save_package(package, f"{root}/package")
-    facts = {"schema_version": package.schema_version, "cutoff_utc": package.cutoff_utc, "metadata": package.metadata}
+    facts = {"schema_version": package.version, **package.facts}
     OUT.write_manifest(spark, OUT.manifest(result, config, source, facts), f"{root}/manifest")
     return RunOutput(result, quality, kpi, package)

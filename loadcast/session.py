@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +38,13 @@ def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     return spark
 
 
+def plan_bytes(df: DataFrame) -> int | None:
+    """The largest source that a frame reads, from the sizes of its files; None where no source knows its size."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return max((n for n in sizes if n < 1 << 55), default=None)
+
+
 def build_session(master: str | None = None, app: str = "loadcast", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -62,18 +68,26 @@ def require_utc(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; a fresh local one only in local mode without a setting."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder the cluster names in spark.checkpoint.dir, else one below the warehouse, which Spark shares too."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="run-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """Where this application keeps its intermediate tables."""
+    return f"{shared_folder(spark).rstrip('/')}/loadcast/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; call it when no result that reads them is needed any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
@@ -81,7 +95,7 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     and unlike a checkpoint later reads still prune columns, partitions and row groups.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/loadcast/{uuid.uuid4().hex}/{name}"
+    path = f"{scratch_folder(spark)}/{uuid.uuid4().hex}/{name}"
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import asdict
-from typing import Any
+from typing import Any, NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,77 +15,36 @@ from loadcast.plans.forecast import ForecastResult
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
-_AUDIT = [
-    "baseline_backtest",
-    "lag_count",
-    "residual_actual",
-    "correction",
-    "raw_candidate",
-    "blend_alpha",
-    "strategy",
-    "calibration_n",
-    "calibration_improvement",
-    "calibration_reason",
-]
-COMPACT = [
-    "source_sheet",
-    "source_row",
-    "branch_code",
-    "point",
-    "group_name",
-    "client",
-    "direction",
-    "trade_date",
-    "trade_hour",
-    "actual",
-    "forecast",
-    *_AUDIT,
-    "error",
-    "abs_error",
-    "prediction_status",
-    "without_weather",
-    "fold",
-    "weather_status",
-    "weather_matched",
-    "feature_count",
-]
-FULL = [
-    "source_sheet",
-    "source_row",
-    "branch_code",
-    "point",
-    "group_name",
-    "client",
-    "direction_code",
-    "direction_text",
-    "direction",
-    "direction_source",
-    "trade_date",
-    "trade_hour",
-    "valid_local",
-    "model_utc",
-    "forecast_cutoff_utc",
-    "kind",
-    "actual",
-    "forecast",
-    *_AUDIT,
-    "full_model",
-    "full_model_in_sample",
-    "error",
-    "abs_error",
-    "prediction_status",
-    "without_weather",
-    "fold",
-    "weather_matched",
-    "weather_available",
-    "feature_count",
-    "weather_status",
-    "issue_local",
-    "issue_utc",
-    "w_valid_local",
-    "lead_hours",
-    *N.WEATHER_FEATURES,
-]
+
+class Group(NamedTuple):
+    """Columns that one step of the pipeline makes; `core` ones also belong to the compact output."""
+
+    step: str
+    core: tuple[str, ...] = ()
+    other: tuple[str, ...] = ()
+
+
+#: What a prediction row consists of, by the step that owns the columns. Which columns are core. Readers go by
+#: names, so the order is that of the steps.
+GROUPS = (
+    Group("scan", core=("source_sheet", "source_row")),
+    Group("series", core=tuple(c for c in N.SERIES_COLUMNS if c != "kind"), other=("kind",)),
+    Group("energy", core=("trade_date", "trade_hour", "actual"), other=("direction_text", "direction_code", "direction_source")),
+    Group("place", core=("point",)),
+    Group("time", other=("valid_local", "model_utc", "forecast_cutoff_utc")),
+    Group("weather match", core=("weather_matched", "weather_status", "without_weather")),
+    Group("vintage", other=("w_valid_local", "issue_local", "issue_utc", "lead_hours", "weather_available")),
+    Group("weather", other=tuple(N.WEATHER_FEATURES)),
+    Group("lags", core=("lag_count", "feature_count")),
+    Group("folds", core=("fold", "prediction_status")),
+    Group("baseline", core=("baseline_backtest", "residual_actual")),
+    Group("correction", core=("correction", "raw_candidate"), other=("full_model", "full_model_in_sample")),
+    Group("blend", core=("forecast", "blend_alpha", "strategy")),
+    Group("calibration", core=tuple(f"calibration_{c}" for c in ("n", "improvement", "reason"))),
+    Group("errors", core=("error", "abs_error")),
+)
+COMPACT = [c for g in GROUPS for c in g.core]
+FULL = [c for g in GROUPS for c in (*g.core, *g.other)]
 
 
 def output_columns(df: DataFrame, compact: bool = False) -> list[str]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loadcast import names as N
 from loadcast.functions.text import py_token, token
+from loadcast.sources.limits import part_order
 
 PART_REGEX = r"^Dane_\d+$"
 _SEPARATORS = [";", ",", "\t", "|"]
@@ -30,18 +31,37 @@ def _kind(paths: list[str], fmt: str | None) -> str:
     return "csv" if suffix in ("csv", "txt") else "parquet"
 
 
-def _sniff(spark: SparkSession, path: str) -> str:
-    head = spark.read.text(path).limit(1).collect()
-    line = head[0][0] if head else ""
+def _separator(line: str) -> str:
     return max(_SEPARATORS, key=line.count)
 
 
-def _read(spark: SparkSession, paths: list[str], kind: str, sep: str | None) -> DataFrame:
+def _header_groups(spark: SparkSession, paths: list[str], sep: str | None) -> list[tuple[str, list[str]]]:
+    """(separator, files) of the files that share separator and header.
+
+    One job takes the first line of every file; one row per distinct header and file reaches the driver.
+    """
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")).alias("place"),
+        "value",
+    )
+    first = lines.groupBy("file").agg(F.min_by("value", "place").alias("line")).collect()
+    groups: dict[tuple[str, str], list[str]] = {}
+    for r in sorted(first, key=lambda r: r.file):
+        line = (r.line or "").lstrip("\ufeff").rstrip("\r")
+        groups.setdefault((sep or _separator(line), line), []).append(r.file)
+    return [(s, files) for (s, _), files in groups.items()]
+
+
+def _read(spark: SparkSession, paths: list[str], kind: str, sep: str | None) -> list[DataFrame]:
+    """One frame per set of files with the same header; of other formats one frame."""
     if kind != "csv":
-        return spark.read.format(kind).load(paths)
-    sep = sep or _sniff(spark, paths[0])
-    df = spark.read.options(header=True, sep=sep, encoding="UTF-8", escape='"').csv(paths)
-    return df.toDF(*[c.lstrip("﻿") for c in df.columns])
+        return [spark.read.format(kind).load(paths)]
+    out = []
+    for s, files in _header_groups(spark, paths, sep):
+        df = spark.read.options(header=True, sep=s, encoding="UTF-8", escape='"').csv(files)
+        out.append(df.toDF(*[c.lstrip("\ufeff") for c in df.columns]))
+    return out or [spark.read.options(header=True, sep=sep or ";").csv(paths)]
 
 
 def _with_row_number(df: DataFrame, kind: str) -> DataFrame:
@@ -112,9 +132,8 @@ def scan_energy(
         pattern = re.compile(part_regex, re.IGNORECASE)
         paths = [f for f in found if pattern.search(_stem(f))]
         if not paths:
-            raise ValueError(f"no part matches {part_regex!r}; found {[_stem(f) for f in found][:20]}")
-    raw = _with_row_number(_read(spark, paths, kind, sep), kind)
-    energy = pick_energy_columns(raw)
+            raise ValueError(f"no part matches {part_regex!r}; found {[_stem(f) for f in found]}")
+    energy = append_parts(*[pick_energy_columns(_with_row_number(df, kind)) for df in _read(spark, paths, kind, sep)])
     return drop_blank_rows(energy) if part_regex else energy
 
 
@@ -124,9 +143,14 @@ def scan_weather(
     """Weather export with `src_order`, the place of a row in its source (breaks issue-time ties)."""
     paths = [path] if isinstance(path, str) else list(path)
     kind = _kind(paths, fmt)
-    rows = _with_row_number(_read(spark, paths, kind, sep), kind)
-    order = F.struct("source_sheet", "source_row").alias("src_order")
-    return rows.select(order, *[c for c in rows.columns if c not in ("source_sheet", "source_row")])
+    return append_parts(*[_with_order(_with_row_number(df, kind)) for df in _read(spark, paths, kind, sep)])
+
+
+def _with_order(rows: DataFrame) -> DataFrame:
+    """`src_order` in place of the provenance: parts in natural order, then rows."""
+    a, b, c = part_order()
+    order = F.struct(a.alias("part"), b.alias("part_no"), c.alias("name"), F.col("source_row").alias("row")).alias("src_order")
+    return rows.select(order, *[F.col(f"`{c}`") for c in rows.columns if c not in ("source_sheet", "source_row")])
 
 
 def rename_by_alias(df: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
@@ -166,19 +190,22 @@ def _active(mapping: DataFrame) -> DataFrame:
 
 
 def resolve_mapping(mapping: DataFrame, order: str | None = None) -> DataFrame:
-    """branch_key → point for active rows; the first row of a key wins. `order` names the file-order column."""
-    ordered = _active(mapping)
-    if order is None:
-        order = "_order"
-        ordered = ordered.withColumn(order, F.monotonically_increasing_id())
-    return ordered.groupBy("branch_key").agg(F.min_by(F.struct("point"), order).alias("_p")).select(
+    """branch_key → point for active rows; the first row of a key wins.
+
+    `order` names the file-order column (`src_order` of a scanned mapping). Without one the smallest point wins, so that
+    the result does not depend on how rows lie in partitions.
+    """
+    order = order or ("src_order" if "src_order" in mapping.columns else None)
+    place = F.col(order) if order else F.struct(F.col("point").isNull(), "point")
+    return _active(mapping).groupBy("branch_key").agg(F.min_by(F.struct("point"), place).alias("_p")).select(
         "branch_key", F.col("_p.point").alias("point")
     )
 
 
 def scan_mapping(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    df = spark.read.options(header=True, sep=sep, encoding="UTF-8").csv(path)
-    return checked_mapping(rename_by_alias(df.toDF(*[c.lstrip("﻿") for c in df.columns]), N.MAPPING_ALIASES))
+    """A mapping file with `src_order`, the place of a row in it."""
+    parts = [_with_order(_with_row_number(df, "csv")) for df in _read(spark, [path], "csv", sep)]
+    return checked_mapping(append_parts(*[rename_by_alias(df, N.MAPPING_ALIASES) for df in parts]))
 
 
 def checked_mapping(mapping: DataFrame) -> DataFrame:
@@ -186,7 +213,7 @@ def checked_mapping(mapping: DataFrame) -> DataFrame:
     missing = {"branch_code", "point", "status"} - set(mapping.columns)
     if missing:
         raise ValueError(f"mapping lacks columns {sorted(missing)}")
-    conflicts = [r.branch_key for r in mapping_conflicts(mapping).limit(20).collect()]
+    conflicts = [r.branch_key for r in mapping_conflicts(mapping).select("branch_key").collect()]
     if conflicts:
         raise ValueError(f"contradictory active branch mappings: {sorted(conflicts)}")
     return mapping

@@ -86,10 +86,10 @@ def test_package_round_trip_and_scoring(spark, run, joined, folder):
     save_package(package, folder + "/package")
     loaded = load_package(spark, folder + "/package")
     assert loaded.config == CONFIG and loaded.spec == result.spec
-    assert loaded.metadata["input_rows"] == 7680 and loaded.cutoff_utc == package.cutoff_utc
+    assert loaded.facts["input_rows"] == 7680 and loaded.cutoff == package.cutoff
     assert set(loaded.models) == set(N.DIRECTIONS)
-    assert loaded.history_tail.count() == package.metadata["history_tail_rows"]
-    assert {r[0] for r in loaded.profiles.select("level").distinct().collect()} == {0, 1, 2, 3, 4}
+    assert loaded.tables["history_tail"].count() == package.facts["history_tail_rows"]
+    assert {r[0] for r in loaded.tables["profiles"].select("level").distinct().collect()} == {0, 1, 2, 3, 4}
     dry = joined.filter(is_last).withColumns(
         {
             **{f: F.lit(None).cast("double") for f in N.WEATHER_FEATURES},
@@ -109,16 +109,16 @@ def test_package_rejects_bad_state(spark, run):
     result, _, _ = run
     package = build_package(result, CONFIG, mapping(spark))
     for change in (
-        {"schema_version": 99},
+        {"version": 99},
         {"models": {N.IMPORT: result.models[N.IMPORT]}},
         {"models": {d: dataclasses.replace(a, alpha=0.5, model=None) for d, a in result.models.items()}},
         {"models": {d: dataclasses.replace(a, alpha=1.5) for d, a in result.models.items()}},
         {"models": {d: dataclasses.replace(a, train_rows=10, history_rows=1) for d, a in result.models.items()}},
-        {"cutoff_utc": None},
-        {"cutoff_utc": "2025-01-01T00:00:00"},
-        {"history_tail": package.history_tail.drop("client")},
-        {"history_tail": package.history_tail.limit(0)},
-        {"mapping": package.mapping.drop("point")},
+        {"facts": {}},
+        {"facts": {"forecast_must_be_after_utc": "2025-01-01T00:00:00"}},
+        {"tables": {**package.tables, "history_tail": package.tables["history_tail"].drop("client")}},
+        {"tables": {**package.tables, "history_tail": package.tables["history_tail"].limit(0)}},
+        {"tables": {**package.tables, "mapping": package.tables["mapping"].drop("point")}},
     ):
         with pytest.raises(ValueError):
             dataclasses.replace(package, **change).validate()
@@ -165,7 +165,7 @@ def test_test_window_actuals_do_not_move_the_fold_alpha(spark):
 
 
 def test_importance_covers_every_feature(spark, joined):
-    config = dataclasses.replace(CONFIG, compute_importance=True, max_importance_rows=200, max_iter=2)
+    config = dataclasses.replace(CONFIG, compute_importance=True, max_iter=2)
     result = run_forecast(joined, config)
     rows = result.importance.collect()
     assert {r.feature for r in rows} == set(result.spec.all) and {r.direction for r in rows} == set(N.DIRECTIONS)

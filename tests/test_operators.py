@@ -22,6 +22,7 @@ from loadcast.operators.baseline import fallback_medians, fill_baseline
 from loadcast.operators.features import feature_spec
 from loadcast.operators.lags import add_lag_statistics, add_lags
 from loadcast.operators.medians import grouped_medians
+from loadcast.operators.residual import held_out_from
 from loadcast.operators.residual import fit_residual, usable_rows
 
 BIA = [("BIA", "Białystok", "active")]
@@ -156,7 +157,8 @@ def test_direction_rules_and_quality(spark):
     ]
     q = {r.check: (r["count"], r.details) for r in EN.energy_quality(out).collect()}
     assert q["energy_rows"][0] == 4 and q["direction_mismatch"][0] == 1 and q["hour_25_or_invalid"][0] == 1
-    assert q["unknown_branch"] == (1, "zzz") and q["missing_branch"][0] == 1 and q["negative_actual"][0] == 1
+    assert [tuple(r) for r in EN.unknown_branches(out).collect()] == [("zzz", 1)]
+    assert q["unknown_branch"][0] == 1 and q["missing_branch"][0] == 1 and q["negative_actual"][0] == 1
 
 
 def test_easter_and_clock_change(spark):
@@ -198,6 +200,21 @@ def test_fallback_baseline(spark, limit):
     assert [r.baseline_filled for r in empty.orderBy("i").collect()] == [0.0] * 6
 
 
+def test_medians_of_infinite_values(spark):
+    values = [float("-inf"), 1.0, 2.0, float("inf"), float("inf"), float("inf"), -3.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for limit in (100, 1):
+        assert grouped_medians(df, [[]], "v", group_limit=limit).first()["median"] == 2.0
+    assert grouped_medians(df.union(df.limit(0)).filter("v > 1"), [[]], "v", group_limit=1).first()["median"] == float("inf")
+
+
+def test_hold_out_is_never_empty_or_everything():
+    assert held_out_from([(1, 100), (2, 100), (3, 100), (4, 100)]) == 4
+    assert held_out_from([(1, 95), (2, 3), (3, 2)]) == 2
+    assert held_out_from([(h, 1) for h in range(100)]) == 90
+    assert held_out_from([(7, 50)]) is None and held_out_from([]) is None
+
+
 def test_large_group_medians_equal_pandas(spark):
     """One group holds most rows; signs, zeros, repeats and very different magnitudes."""
     df = spark.range(6000).select(
@@ -309,7 +326,7 @@ def test_configuration():
     config = ForecastConfig().validate()
     assert config.max_input_rows is None and config.max_train_rows is None
     fast = fast_profile().validate()
-    assert (fast.max_input_rows, fast.max_train_rows) == (150_000, 100_000)
+    assert (fast.max_input_rows, fast.max_train_rows) == (None, 100_000)
     assert fast_profile(ForecastConfig(max_input_rows=5_000)).max_input_rows == 5_000
     full = full_training_profile().validate()
     assert (full.n_splits, full.max_iter, full.tree_depth, full.max_train_rows) == (1, 180, 6, None)

@@ -68,6 +68,20 @@ def test_row_numbers_across_many_splits(spark, folder):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_every_part_has_its_own_header_and_separator(spark, folder):
+    names = list(N.SOURCE_ENERGY_COLUMNS)
+    value = {c: f"v{i}" for i, c in enumerate(names)}
+    for part, (order, sep) in enumerate([(names, ";"), (names[::-1], ";"), (names, ","), (["more", *names[4:], *names[:4]], "\t")], 1):
+        put(f"{folder}/in/Dane_{part}.csv", [sep.join(order), sep.join(value.get(c, "x") for c in order)])
+    rows = S.scan_energy(spark, f"{folder}/in", fmt="csv", part_regex=S.PART_REGEX).collect()
+    assert len(rows) == 4 and {r.source_sheet for r in rows} == {f"Dane_{p}" for p in (1, 2, 3, 4)}
+    assert {tuple(r[c] for c in N.ENERGY_COLUMNS) for r in rows} == {tuple(f"v{i}" for i in range(len(names)))}
+    put(f"{folder}/w/a.csv", ["punkt;temperatura", "Lublin;1,5"])
+    put(f"{folder}/w/b.csv", ["temperatura,punkt", "2.5,Kielce"])
+    w = {r.punkt: r.temperatura for r in S.scan_weather(spark, f"{folder}/w/*.csv").collect()}
+    assert w == {"Lublin": "1,5", "Kielce": "2.5"}
+
+
 def test_parquet_scan_has_row_index(spark, folder):
     spark.range(100).coalesce(1).select(*[F.col("id").cast("string").alias(c) for c in N.ENERGY_COLUMNS]).write.parquet(f"{folder}/e")
     df = S.scan_energy(spark, f"{folder}/e", fmt="parquet")
