@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadcast.llm.common import ready_workers
-from loadcast.session import materialize, shared_folder
+from loadcast.session import materialize, scratch_folder
 
 INDEX = pa.schema(
     [
@@ -171,7 +171,7 @@ def write_archives(pages: DataFrame, options: WarcOptions = WarcOptions()) -> tu
         "page_id", "url", "html", "sha1",
         F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"),
     )
-    folder = f"{shared_folder(spark).rstrip('/')}/loadcast/{uuid.uuid4().hex}/archives"
+    folder = f"{scratch_folder(spark)}/{uuid.uuid4().hex}/archives"
     return folder, materialize(marked.mapInArrow(_writer(folder, options.date), INDEX_SQL), "index")
 
 
