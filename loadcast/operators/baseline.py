@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadcast.functions.rowwise import clip
-from loadcast.operators.medians import GROUP_LIMIT, grouped_medians
+from loadcast.operators.medians import grouped_medians
 
 LEVELS = [
     ["client", "direction", "hour"],
@@ -19,10 +19,10 @@ LEVEL_NAMES = ["client_direction_hour", "branch_direction_hour", "direction_hour
 
 
 def fallback_medians(
-    train: DataFrame, scope: list[str] | None = None, levels: list[list[str]] = LEVELS, group_limit: int = GROUP_LIMIT
+    train: DataFrame, scope: list[str] | None = None, levels: list[list[str]] = LEVELS
 ) -> DataFrame:
     """Medians of `actual` at every fallback level (long form, see `grouped_medians`)."""
-    return grouped_medians(train, levels, "actual", scope, group_limit)
+    return grouped_medians(train, levels, "actual", scope)
 
 
 def fill_baseline(

@@ -1,145 +1,95 @@
-"""Exact grouped medians that never need a whole group in one task."""
+"""Exact grouped medians from counts: no group is ever held in one task, at any size."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-GROUP_LIMIT = 1_000_000
-_OCTAVE_PARTS = 4096
-_FINE_PARTS = 65_536
+#: Buckets in which a power of two is divided; a bucket is a relative band of 2^-16.
+_OCTAVE_PARTS = 65_536
 
 
-def grouped_medians(
-    df: DataFrame,
-    levels: list[list[str]],
-    value: str,
-    scope: list[str] | None = None,
-    group_limit: int = GROUP_LIMIT,
-) -> DataFrame:
-    """Exact interpolated median per group for several grouping levels in one pass.
+def grouped_medians(df: DataFrame, levels: list[list[str]], value: str, scope: list[str] | None = None) -> DataFrame:
+    """Exact interpolated median per group for several grouping levels.
 
     Result: `level` (position in `levels`), the scope columns, all level columns (NULL where a level does not use
-    them), `n` and `median`. NULL is an ordinary key value; rows without a value are left out.
+    them), `n` and `median`. NULL is an ordinary key value; rows without a value are left out; infinities and NaN are
+    the outermost values.
 
-    Spark's exact median keeps a group's distinct values in one buffer. That is right for groups up to `group_limit`
-    rows; a count of the largest group decides (one number reaches the driver). If larger groups exist, they take
-    `_large_medians` and all others the built-in aggregate.
+    Equal values of the finest keys collapse to a count first, and everything below works on these counts: one pass sums
+    them for all levels and value buckets, running sums tell which buckets hold the middle ranks, and only the values of
+    those buckets are put in order.
     """
     scope = scope or []
     keys = list(dict.fromkeys(c for level in levels for c in level))
-    rows = df.filter(F.col(value).isNotNull()).select(*scope, *keys, F.col(value).alias("_v"))
-    sets = [[F.col(c) for c in [*scope, *level]] for level in levels]
-    used = [[F.lit(0) if c in level else F.lit(1) for c in keys] for level in levels]
-    sizes = _by_level(rows, sets, scope, keys, used, levels, F.count(F.lit(1)).alias("n"))
-    widest = sizes.agg(F.max("n")).first()[0]
-    if widest is None or widest <= group_limit:
-        return _by_level(
-            rows, sets, scope, keys, used, levels, F.count(F.lit(1)).alias("n"), F.median("_v").alias("median")
-        )
+    rows = df.filter(F.col(value).isNotNull()).select(*scope, *keys, F.col(value).cast("double").alias("_v"))
+    cells = rows.groupBy(*scope, *keys, "_v").agg(F.count(F.lit(1)).alias("_n")).withColumn("_b", _bucket(F.col("_v")))
     group = ["level", *scope, *keys]
-    tagged = _tag_levels(rows, scope, keys, levels)
-    large = sizes.filter(F.col("n") > group_limit)
-    hot = tagged.join(large.select(*[F.col(c).alias(f"_k_{c}") for c in group]), _same(group), "left_semi")
-    cold = tagged.join(large.select(*[F.col(c).alias(f"_k_{c}") for c in group]), _same(group), "left_anti")
-    small = cold.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.median("_v").alias("median"))
-    return small.unionByName(_large_medians(hot, group))
-
-
-def _same(group: list[str]) -> Column:
-    return F.expr(" and ".join(f"{c} <=> _k_{c}" for c in group))
-
-
-def _by_level(rows, sets, scope, keys, used, levels, *aggregates: Column) -> DataFrame:
-    """GROUPING SETS over the levels; the grouping bits tell which level a result row belongs to."""
-    bits = [F.grouping(c) for c in keys]
+    upto = W.partitionBy(*group).orderBy("_b").rowsBetween(W.unboundedPreceding, 0)
+    whole = W.partitionBy(*group)
+    buckets = _by_level(cells, scope, keys, levels).withColumns(
+        {"_upto": F.sum("_in").over(upto), "_size": F.sum("_in").over(whole)}
+    )
+    before = F.col("_upto") - F.col("_in")
+    hits = buckets.withColumn("_before", before).filter(_holds(before, F.col("_upto"), 1) | _holds(before, F.col("_upto"), 2))
+    # The level after the window: a filter on it stays above, so that all levels share one shuffle of the counts.
+    hits = hits.withColumn("_tag", F.when(F.col("_size") > 0, F.col("level")))
+    inside = reduce(DataFrame.unionByName, [_inside(cells, hits, number, scope, level, keys) for number, level in enumerate(levels)])
+    one = [*group, "_size", "_before", "_b"]
+    values = inside.groupBy(*one, "_v").agg(F.sum("_n").alias("_n"))
+    place = W.partitionBy(*one).orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
+    ranked = values.withColumn("_end", F.col("_before") + F.sum("_n").over(place))
+    start, end = F.col("_end") - F.col("_n"), F.col("_end")
+    middle = [F.max(F.when(_holds(start, end, which), F.col("_v"))) for which in (1, 2)]
+    return ranked.groupBy(*group).agg(F.max("_size").alias("n"), ((middle[0] + middle[1]) / 2).alias("median"))
+
+
+def _holds(before: Column, upto: Column, which: int) -> Column:
+    """Whether the lower (1) or upper (2) middle rank lies after `before` and not after `upto`."""
+    rank = F.floor((F.col("_size") + which) / 2)
+    return (before < rank) & (rank <= upto)
+
+
+def _by_level(cells: DataFrame, scope: list[str], keys: list[str], levels: list[list[str]]) -> DataFrame:
+    """Counts per level, group and bucket by GROUPING SETS; the grouping bits tell which level a row belongs to."""
+    sets = [[F.col(c) for c in [*scope, *level, "_b"]] for level in levels]
     level = F.lit(None).cast("int")
     for number in reversed(range(len(levels))):
         match = F.lit(True)
-        for bit, c in zip(bits, keys):
-            match = match & (bit == (0 if c in levels[number] else 1))
+        for c in keys:
+            match = match & (F.grouping(c) == (0 if c in levels[number] else 1))
         level = F.when(match, F.lit(number)).otherwise(level)
-    out = rows.groupingSets(sets, *[F.col(c) for c in [*scope, *keys]]).agg(*aggregates, level.alias("level"))
-    return out.select("level", *scope, *keys, *[c for c in out.columns if c not in ("level", *scope, *keys)])
-
-
-def _tag_levels(rows: DataFrame, scope: list[str], keys: list[str], levels: list[list[str]]) -> DataFrame:
-    types = dict(rows.dtypes)
-    variants = F.array(
-        *[
-            F.struct(
-                F.lit(number).alias("level"),
-                *[(F.col(c) if c in level else F.lit(None).cast(types[c])).alias(c) for c in keys],
-            )
-            for number, level in enumerate(levels)
-        ]
+    out = cells.groupingSets(sets, *[F.col(c) for c in [*scope, *keys, "_b"]]).agg(F.sum("_n").alias("_in"), level.alias("level"))
+    return out.select("level", *scope, *keys, "_b", "_in")
+
+
+def _inside(cells: DataFrame, hits: DataFrame, number: int, scope: list[str], level: list[str], keys: list[str]) -> DataFrame:
+    """The counted values in one level's hit buckets, with the group's size and the ranks before the bucket."""
+    on = [*scope, *level, "_b"]
+    wanted = hits.filter(F.col("_tag") == number).select(*[F.col(c).alias(f"_k_{c}") for c in on], "_size", "_before")
+    same = F.expr(" and ".join(f"{c} <=> _k_{c}" for c in on))
+    types = dict(cells.dtypes)
+    return cells.join(wanted, same).select(
+        F.lit(number).alias("level"),
+        *scope,
+        *[(F.col(c) if c in level else F.lit(None).cast(types[c])).alias(c) for c in keys],
+        "_size",
+        "_before",
+        "_b",
+        "_v",
+        "_n",
     )
-    return rows.select(*scope, "_v", F.explode(variants).alias("_t")).select("_t.level", *scope, *[f"_t.{c}" for c in keys], "_v")
 
 
-def _coarse_bucket(v: Column) -> Column:
-    """Order-preserving bucket: sign, power of two and 4096 steps within it; infinities lie outside all others."""
-    size = _finite_size(v)
-    power = F.floor(F.log2(size)).cast("double")
+def _bucket(v: Column) -> Column:
+    """Order-preserving bucket: sign, power of two and its part; infinities and NaN lie outside all others."""
+    size = F.when(F.abs(v) < float("inf"), F.abs(v)).otherwise(F.lit(1.0))
+    power = F.floor(F.log2(F.when(size > 0, size).otherwise(F.lit(1.0)))).cast("double")
     step = F.floor(size / F.pow(F.lit(2.0), power) * _OCTAVE_PARTS)
     code = ((power + 1100) * (2 * _OCTAVE_PARTS) + step).cast("long")
     outside = F.lit(1 << 40)
     code = F.when(F.isnan(v), outside + 1).when(F.abs(v) == float("inf"), outside).otherwise(code)
     return F.when(v == 0, F.lit(0).cast("long")).when(v > 0, code).otherwise(-code)
-
-
-def _finite_size(v: Column) -> Column:
-    """The absolute value; 1 in place of infinity and NaN, whose buckets do not depend on it."""
-    size = F.abs(v)
-    return F.when(size < float("inf"), size).otherwise(F.lit(1.0))
-
-
-def _narrow(rows: DataFrame, group: list[str], bucket: Column) -> DataFrame:
-    """Keep only the buckets that hold a wanted rank; ranks become relative to the bucket.
-
-    Only (group, bucket, count) triples are shuffled and ordered; the number of buckets of a group is bounded.
-    """
-    counted = rows.withColumn("_b", bucket)
-    per_bucket = counted.groupBy(*group, "_rank", "_b").agg(F.sum("_n").alias("_in"))
-    upto = W.partitionBy(*group, "_rank").orderBy("_b").rowsBetween(W.unboundedPreceding, 0)
-    hit = (
-        per_bucket.withColumn("_upto", F.sum("_in").over(upto))
-        .filter((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_in") < F.col("_rank")))
-        .withColumn("_left", F.col("_rank") - (F.col("_upto") - F.col("_in")))
-    )
-    keys = [*group, "_rank", "_b"]
-    hit = hit.select(*[F.col(c).alias(f"_k_{c}") for c in keys], "_left")
-    kept = counted.join(hit, _same(keys), "inner")
-    return kept.select(*group, F.col("_left").alias("_rank"), "_v", "_n", "_which", "_size")
-
-
-def _large_medians(rows: DataFrame, group: list[str]) -> DataFrame:
-    """Median by rank: collapse equal values, locate the bucket of the middle ranks, then refine inside it.
-
-    Two rounds shrink a group to the values within a 2^-28 relative band, which one task can order.
-    """
-    cells = rows.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    sizes = cells.groupBy(*group).agg(F.sum("_n").alias("_size"))
-    keyed = sizes.select(*[F.col(c).alias(f"_k_{c}") for c in group], "_size")
-    ranked = cells.join(keyed, _same(group), "inner").select(*group, "_v", "_n", "_size")
-    both = ranked.select(
-        *group,
-        "_v",
-        "_n",
-        "_size",
-        F.explode(F.array(F.lit(0), F.lit(1))).alias("_which"),
-    ).withColumn("_rank", F.floor((F.col("_size") + 1 + F.col("_which")) / 2).cast("long"))
-    keys = [*group, "_which", "_size"]
-    first = _narrow(both, keys, _coarse_bucket(F.col("_v")))
-    size = _finite_size(F.col("_v"))
-    power = F.pow(F.lit(2.0), F.floor(F.log2(size)))
-    inside = size / power * _OCTAVE_PARTS - F.floor(size / power * _OCTAVE_PARTS)
-    fine = F.when(F.col("_v") == 0, F.lit(0)).otherwise(F.floor(inside * _FINE_PARTS) * F.signum("_v"))
-    second = _narrow(first, keys, fine.cast("long"))
-    upto = W.partitionBy(*keys, "_rank").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
-    picked = (
-        second.withColumn("_upto", F.sum("_n").over(upto))
-        .filter((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_n") < F.col("_rank")))
-    )
-    return picked.groupBy(*group).agg(F.max("_size").alias("n"), F.avg("_v").alias("median"))

@@ -189,11 +189,10 @@ FALLBACK_TEST = [
 ]
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_fallback_baseline(spark, limit):
+def test_fallback_baseline(spark):
     train = spark.createDataFrame(FALLBACK_TRAIN, "branch_code string, client string, direction string, hour int, actual double")
     test = spark.createDataFrame(FALLBACK_TEST, "i int, baseline double, branch_code string, client string, direction string, hour int")
-    out = fill_baseline(test, fallback_medians(train, group_limit=limit))
+    out = fill_baseline(test, fallback_medians(train))
     got = [r.baseline_filled for r in out.orderBy("i").collect()]
     assert got == [0.0, 15.0, 20.0, 25.0, 100.0, 30.0]
     empty = fill_baseline(test, fallback_medians(train.limit(0)))
@@ -203,9 +202,8 @@ def test_fallback_baseline(spark, limit):
 def test_medians_of_infinite_values(spark):
     values = [float("-inf"), 1.0, 2.0, float("inf"), float("inf"), float("inf"), -3.0]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    for limit in (100, 1):
-        assert grouped_medians(df, [[]], "v", group_limit=limit).first()["median"] == 2.0
-    assert grouped_medians(df.union(df.limit(0)).filter("v > 1"), [[]], "v", group_limit=1).first()["median"] == float("inf")
+    assert grouped_medians(df, [[]], "v").first()["median"] == 2.0
+    assert grouped_medians(df.union(df.limit(0)).filter("v > 1"), [[]], "v").first()["median"] == float("inf")
 
 
 def test_hold_out_is_never_empty_or_everything():
@@ -224,7 +222,7 @@ def test_large_group_medians_equal_pandas(spark):
         .cast("double")
         .alias("v"),
     )
-    got = grouped_medians(df, [["g"], []], "v", group_limit=500).toPandas()
+    got = grouped_medians(df, [["g"], []], "v").toPandas()
     pdf = df.toPandas()
     want = {g: x.v.median() for g, x in pdf.groupby("g", dropna=False)}
     for r in got[got.level == 0].itertuples():
