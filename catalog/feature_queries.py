@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from catalog import views as V
 from catalog.registry import query, r6, table
+from catalog.weather_queries import ENRICHED_SQL, enriched
 from loadcast import names as N
 from loadcast.functions import rowwise as R
 from loadcast.operators import calendar_dim as C
 from loadcast.operators import encode as E
-from loadcast.operators.features import add_row_features, fill_availability, fill_categories
+from loadcast.operators.features import add_row_features, build_features, fill_availability, fill_categories
 from loadcast.operators.lags import add_lag_statistics, add_lags
 
 _DAYS = range(3, 15)
@@ -201,14 +202,64 @@ def impute_indicator(spark, sf):
     return out.select("exec_id", "temperature", "visibility", "temperature_missing", "visibility_missing")
 
 
-@query("feature_table")
-def feature_table(spark, sf):
-    """Every model input for every row (checked part by part in the queries above)."""
-    from catalog.weather_queries import enriched
-    from loadcast.operators.features import build_features
+_HOLIDAY_SQL = _EASTER_SQL.replace("year(o_orderdate)", "year(ts)").replace("FROM orders", "FROM events")
+
+
+def _six(name: str, sql: str) -> str:
+    return f"round(CAST({sql} AS DOUBLE) + 3.3e-8, 6) AS {name}"
+
+
+def _turn(c: str, period: str) -> str:
+    return f"2 * pi() * {c} / {period}"
+
+
+#: Every numeric input by its formula over j (enriched rows), s (lag statistics) and f (bounded weather).
+_INPUT_SQL = {
+    **{f: f"j.{f}" for f in N.WEATHER_FEATURES if f in V.FEATURES},
+    **{f: "NULL" for f in N.WEATHER_FEATURES if f not in V.FEATURES},
+    "weather_available": "coalesce(CAST(j.weather_matched AS DOUBLE), 0)",
+    "lead_hours": "w.lead_hours",
+    "hour": "hour(j.valid)",
+    "weekday": "isodow(j.valid) - 1",
+    "month": "month(j.valid)",
+    "weekend": "coalesce(CAST(isodow(j.valid) >= 6 AS DOUBLE), 0)",
+    "is_holiday": "coalesce(CAST(CAST(j.valid AS DATE) IN (SELECT day FROM holidays) AS DOUBLE), 0)",
+    "is_clock_change": "coalesce(CAST(CAST(j.valid AS DATE) IN (SELECT day FROM clock) AS DOUBLE), 0)",
+    **{f"hour_{g}": f"{g}({_turn('hour(j.valid)', '24')})" for g in ("sin", "cos")},
+    **{f"weekday_{g}": f"{g}({_turn('(isodow(j.valid) - 1)', '7')})" for g in ("sin", "cos")},
+    **{f"year_{g}": f"{g}({_turn('dayofyear(j.valid)', '365.25')})" for g in ("sin", "cos")},
+    "heating_degrees": "greatest(18 - j.temperature, CASE WHEN j.temperature IS NOT NULL THEN 0 END)",
+    "cooling_degrees": "greatest(j.temperature - 22, CASE WHEN j.temperature IS NOT NULL THEN 0 END)",
+    **{f"wind_dir_{g}": f"{g}(radians(((j.wind_dir % 360) + 360) % 360))" for g in ("sin", "cos")},
+    "wind_speed_2": "j.calm * j.calm",
+    "wind_speed_3": "j.calm * j.calm * j.calm",
+    "cloud_fraction": "j.frac",
+    "rad_after_cloud": "j.rad_total * (1 - CASE WHEN j.frac < 0 THEN 0 WHEN j.frac > 1 THEN 1 ELSE j.frac END)",
+    "precip_log1p": "ln(1 + CASE WHEN j.precip < 0 THEN 0 ELSE j.precip END)",
+    **{f"lag_{24 * d}h": f"s.lag_{24 * d}h" for d in _DAYS},
+    "lag_mean_3_14d": "s.baseline",
+    "lag_count": "s.lag_count",
+    "lag_std_3_14d": "s.lag_std_3_14d",
+    "lag_trend": "s.lag_trend",
+    "lag_7d_vs_mean": "s.lag_168h - s.baseline",
+}
+
 
+@query(
+    "feature_table",
+    f"""WITH {HIST_SQL}, {_HOLIDAY_SQL},
+        j AS (SELECT *, CASE WHEN abs(cloud) <= 1.5 THEN cloud ELSE cloud / 100 END AS frac,
+                CASE WHEN wind_speed < 0 THEN 0 WHEN wind_speed > 40 THEN 40 ELSE wind_speed END AS calm FROM ({ENRICHED_SQL})),
+        s AS ({STATS_SQL})
+        SELECT j.source_row, {', '.join(f"coalesce(j.{c}, '__MISSING__') AS {c}" for c in N.CATEGORICAL)},
+          {', '.join(_six(name, sql) for name, sql in _INPUT_SQL.items())}
+        FROM j JOIN s ON s.source_row = j.source_row
+        LEFT JOIN ({V.LATEST_SQL}) w ON j.point = w.point AND j.valid = w.w_valid_local""",
+)
+def feature_table(spark, sf):
+    """Every model input for every row."""
     features, spec = build_features(enriched(spark, sf), history=V.energy(spark, sf))
-    return features.select("source_row", *N.CATEGORICAL, *spec.numeric)
+    return features.select("source_row", *N.CATEGORICAL, *[r6(F.col(c).cast("double")).alias(c) for c in spec.numeric])
 
 
 @query(
