@@ -123,7 +123,10 @@ def parse(data: bytes) -> dict:
 
 
 def _open(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    return pyarrow.fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+    """A folder as Spark names it: a path, file:/path or a full address."""
+    if "://" not in folder:
+        folder = f"file://{folder.removeprefix('file:')}"
+    return pyarrow.fs.FileSystem.from_uri(folder)
 
 
 def _writer(folder: str, date: str):

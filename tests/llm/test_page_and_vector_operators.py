@@ -147,6 +147,12 @@ def test_warc_round_trip(spark):
     assert warc.read_records(folder, index).count() == 0
 
 
+@pytest.mark.parametrize("name", ["{}", "file:{}", "file://{}"])
+def test_archive_folders_as_spark_names_them(tmp_path, name):
+    fs, root = warc._open(name.format(tmp_path))
+    assert root == str(tmp_path) and fs.get_file_info(root).is_file is False
+
+
 def brute_vectors(rows, limit=0.9):
     def usable(v):
         return v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
