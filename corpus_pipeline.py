@@ -19,8 +19,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group."""
-    return near_text.one_of_each(docs)
+    """One document of each near-duplicate group, linked from a similarity of 0.8 on."""
+    return near_text.one_of_each(docs, near_text.Limit(percent=80))
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,10 +1,10 @@
 """Near-duplicate texts: bottom-k sketches of one hash function, inverted lists, union-sketch estimate, exact Jaccard.
 
 1. Texts with equal shingle sets form a class (128 bits of hash over the whole set); only one of each class goes on.
-2. A class keeps the 16 smallest hashes of its set. Two sets at similarity 0.85 share fewer than 6 of the 16 with
-   probability below 2e-6, so each class is listed under its 11 rarest values only (fewer for smaller sets): by the prefix
-   principle two sets that share 6 values still meet. Values that very many texts hold drop out of nearly all prefixes,
-   and values held once make no list.
+2. A class keeps the 16 smallest hashes of its set. Two sets at the limit share fewer than `Limit.shared` of the 16 with
+   probability below 2.5e-6 (6 at 0.85, 4 at 0.80), so each class is listed under its rarest values only (11 and 13; fewer
+   for smaller sets): by the prefix principle two sets that share so many values still meet. Values that very many texts
+   hold drop out of nearly all prefixes, and values held once make no list.
 3. Lists with the same members collapse to one. A long list is split into blocks that meet in pairs, so that no task holds
    a long list whole.
 4. Where two members of a list hold enough of each other's 64 smallest values, the union of both sketches estimates their
@@ -19,6 +19,7 @@ link through any of their texts; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,10 +34,10 @@ from loadcast.llm.graph import connected_components
 from loadcast.llm.groups import Parts, in_blocks, sorted_groups
 from loadcast.session import materialize
 
-#: Retained values per set in the inverted lists, and how many of them two linked sets share at least.
-LISTED, SHARED = 16, 6
-#: Smallest values in the union estimate, and the share of them two linked sets have in common at least.
-SKETCH, SHARE = 64, 0.625
+#: Retained values per set in the inverted lists, and smallest values in the union estimate.
+LISTED, SKETCH = 16, 64
+#: Two sets at the limit fall below what a sketch asks for with no more than this probability.
+MISS = 2.5e-6
 #: A block holds about so many members and shingles.
 BLOCK_ROWS, BLOCK_SHINGLES = 512, 750_000
 
@@ -48,6 +49,28 @@ class Limit:
     percent: int = 85
     width: int = 5
 
+    def __post_init__(self):
+        if not 56 <= self.percent <= 100:  # below, sets may share none of the listed values
+            raise ValueError("a limit lies between 56 and 100 percent")
+
+    @property
+    def shared(self) -> int:
+        """How many of their listed values two linked sets share at least."""
+        return in_common(LISTED, self.percent)
+
+    @property
+    def share(self) -> float:
+        """The share of the union's smallest values that two linked sets have in common at least."""
+        return in_common(SKETCH, self.percent) / SKETCH
+
+
+def in_common(size: int, percent: int) -> int:
+    """The most of `size` sampled values that sets at the limit have in common but for a chance of `MISS`."""
+    p, below, k = percent / 100, 0.0, 0
+    while k < size and (below := below + math.comb(size, k) * p**k * (1 - p) ** (size - k)) <= MISS:
+        k += 1
+    return k
+
 
 def shingle_set(text: Column, limit: Limit) -> Column:
     return shingle_hashes(words(ascii_lower(text)), limit.width)
@@ -67,7 +90,7 @@ def set_rows(docs: DataFrame, limit: Limit) -> DataFrame:
     )
 
 
-def inverted_lists(classes: DataFrame) -> DataFrame:
+def inverted_lists(classes: DataFrame, limit: Limit) -> DataFrame:
     """(list, rep, h1, n, members, shingles): the lists of two and more classes, one of each set of members."""
     values = classes.select("rep", "h1", "n", F.size("low").alias("s"), F.explode("low").alias("value"))
     often = values.groupBy("value").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
@@ -75,7 +98,7 @@ def inverted_lists(classes: DataFrame) -> DataFrame:
     one = W.partitionBy("rep", "h1")
     rank = F.row_number().over(one.orderBy("members", "value"))
     alone = F.col("s") - F.count(F.lit(1)).over(one)
-    prefix = F.col("s") - F.ceil(F.col("s") * SHARED / LISTED) + 1
+    prefix = F.col("s") - F.ceil(F.col("s") * limit.shared / LISTED) + 1
     listed = shared.withColumn("rank", rank).withColumn("alone", alone).where(F.col("rank") + F.col("alone") <= prefix)
     node = F.xxhash64("rep", "h1")
     sizes = (
@@ -140,10 +163,10 @@ def _common(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
 
 def link_members(sets: list[np.ndarray], cross: np.ndarray | None, percent: int) -> np.ndarray:
     """Labels (positions) of the parts that links join; `cross` marks one of two blocks, whose inner pairs meet elsewhere."""
-    n = np.array([len(s) for s in sets])
+    n, share = np.array([len(s) for s in sets]), Limit(percent).share
     heads = [s[:SKETCH] for s in sets]
     short = np.minimum(n, SKETCH)
-    may = _overlaps(heads) >= SHARE * np.minimum(short[:, None], short[None, :])
+    may = _overlaps(heads) >= share * np.minimum(short[:, None], short[None, :])
     may &= 100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])
     np.fill_diagonal(may, False)
     if cross is not None:
@@ -159,7 +182,7 @@ def link_members(sets: list[np.ndarray], cross: np.ndarray | None, percent: int)
         others = others[parts.label[others] != parts.label[pivot]]
         if not len(others):
             continue
-        near = _estimates(heads[pivot], [heads[o] for o in others]) >= SHARE
+        near = _estimates(heads[pivot], [heads[o] for o in others]) >= share
         others = others[near]
         if not len(others):
             continue
@@ -200,7 +223,7 @@ def near_duplicates(docs: DataFrame, limit: Limit = Limit()) -> DataFrame:
         .groupBy(*key)
         .agg(F.min("doc_id").alias("rep"), F.first("low").alias("low"))
     )
-    lists = materialize(inverted_lists(classes), "lists")
+    lists = materialize(inverted_lists(classes, limit), "lists")
     # Full sets of the listed texts only; they are made again from the text instead of being kept for all rows. The merge
     # join keeps one plan at every size, and its order by id serves the joins below.
     listed = lists.select(F.col("rep").alias("doc_id")).distinct().hint("merge")

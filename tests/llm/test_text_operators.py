@@ -159,6 +159,24 @@ def test_list_block_links_are_exact():
     assert [find(i) for i in range(len(sets))] == label.tolist()
 
 
+def test_near_text_pipeline_links_from_080(spark):
+    import corpus_pipeline
+
+    # 25 of 31 shingles in common: 0.806.
+    line = [f"w{i}" for i in range(29)]
+    texts = [(1, " ".join([*line, "y1", "y2", "y3"])), (2, " ".join([*line, "z1", "z2", "z3"]))]
+    x, y = (shingles(t) for _, t in texts)
+    assert 80 <= 100 * len(x & y) / len(x | y) < 85
+    assert [r.doc_id for r in corpus_pipeline.drop_near_copies(spark, table_of(spark, texts), SMALL).collect()] == [1]
+    assert near_text.one_of_each(table_of(spark, texts)).count() == 2
+
+
+def test_sketch_bounds_follow_the_limit():
+    assert [(near_text.Limit(p).shared, near_text.Limit(p).share * 64) for p in (70, 80, 85)] == [(2, 27), (4, 35), (6, 40)]
+    with pytest.raises(ValueError):
+        near_text.Limit(50)
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (9, 8), (8, 7), (7, 3), (20, 21), (5, 5), (21, 22), (30, None)] + [(100 + i, 101 + i) for i in range(40)]
     got = {(r.node, r.component) for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
