@@ -2,9 +2,10 @@
 
 A page is read into a tree of its block elements. Each paragraph (a block that holds text itself) is worth points for its
 length and its commas and passes them to its ancestors, half as much for each level up; a container's score is discounted
-by its share of text inside links and weighed by what its tag, class, id and role say. The best container is kept, with
-those of its siblings that score like it or are paragraphs of prose. What stands inside and is not article (menus, headers,
-footers, sidebars, notices, adverts, forms, comments, scripts, styles) is left out before scoring.
+by its share of text inside links and weighed by what its tag, class, id and role say. The article or main element around
+the best container (else the nearest one that is named as an article) is kept whole, with all its siblings but those that
+are mostly links. What stands inside and is not article (menus, headers, footers, sidebars, notices, adverts, forms,
+comments, scripts, styles) is left out before scoring.
 
 Text rules: character references are decoded, white space inside a block is one space, blocks are trimmed and joined by
 one space in page order. Unclosed and stray tags are repaired as browsers do for blocks; a page that ends early is read as
@@ -247,6 +248,17 @@ class Page:
         return out
 
 
+def container(best: Node) -> Node:
+    """The outermost article or main element around a node, else the nearest that is named as an article, else the node."""
+    around, at = [], best
+    while at.parent is not None:
+        around.append(at)
+        at = at.parent
+    whole = [n for n in around if n.tag in ("article", "main")]
+    named = [n for n in around if n.weight > 0 and n.chars]
+    return whole[-1] if whole else named[0] if named else best
+
+
 def main_text(html: str | None) -> str:
     """The article of a page as plain text."""
     if not html:
@@ -277,18 +289,12 @@ def main_text(html: str | None) -> str:
     # A paragraph is no container.
     while best.parent is not None and best.parent.chars and best.tag in PARAGRAPH | {"td", "tr"}:
         best = best.parent
+    best = container(best)
     kept = {id(best)}
     if best.parent is not None:
         least = max(10.0, 0.2 * worth(best))
         for sibling in best.parent.children:
-            if sibling is best or not sibling.chars:
-                continue
-            if sibling.tag in HEADING:
-                kept.add(id(sibling))
-                continue
-            density = sibling.linked / sibling.chars
-            prose = sibling.tag == "p" and density < 0.25 and sibling.chars > 80
-            if (sibling.tag not in ("article",) or best.tag == "article") and (worth(sibling) >= least or prose):
+            if sibling.chars and (sibling.tag in HEADING or 2 * sibling.linked <= sibling.chars or worth(sibling) >= least):
                 kept.add(id(sibling))
 
     def inside(n: Node | None) -> bool:

@@ -59,6 +59,19 @@ def test_main_text(page, want):
     assert html_text.main_text(page) == want
 
 
+LONG = "<p>" + "A long line, of prose, with commas. " * 8 + "</p>"
+
+
+def test_main_text_keeps_what_stands_beside_the_best_block():
+    text = " ".join(["A long line, of prose, with commas. " * 7 + "A long line, of prose, with commas."] * 20)
+    inner = f"<p>Lead.</p><div class=body>{LONG * 20}</div><ul><li>one<li>two</ul><blockquote>Said.</blockquote><p>End.</p>"
+    want = f"Lead. {text} one two Said. End."
+    assert html_text.main_text(f"<article>{inner}</article>") == want
+    assert html_text.main_text(f"<div>{inner}</div>") == want
+    assert html_text.main_text(f"<main><h1>T</h1><p>Sub.</p><div><article>{inner}</article></div></main>") == f"T Sub. {want}"
+    assert html_text.main_text(f"<nav>Menu</nav><article>{inner}<aside>no</aside></article><div><a href=/>Links</a></div>") == want
+
+
 def test_extract_odd_rows(spark):
     rows = [(i, None if i % 3 else f"u{i}", p) for i, (p, _) in enumerate(PAGES)] + [(None, "u", PAGES[4][0]), (4, None, PAGES[4][0])]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash")).withColumn("n_chars", F.lit(1))
