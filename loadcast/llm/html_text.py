@@ -8,8 +8,8 @@ are mostly links. What stands inside and is not article (menus, headers, footers
 comments, scripts, styles) is left out before scoring.
 
 Text rules: character references are decoded, white space inside a block is one space, blocks are trimmed and joined by
-one space in page order. Unclosed and stray tags are repaired as browsers do for blocks; a page that ends early is read as
-far as it goes.
+one space in page order. Unclosed and stray tags are repaired as browsers do for blocks; an inline notice or advert without
+an end tag ends with its block of text, or at once if it closes itself; a page that ends early is read as far as it goes.
 
 Cases: null and empty html give the empty text, as does a page without article text; html without any block is one block.
 """
@@ -182,14 +182,31 @@ class Page:
         if text:
             self.pieces.append((self.node, text, self.links > 0, self.block))
 
+    def _within(self, node: Node) -> bool:
+        """Whether a block is still open."""
+        at = self.node
+        while at.depth > node.depth:
+            at = at.parent
+        return at is node
+
+    def _hide(self, piece: int, block: int) -> None:
+        """Take out what an inline element without an end tag hides: the rest of the text of its own block."""
+        end = piece
+        while end < len(self.pieces) and self.pieces[end][3] == block:
+            end += 1
+        del self.pieces[piece:end]
+
     def _read(self, html: str) -> None:
-        at, hidden = 0, []  # hidden: open inline elements that hide their content
+        # hidden: an open inline element that hides its content and the elements of its name inside, each as (tag, the block
+        # it stands in); first: the piece and block of text that the outermost begins with.
+        at, hidden, first = 0, [], (0, 0)
         while True:
             m = _TAG.search(html, at)
             text = references.unescape(html[at : m.start() if m else len(html)])
-            if not hidden:
-                self._text(text)
+            self._text(text)
             if m is None:
+                if hidden:
+                    self._hide(*first)
                 return
             at = m.end()
             tag = (m[2] or "").lower()
@@ -209,20 +226,27 @@ class Page:
                     self._end(tag)
                 else:
                     self._open(tag, m[3])
+                # What is still open in a block that has ended ends with it.
+                while hidden and not self._within(hidden[-1][1]):
+                    hidden.pop()
+                    if not hidden:
+                        self._hide(*first)
             elif tag == "br":
-                if not hidden:
-                    self._text(" ")
+                self._text(" ")
             elif tag == "a":
                 self.links = 0 if closing else 1
+            elif closing:
+                if hidden and tag == hidden[-1][0]:
+                    hidden.pop()
+                    if not hidden:
+                        del self.pieces[first[0] :]
+            elif m[3].rstrip().endswith("/"):
+                continue
             elif hidden and tag == hidden[-1][0]:
-                if closing:
-                    hidden[-1][1] -= 1
-                    if not hidden[-1][1]:
-                        hidden.pop()
-                else:
-                    hidden[-1][1] += 1
-            elif not closing and tag not in VOID and not hidden and m[3].strip() and _marks(m[3])[0]:
-                hidden.append([tag, 1])
+                hidden.append((tag, self.node))
+            elif tag not in VOID and not hidden and m[3].strip() and _marks(m[3])[0]:
+                hidden.append((tag, self.node))
+                first = (len(self.pieces), self.block)
 
     def blocks(self) -> list[tuple[Node, str, int]]:
         """The blocks of text: their node, text and number of characters inside links."""

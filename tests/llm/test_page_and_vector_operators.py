@@ -72,6 +72,23 @@ def test_main_text_keeps_what_stands_beside_the_best_block():
     assert html_text.main_text(f"<nav>Menu</nav><article>{inner}<aside>no</aside></article><div><a href=/>Links</a></div>") == want
 
 
+HIDING = [
+    ("<article><p>a <span class=ad>no</p><p>b</p></article>", "a b"),
+    ("<article><p>a <span class=ad>no <span>no</p><p>b</span> c</p></article>", "a b c"),
+    ("<article><p>a <i class='share-icon'/>b</p><p>c</p></article>", "a b c"),
+    ("<article><p>a <span class=ad>no<p>b<p>c</article>", "a b c"),
+    ("<article>a <span class=ad>no<p>b</p><p>c</p></article>", "a b c"),
+    ("<article><p>a</p><span class=ad><div>no</div> no</span><p>b</p></article>", "a b"),
+    ("<article><p>a <span class=ad>no <span>no</span> no<br>no</span>b</p></article>", "a b"),
+    ("<article><p>a</p><p>b <span class=ad>no", "a b"),
+]
+
+
+@pytest.mark.parametrize("page,want", HIDING)
+def test_hidden_inline_ends_with_its_block(page, want):
+    assert html_text.main_text(page) == want
+
+
 def test_extract_odd_rows(spark):
     rows = [(i, None if i % 3 else f"u{i}", p) for i, (p, _) in enumerate(PAGES)] + [(None, "u", PAGES[4][0]), (4, None, PAGES[4][0])]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash")).withColumn("n_chars", F.lit(1))
