@@ -533,6 +533,30 @@ def test_detector_keeps_its_recall_on_mixed_findings():
     assert net.threshold < 0.9 and net.recall >= 0.98 and 0.4 < net.precision < 0.9
 
 
+def test_candidates_show_every_place_of_long_runs():
+    rng = random.Random(6)
+    key = "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZ234567") for _ in range(20))
+    text = f"see {'path/' * 12}{key}{'/tail' * 12} and abcdefghijklmnop"
+    spans = secrets.candidates(text, [])
+    assert key in [text[a:b] for a, b in spans] and "abcdefghijklmnop" in [text[a:b] for a, b in spans]
+    blob = "".join(rng.choice("abcdefgh1234") for _ in range(333))
+    seen = {i for a, b in secrets.candidates(blob, []) if b - a <= secrets.INSIDE for i in range(a, b)}
+    assert seen == set(range(333))
+    assert secrets.suspects(["an abcdefghijklmnop", "a b"]).tolist() == [True, False]
+    assert secrets.merged([(5, 9), (0, 4), (3, 6), (9, 12)]) == [(0, 9), (9, 12)]
+
+
+def test_learned_keys_inside_long_runs_are_hidden(spark):
+    rng = random.Random(8)
+    key = lambda: "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZ234567") for _ in range(20))
+    shown = lambda k: secrets.window(f"see {k} here", 4, 4 + len(k))
+    net = secrets.train([shown(key()) for _ in range(300)], [shown(prose(rng, 4).replace(" ", "/")) for _ in range(300)], secrets.SecretOptions())
+    k = key()
+    text = f"see {'words/' * 12}{k}{'/words' * 12} there"
+    left = table_of(spark, [(1, text), (2, "see " + "words/" * 24)]).withColumn("text", secrets.redact(F.col("text"), net)).collect()
+    assert k not in left[0].text and "[learned]" in left[0].text and left[1].text == "see " + "words/" * 24
+
+
 def test_group_stream_cuts_at_keys():
     from loadcast.llm.groups import sorted_groups
 
