@@ -9,7 +9,7 @@ The network is fitted on a bounded sample of labelled documents (`fit_documents`
 at even distances); every document is scored on all its passages.
 
 Cases: null and empty texts and texts of white space are one passage of zeros and get a score too; null or other labels
-than 0 and 1 are ignored, of several labels for an id the mean decides; repeated and null ids are scored like any row; with
+than 0 and 1 are ignored, of several labels for an id the mean decides, of several texts the one with the smallest hash is learned from; repeated and null ids are scored like any row; with
 no labelled document of both classes the score is the share of label 1 (0.5 without labels).
 """
 
@@ -243,11 +243,15 @@ def training_sample(docs: DataFrame, labels: DataFrame, options: QualityOptions)
             found.append(x[some].tobytes())
         return pa.array(found, pa.binary())
 
-    # At most `fit_documents` rows, so the broadcast has a fixed bound.
-    rows = docs.join(F.broadcast(known), "doc_id").select(
-        "doc_id", (F.col("q") >= 0.5).cast("double").alias("y"), F.arrow_udf(work, "binary")("text").alias("x")
+    # At most `fit_documents` rows, so the broadcast has a fixed bound. Of an id that repeats, the text with the smallest hash
+    # stands for all, chosen before passages are made.
+    one = (
+        docs.join(F.broadcast(known), "doc_id")
+        .groupBy("doc_id", "q")
+        .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     )
-    rows = sorted(rows.limit(4 * options.fit_documents).collect(), key=lambda r: (r.doc_id, bytes(r.x)))
+    rows = one.select("doc_id", (F.col("q") >= 0.5).cast("double").alias("y"), F.arrow_udf(work, "binary")("text").alias("x"))
+    rows = sorted(rows.collect(), key=lambda r: r.doc_id)
     parts = [np.frombuffer(r.x, dtype=np.float32).reshape(-1, N_FEATURES) for r in rows]
     x = np.vstack([np.zeros((0, N_FEATURES), np.float32), *parts])
     return x, np.array([len(q) for q in parts], dtype=np.int64), np.array([r.y for r in rows])

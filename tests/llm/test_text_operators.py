@@ -452,6 +452,16 @@ def test_quality_gradient_and_odd_rows(spark):
     assert none.score == 0.5
 
 
+def test_quality_sample_has_one_text_of_an_id(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in (1, 2, 3)], "doc_id long, quality int")
+    texts = [(1, f"text number {n} " + prose(random.Random(n), 9)) for n in range(50)] + [(2, "two"), (3, None), (3, "three")]
+    options = quality.QualityOptions(fit_documents=3)
+    x, count, y = quality.training_sample(table_of(spark, texts), labels, options)
+    again, _, _ = quality.training_sample(table_of(spark, texts[::-1]).repartition(7), labels, options)
+    ids = [i for i in (1, 2, 3) if zlib.crc32(str(i).encode()) % 5]
+    assert y.tolist() == [i % 2 for i in ids] and count.tolist() == [1] * len(ids) and np.array_equal(x, again)
+
+
 def test_passages_follow_words():
     text = "  ".join(f"w{i}" for i in range(200))
     x, count = quality.passages([text, "", None, "one", " \n"])
