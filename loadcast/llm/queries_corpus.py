@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadcast.llm import filter_audit
+from loadcast.llm import filter_audit, importance
 from loadcast.llm.common import query, table
 
 #: Shapley sums by counting: over all orders a filter is the first of k failing ones in 120 / k of them.
@@ -56,3 +56,55 @@ FROM j GROUP BY part, filter_order, step
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts per source, order of five filters and step, from a stream over all documents."""
     return filter_audit.filter_interactions(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
+#: CRC-32 bit by bit over the bytes of every distinct word.
+IMPORTANCE_SQL = """
+WITH x AS (
+  SELECT 0 AS target, row_number() OVER () AS r, doc_id, text FROM documents
+  UNION ALL SELECT 1, row_number() OVER (), NULL, text FROM benchmark
+), w AS (
+  SELECT target, r, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+  FROM x
+), tab AS (
+  SELECT list(c ORDER BY k) AS t
+  FROM (SELECT k, list_reduce(list_prepend(k, [1::BIGINT, 1, 1, 1, 1, 1, 1, 1]),
+                              lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+        FROM (SELECT unnest(range(256)) AS k))
+), v AS (
+  SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM w)
+), b AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295, [('0x' || h[2 * i - 1:2 * i])::BIGINT FOR i IN range(1, len(h) // 2 + 1)]),
+                               lambda c, y: xor(c >> 8, t[(xor(c, y) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM v, tab
+), n AS (
+  SELECT bucket, (sum(1) FILTER (WHERE target = 0))::DOUBLE AS s, (sum(1) FILTER (WHERE target = 1))::DOUBLE AS t
+  FROM w JOIN b USING (word) GROUP BY bucket
+), g AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1) * ((SELECT coalesce(sum(s), 0) FROM n) + 10000)
+                                 / ((coalesce(s, 0) + 1) * ((SELECT coalesce(sum(t), 0) FROM n) + 10000)))) AS gain
+  FROM n
+), d AS (
+  SELECT r, count(*) AS n_features, floor(sum(gain) / count(*))::BIGINT AS weight
+  FROM w JOIN b USING (word) JOIN g USING (bucket) WHERE target = 0 GROUP BY r
+), c AS (
+  SELECT x.doc_id, coalesce(d.n_features, 0) AS n_features, coalesce(d.weight, 0) AS weight,
+         coalesce(d.weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || coalesce(x.doc_id::VARCHAR, ''))[1:8])::BIGINT + 0.5::DOUBLE)
+                                                      / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM x LEFT JOIN d USING (r) WHERE x.target = 0
+), k AS (
+  SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) END AS place
+  FROM c
+)
+SELECT doc_id, n_features::BIGINT AS n_features, weight, score,
+       CASE WHEN place <= (SELECT count(*) FROM k WHERE place IS NOT NULL) * 10 // 100 THEN place END AS rank
+FROM k
+"""
+
+
+@query("op11_importance_resample", IMPORTANCE_SQL)
+def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document, a tenth drawn towards the words of `benchmark`."""
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return importance.resampled(docs.select("doc_id", "text"), target)
