@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadcast.llm import filter_audit, importance
+from loadcast.llm import filter_audit, importance, lang_codes
 from loadcast.llm.common import query, table
 
 #: Shapley sums by counting: over all orders a filter is the first of k failing ones in 120 / k of them.
@@ -108,3 +108,10 @@ def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight, score and rank of every document, a tenth drawn towards the words of `benchmark`."""
     docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return importance.resampled(docs.select("doc_id", "text"), target)
+
+
+@query("op12_language_codes")
+def op12_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by the nearest codeword, and whether another one is near."""
+    docs = lang_codes.identified(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return docs.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
