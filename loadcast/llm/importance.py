@@ -83,7 +83,7 @@ def word_pieces(texts: list[str | None], most: int) -> Iterator[tuple[np.ndarray
             first = max(0, old - n + 1)
             whole = doc[: len(run)][first:] == doc[n - 1 :][first:]
             yield np.array(run[first:], dtype=np.int64)[whole], doc[n - 1 :][first:][whole]
-        carried = every[len(every) - most + 1 :] if most > 1 else []
+        carried = every[max(0, len(every) - most + 1) :] if most > 1 else []
 
 
 def bucket_counts(texts: DataFrame, options: ResampleOptions) -> DataFrame:
