@@ -11,6 +11,10 @@ Rows of one text are first merged inside their map task: only the smallest id of
 above it are certain failures of E and go to the counters under salted keys. A text that fills a third of the table thus
 sends at most one row per task and part to its key.
 
+State is kept by slices of texts' digests, some hundred texts each, whose number grows with the input: a call for each text
+costs two milliseconds, one for a slice hardly more. An entry is 38 bytes (16 of the digest). The session's state store
+is used; where state outgrows the executors' heap, name RocksDB in `spark.sql.streaming.stateStore.providerClass`.
+
 Bits of a mask: A under `min_words` words; B fewer than `distinct_percent` percent distinct words; C more than
 `capital_percent` percent capitals A-Z; D one of `#$%&*|`; E as above.
 
@@ -29,6 +33,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,6 +57,8 @@ class AuditOptions:
     least_batch: int = 16 << 20
     #: Texts that a map task holds while it merges its rows; beyond that they go on to their state and the task starts anew.
     texts_at_once: int = 100_000
+    #: Input bytes behind one slice of texts, the unit of state.
+    slice_bytes: int = 512 << 10
 
 
 def text_mask(text: Column, options: AuditOptions) -> Column:
@@ -70,27 +77,37 @@ def text_mask(text: Column, options: AuditOptions) -> Column:
     return F.get(F.transform(F.array(words(text)), bits), 0) + 4 * loud + 8 * marks
 
 
-#: What goes to a key: a text's digest, or "+" and a salt for rows that are counted as they are (their id means nothing).
-SEEN = "key string, id long, part string, mask int, good int, toxic int, n long"
+#: What goes to a slice: rows of a text (its digest, an id), or rows that are counted as they are under a salt ("+").
+SEEN = "slice string, digest binary, id long, part string, mask int, good int, toxic int, n long"
 SEEN_ARROW = pa.schema(
-    [("key", pa.string()), ("id", pa.int64()), ("part", pa.string()), ("mask", pa.int32()), ("good", pa.int32()), ("toxic", pa.int32()), ("n", pa.int64())]
+    [
+        ("slice", pa.string()), ("digest", pa.binary()), ("id", pa.int64()), ("part", pa.string()),
+        ("mask", pa.int32()), ("good", pa.int32()), ("toxic", pa.int32()), ("n", pa.int64()),
+    ]
+)
+#: State of a slice: for each of its texts the rows of the smallest id, packed, and the names of their parts.
+STATE = "parts array<string>, texts binary"
+ENTRY = np.dtype(
+    [("text", "S16"), ("id", "<i8"), ("part", "<i4"), ("mask", "i1"), ("good", "i1"), ("toxic", "i1"), ("n", "<i8")]
 )
-#: State of a text: smallest id, its labels, and its rows per part.
-STATE = "id long, good int, toxic int, parts array<string>, rows array<long>"
 CHANGE = "part string, mask int, n long, good long, toxic long"
 
 
-def merged_rows(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """Rows of one text in a task: those of the smallest id under the text's key, the others as sums under salted keys."""
-    least: dict[str, list] = {}
+def merged_rows(batches: Iterator[pa.RecordBatch], most: int, slices: int) -> Iterator[pa.RecordBatch]:
+    """Rows of one text in a task: those of the smallest id under the text's slice, the others as sums under salts."""
+    least: dict[bytes, list] = {}
     sums: dict[tuple, int] = {}
 
     def add(part: str, mask: int, good: int, toxic: int, n: int) -> None:
         sums[part, mask, good, toxic] = sums.get((part, mask, good, toxic), 0) + n
 
     def flush() -> pa.RecordBatch:
-        rows = [(k, i, p, m, g, t, n) for k, (i, m, g, t, parts) in least.items() for p, n in parts.items()]
-        rows += [(f"+{zlib.crc32(repr(k).encode()) % 1024}", 0, *k, n) for k, n in sums.items()]
+        rows = [
+            (str(int.from_bytes(k[:8], "little") % slices), k, i, p, m, g, t, n)
+            for k, (i, m, g, t, parts) in least.items()
+            for p, n in parts.items()
+        ]
+        rows += [(f"+{zlib.crc32(repr(k).encode()) % 1024}", b"", 0, *k, n) for k, n in sums.items()]
         least.clear()
         sums.clear()
         return pa.RecordBatch.from_arrays(
@@ -118,36 +135,56 @@ def merged_rows(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Rec
     yield flush()
 
 
-def changes(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """What the rows of one key change in the counters; retracts what a smaller id takes back."""
-    out: list[tuple] = []
+def summed(parts: np.ndarray, rows: np.ndarray, mask: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+    out = pd.DataFrame({"part": parts[rows["part"]], "mask": mask, "n": n, "good": n * rows["good"], "toxic": n * rows["toxic"]})
+    out = out.groupby(["part", "mask"], as_index=False, sort=False).sum()
+    return out[(out[["n", "good", "toxic"]] != 0).any(axis=1)]
 
-    def count(parts: dict[str, int], mask: int, good: int, toxic: int, sign: int = 1) -> None:
-        out.extend((p, mask, sign * n, sign * n * good, sign * n * toxic) for p, n in parts.items())
 
+def changes(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """What the rows of one slice change in the counters; retracts what smaller ids take back."""
+    frame = pd.concat(list(frames), ignore_index=True)
+    seen = np.zeros(0, dtype=ENTRY)
+    parts: list[str] = []
+    if state.exists:
+        names, packed = state.get
+        parts, seen = list(names), np.frombuffer(packed, dtype=ENTRY)
+    names, place = np.unique(frame["part"].to_numpy(dtype=object), return_inverse=True)
+    at = {p: k for k, p in enumerate(parts)}
+    for p in names:
+        at.setdefault(p, len(at))
+    fresh = np.zeros(len(frame), dtype=ENTRY)
+    fresh["part"] = np.array([at[p] for p in names], dtype=np.int32)[place]
+    for c in ("id", "mask", "good", "toxic", "n"):
+        fresh[c] = frame[c].to_numpy()
+    every = np.array(list(at), dtype=object)
     if key[0].startswith("+"):
-        for f in frames:
-            for part, mask, good, toxic, n in zip(*(f[c].tolist() for c in ("part", "mask", "good", "toxic", "n")), strict=True):
-                count({part: n}, mask, good, toxic)
-    else:
-        now = None
-        if state.exists:
-            i, good, toxic, parts, rows = state.get
-            now = [i, good, toxic, dict(zip(parts, rows, strict=True))]
-        for f in frames:
-            for i, part, mask, good, toxic, n in zip(*(f[c].tolist() for c in ("id", "part", "mask", "good", "toxic", "n")), strict=True):
-                if now is not None and i > now[0]:
-                    count({part: n}, mask | E_BIT, good, toxic)
-                    continue
-                if now is None or i < now[0]:
-                    if now is not None:
-                        count(now[3], mask, now[1], now[2], -1)
-                        count(now[3], mask | E_BIT, now[1], now[2])
-                    now = [i, good, toxic, {}]
-                now[3][part] = now[3].get(part, 0) + n
-                count({part: n}, mask, good, toxic)
-        state.update((now[0], now[1], now[2], list(now[3]), list(now[3].values())))
-    yield pd.DataFrame(out, columns=["part", "mask", "n", "good", "toxic"])
+        yield summed(every, fresh, fresh["mask"].astype(np.int32), fresh["n"])
+        return
+    fresh["text"] = np.frombuffer(b"".join(frame["digest"]), dtype="S16")
+    rows = np.concatenate([seen, fresh])
+    # Rows of a text stand together, smallest ids first; those above the first id of their text fail E.
+    rows_at = np.lexsort((rows["part"], rows["id"], rows["text"]))
+    rows, old = rows[rows_at], rows_at < len(seen)
+    new_text = np.append(True, rows["text"][1:] != rows["text"][:-1])
+    first = np.flatnonzero(new_text)[np.cumsum(new_text) - 1]
+    fails = rows["id"] != rows["id"][first]
+    mask = rows["mask"].astype(np.int32)
+    counted = pd.concat(
+        [
+            summed(every, rows[old & fails], mask[old & fails], -rows["n"][old & fails]),
+            summed(every, rows[fails], mask[fails] | E_BIT, rows["n"][fails]),
+            summed(every, rows[~old & ~fails], mask[~old & ~fails], rows["n"][~old & ~fails]),
+        ]
+    )
+    kept = rows[~fails]
+    new = np.append(True, (kept["text"][1:] != kept["text"][:-1]) | (kept["part"][1:] != kept["part"][:-1]))[: len(kept)]
+    total = np.add.reduceat(kept["n"], np.flatnonzero(new)) if len(kept) else kept["n"]
+    kept = kept[new]
+    kept["n"] = total
+    used, kept["part"] = np.unique(kept["part"], return_inverse=True)
+    state.update((every[used].tolist(), kept.tobytes()))
+    yield counted
 
 
 def _labels(labels: DataFrame) -> DataFrame:
@@ -175,24 +212,24 @@ def count_masks(
     stream = files.parquet(f"{place[:-1]}[{place[-1]}]")
     text = F.coalesce(F.col("text"), F.lit(""))
     marked = stream.select(
-        F.sha2(text, 256).alias("key"),
+        F.substring(F.unhex(F.sha2(text, 256)), 1, 16).alias("digest"),
         F.col("doc_id").cast("long").alias("id"),
         F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"),
         text_mask(text, options).alias("mask"),
     )
     # Null ids get a text of their own each, which equals no label's id: they never meet in one task.
-    marked = marked.withColumn("label_id", F.coalesce(F.col("id").cast("string"), F.concat(F.lit("-"), F.col("key"))))
+    marked = marked.withColumn("label_id", F.coalesce(F.col("id").cast("string"), F.concat(F.lit("-"), F.hex("digest"))))
     rows = marked.join(_labels(labels), "label_id", "left").select(
-        "key", "id", "part", "mask", F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("toxic", F.lit(0)).alias("toxic")
+        "digest", "id", "part", "mask", F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("toxic", F.lit(0)).alias("toxic")
     )
-    most = options.texts_at_once
+    most, slices = options.texts_at_once, max(1, -(-(plan_bytes(table) or 0) // options.slice_bytes))
 
     def merge(batches):
-        return merged_rows(batches, most)
+        return merged_rows(batches, most, slices)
 
     deltas = (
         rows.mapInArrow(merge, SEEN)
-        .groupBy("key")
+        .groupBy("slice")
         .applyInPandasWithState(changes, CHANGE, STATE, "append", GroupStateTimeout.NoTimeout)
     )
 
@@ -200,21 +237,8 @@ def count_masks(
         sums = batch.groupBy("part", "mask").agg(F.sum("n").alias("n"), F.sum("good").alias("good"), F.sum("toxic").alias("toxic"))
         sums.write.mode("overwrite").parquet(f"{home}/changes/batch={number}")
 
-    # Texts outgrow the heap at scale: their state lies in RocksDB, whose memory is bounded for all stores of an executor.
-    settings = {
-        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    }
-    before = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        writer = deltas.writeStream.outputMode("append").foreachBatch(keep).trigger(availableNow=True)
-        writer.option("checkpointLocation", f"{home}/checkpoint").start().awaitTermination()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    writer = deltas.writeStream.outputMode("append").foreachBatch(keep).trigger(availableNow=True)
+    writer.option("checkpointLocation", f"{home}/checkpoint").start().awaitTermination()
     # A folder without rows has no batch: the schema is given and an empty change makes the folder exist.
     spark.createDataFrame([], CHANGE).write.mode("append").parquet(f"{home}/changes/batch=-1")
     seen = spark.read.schema(CHANGE).parquet(f"{home}/changes")
