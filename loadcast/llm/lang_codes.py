@@ -165,9 +165,12 @@ def training_sample(docs: DataFrame, options: CodeOptions) -> tuple[np.ndarray,
     if not found:
         return np.zeros((0, options.buckets), np.float32), []
     each = max(2, options.fit_documents // found)
-    first = Window.partitionBy("lang").orderBy("h", "doc_id")
-    ids = rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("h")).distinct()
-    ids = ids.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= each).select("lang", "doc_id", "nth")
+    # First the smallest hashes in each of 256 shares of a language, then those of the language: no task gets one whole.
+    ids = rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("h")).distinct().withColumn("share", F.pmod("h", F.lit(256)))
+    for keys in (["lang", "share"], ["lang"]):
+        first = Window.partitionBy(*keys).orderBy("h", "doc_id")
+        ids = ids.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= each)
+    ids = ids.select("lang", "doc_id", "nth")
     buckets = options.buckets
 
     def work(column: pa.Array) -> pa.Array:
