@@ -14,7 +14,8 @@
 
 Cases: null text and text without words have no shingles and link with nothing; a text of fewer than five words is one
 shingle; rows with a null id link with nothing, have no component and are kept; rows that repeat an id are one node and
-link through any of their texts; an empty table gives an empty result.
+link through any of their texts; an empty table gives an empty result. `one_of_each` judges texts and not ids: texts of one
+id are apart, and rows without an id yield to copies with one.
 """
 
 from __future__ import annotations
@@ -76,12 +77,13 @@ def shingle_set(text: Column, limit: Limit) -> Column:
     return shingle_hashes(words(ascii_lower(text)), limit.width)
 
 
-def set_rows(docs: DataFrame, limit: Limit) -> DataFrame:
-    """doc_id, size and identity of each row's shingle set and its smallest hashes."""
+def set_rows(docs: DataFrame, limit: Limit, *more: str) -> DataFrame:
+    """doc_id, size and identity of each row's shingle set and its smallest hashes, and the columns named in `more`."""
     return (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), shingle_set(F.col("text"), limit).alias("s"))
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), *more, shingle_set(F.col("text"), limit).alias("s"))
         .select(
             "doc_id",
+            *more,
             F.size("s").cast("long").alias("n"),
             F.xxhash64("s").alias("h1"),
             F.xxhash64(F.lit(7), "s").alias("h2"),
@@ -91,8 +93,12 @@ def set_rows(docs: DataFrame, limit: Limit) -> DataFrame:
 
 
 def inverted_lists(classes: DataFrame, limit: Limit) -> DataFrame:
-    """(list, rep, h1, n, members, shingles): the lists of two and more classes, one of each set of members."""
-    values = classes.select("rep", "h1", "n", F.size("low").alias("s"), F.explode("low").alias("value"))
+    """(list, rep, h1, n, members, shingles): the lists of two and more classes, one of each set of members.
+
+    A column `node` of `classes` comes along.
+    """
+    more = [c for c in classes.columns if c == "node"]
+    values = classes.select("rep", "h1", "n", *more, F.size("low").alias("s"), F.explode("low").alias("value"))
     often = values.groupBy("value").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     shared = values.join(often, "value")
     one = W.partitionBy("rep", "h1")
@@ -112,7 +118,7 @@ def inverted_lists(classes: DataFrame, limit: Limit) -> DataFrame:
         .where("members > 1")
     )
     lists = sizes.groupBy("members", "shingles", "x1", "x2").agg(F.min("value").alias("list"))
-    return listed.select("value", "rep", "h1", "n").join(
+    return listed.select("value", "rep", "h1", "n", *more).join(
         lists.select(F.col("list").alias("value"), "members", "shingles"), "value"
     ).withColumnRenamed("value", "list")
 
@@ -194,12 +200,12 @@ def link_members(sets: list[np.ndarray], cross: np.ndarray | None, percent: int)
             may[np.ix_(one, one)] = False
 
 
-def _block_links(percent: int):
+def _block_links(percent: int, node: str):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, ["list", "i", "j"]):
-            rep = group.column("rep").to_numpy()
+            rep = group.column(node).to_numpy()
             flat = group.column("s").combine_chunks()
             ends, values = flat.offsets.to_numpy(), flat.values.to_numpy()
             sets = [values[ends[r] : ends[r + 1]] for r in range(len(rep))]
@@ -213,17 +219,10 @@ def _block_links(percent: int):
     return work
 
 
-def near_duplicates(docs: DataFrame, limit: Limit = Limit()) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row of `docs`."""
-    ready_workers(docs.sparkSession)
-    rows = materialize(set_rows(docs, limit), "sets")
-    key = ["n", "h1", "h2"]
-    classes = (
-        rows.where("n > 0 and doc_id is not null")
-        .groupBy(*key)
-        .agg(F.min("doc_id").alias("rep"), F.first("low").alias("low"))
-    )
+def class_links(docs: DataFrame, classes: DataFrame, limit: Limit) -> DataFrame:
+    """(a, b): links between classes, enough to join all that belong together; named by `node`, without it by `rep`."""
     lists = materialize(inverted_lists(classes, limit), "lists")
+    node = "node" if "node" in classes.columns else "rep"
     # Full sets of the listed texts only; they are made again from the text instead of being kept for all rows. The merge
     # join keeps one plan at every size, and its order by id serves the joins below.
     listed = lists.select(F.col("rep").alias("doc_id")).distinct().hint("merge")
@@ -234,26 +233,42 @@ def near_duplicates(docs: DataFrame, limit: Limit = Limit()) -> DataFrame:
         .dropDuplicates(["rep", "h1"])
     )
     blocks = F.greatest(F.ceil(F.col("members") / BLOCK_ROWS), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
-    placed = in_blocks(lists.select("list", "rep", "h1", "members", "shingles"), "list", "rep", blocks)
+    names = list(dict.fromkeys(["rep", "h1", node]))
+    placed = in_blocks(lists.select("list", *names, "members", "shingles"), "list", "rep", blocks)
     met = (
-        placed.select("list", "i", "j", "part", "rep", "h1")
+        placed.select("list", "i", "j", "part", *names)
         .join(full, ["rep", "h1"])
-        .select("list", "i", "j", "part", "rep", "s")
+        .select("list", "i", "j", "part", node, "s")
         .repartition("list", "i", "j")
-        .sortWithinPartitions("list", "i", "j", "rep")
+        .sortWithinPartitions("list", "i", "j", node)
+    )
+    return met.mapInArrow(_block_links(limit.percent, node), "a long, b long")
+
+
+KEY = ["n", "h1", "h2"]
+
+
+def near_duplicates(docs: DataFrame, limit: Limit = Limit()) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row of `docs`."""
+    ready_workers(docs.sparkSession)
+    rows = materialize(set_rows(docs, limit), "sets")
+    classes = (
+        rows.where("n > 0 and doc_id is not null")
+        .groupBy(*KEY)
+        .agg(F.min("doc_id").alias("rep"), F.first("low").alias("low"))
     )
-    links = met.mapInArrow(_block_links(limit.percent), "a long, b long")
+    links = class_links(docs, classes, limit)
     # An id with several texts joins the classes of all of them.
-    reps = rows.join(classes.select(*key, "rep"), key).select("doc_id", "rep").distinct()
+    reps = rows.join(classes.select(*KEY, "rep"), KEY).select("doc_id", "rep").distinct()
     first = reps.groupBy("doc_id").agg(F.min("rep").alias("b"))
     several = reps.join(first, "doc_id").select(F.col("rep").alias("a"), "b")
     parts = connected_components(links.union(several))
     of_class = (
-        classes.select(*key, "rep")
+        classes.select(*KEY, "rep")
         .join(parts, F.col("rep") == F.col("node"), "left")
-        .select(*key, F.coalesce("component", "rep").alias("class_component"))
+        .select(*KEY, F.coalesce("component", "rep").alias("class_component"))
     )
-    joined = rows.drop("low").join(of_class, key, "left")
+    joined = rows.drop("low").join(of_class, KEY, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("class_component", "doc_id"))
     return joined.select(
         "doc_id",
@@ -264,9 +279,29 @@ def near_duplicates(docs: DataFrame, limit: Limit = Limit()) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, limit: Limit = Limit()) -> DataFrame:
-    """The rows of `docs` that are kept, one for each component; rows without an id all stay."""
-    kept = near_duplicates(docs, limit).where("kept and doc_id is not null").select("doc_id").distinct()
-    rows = docs.where("doc_id is not null").select("doc_id", F.struct("*").alias("row"))
-    first = F.row_number().over(W.partitionBy("doc_id").orderBy(F.xxhash64("row.text")))
-    with_id = rows.join(kept, "doc_id", "left_semi").withColumn("nth", first).where("nth = 1")
-    return with_id.select("row.*").unionByName(docs.where("doc_id is null"))
+    """One row of each group of near copies, the one of the smallest id; texts are judged, not ids.
+
+    Texts of one id are apart unless they resemble each other. Rows that repeat id and text are one row. Rows without an id
+    yield to rows with one and among each other only to the same shingle set; rows without words only to their repeats.
+    """
+    ready_workers(docs.sparkSession)
+    digest = F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest")
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", digest)
+    rows = materialize(set_rows(named, limit, "digest"), "sets")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("first")
+    classes = rows.where("n > 0").groupBy(*KEY).agg(first, F.first("low").alias("low"))
+    classes = classes.select(*KEY, "low", F.col("first.doc_id").alias("rep"), F.col("first.digest").alias("digest"))
+    # The numbers are written with the classes, so that they stay what they are.
+    classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    parts = connected_components(class_links(docs, classes.where("rep is not null"), limit))
+    grouped = classes.select("node", "rep", "digest").join(parts, "node", "left")
+    grouped = grouped.withColumn("component", F.coalesce("component", "node"))
+    stays = grouped.groupBy("component").agg(F.min(F.struct("rep", "digest")).alias("k"))
+    stays = stays.select(F.col("k.rep").alias("doc_id"), F.col("k.digest").alias("digest"))
+    stays = stays.unionByName(rows.where("n = 0").select("doc_id", "digest").distinct())
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest, F.struct("*").alias("row"))
+    whole = whole.alias("w").join(
+        stays.alias("k"), F.expr("w.doc_id <=> k.doc_id and w.digest = k.digest"), "left_semi"
+    )
+    nth = F.row_number().over(W.partitionBy("doc_id", "digest").orderBy(F.lit(0)))
+    return whole.withColumn("nth", nth).where("nth = 1").select("row.*")

@@ -132,7 +132,7 @@ def test_near_text_odd_rows(spark):
     kept = near_text.one_of_each(table_of(spark, odd_texts(), extra=True))
     assert kept.columns == table_of(spark, [], extra=True).columns
     ids = [r.doc_id for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == [0, 1, 2, 3, 5, 7, 9, 11, 12, 13] and ids.count(None) == 2
+    assert sorted(i for i in ids if i is not None) == [0, 1, 2, 3, 5, 7, 9, 11, 12, 13, 20] and ids.count(None) == 1
     assert near_text.near_duplicates(table_of(spark, [])).count() == 0
 
 
