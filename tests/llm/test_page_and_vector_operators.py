@@ -5,6 +5,7 @@ import hashlib
 import html as references
 import itertools
 import re
+import time
 
 import numpy as np
 import pytest
@@ -73,6 +74,60 @@ def test_main_text_keeps_what_stands_beside_the_best_block():
     assert html_text.main_text(f"<nav>Menu</nav><article>{inner}<aside>no</aside></article><div><a href=/>Links</a></div>") == want
 
 
+BODY = f"<h1>T</h1>{LONG * 3}"
+WANT = " ".join(["T", *["A long line, of prose, with commas. " * 7 + "A long line, of prose, with commas."] * 3])
+NO = "<p>Nothing, that, an article, says, at all, whatever, it may be, or not.</p>"
+NOT_ARTICLE = [
+    'class="comment-body"', 'class="comment-content"', 'class="comment-text"', 'class="ad-content"', 'class="page-footer"',
+    'class="main-menu"', 'class="cookie-text"', 'id="cookieBanner"', 'id="cookiebar"', 'class="adbox"', 'class="usercomments"',
+    'class="post-comments"', 'class="CookieConsent main"', 'id="siteFooter"', 'role="contentinfo"', 'class="entry related"',
+]
+
+
+@pytest.mark.parametrize("mark", NOT_ARTICLE)
+def test_marks_outweigh_article_words(mark):
+    for tag in ("div", "section"):
+        assert html_text.main_text(f"<article>{BODY}<{tag} {mark}>{NO}</{tag}></article>") == WANT
+        assert html_text.main_text(f"<body><{tag} {mark}>{NO}</{tag}><div class=content>{BODY}</div></body>") == WANT
+    assert html_text.main_text(f"<article>{BODY}</article><ol><li><article class=comment>{NO}</article></ol>") == WANT
+
+
+KEPT = [
+    (f"<article>{BODY}<p class=meta>A line about it.</p></article>", f"{WANT} A line about it."),
+    (f"<article><div class=teaser>The lead of it.</div>{BODY}</article>", f"The lead of it. {WANT}"),
+    (f"<article>{BODY}<p class=tags><a href=/a>One</a> <a href=/b>Two</a></p></article>", WANT),
+    (f"<article>{BODY}<p>Before <label>term</label> after</p></article>", f"{WANT} Before term after"),
+    (f"<article>{BODY}<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math>.</p></article>", f"{WANT} So x=1."),
+    (f"<article><div class=post-header><p>Sub title</p></div>{BODY}</article>", f"Sub title {WANT}"),
+    (f"<div class='wrap has-sidebar'><div class=entry-content>{BODY}</div></div>", WANT),
+    (f"<div class='page sidebar'><main>{BODY}</main></div>", WANT),
+    (f"<div>We use cookies. Accept all</div><div>{BODY}</div><div>Copyright 2024 Corp</div>", WANT),
+    (f"<div>We use cookies. Accept all</div><article>{BODY}</article><div>Copyright 2024 Corp</div>", WANT),
+    (f"<article>{BODY}</article><article>{BODY}</article>", f"{WANT} {WANT}"),
+]
+
+
+@pytest.mark.parametrize("page,want", KEPT)
+def test_article_words_stay(page, want):
+    assert html_text.main_text(page) == want
+
+
+def test_deep_and_broken_pages_take_linear_time():
+    n = 100_000
+    pages = [
+        "<div>" * n + "x" + "</div>" * n, "<div>x" * n, "<ul><li>x" * (n // 2), "<ul>" * (n // 2) + "</li>" * (n // 2),
+        "<li><ul>" * (n // 4) + "<div>" + "<ul>" * (n // 4) + "</li>" * (n // 2), "<table><tr><td>x" * (n // 3),
+        "<span class=ad>x" * n, "<p>x<span class=ad>" * (n // 2), "<p>x" * n, "</section>" * n, "<dl><dt>x<dd>" * (n // 3),
+        "<div class=ad>" * n + "x", "<b>" * n + "x" + "</p>" * n,
+    ]
+    for page in pages:
+        start = time.process_time()
+        html_text.main_text(page)
+        assert time.process_time() - start < 6, page[:40]
+    assert html_text.main_text("<div>" * n + "x") == "x"
+    assert html_text.main_text("<ul><li>x" * 2000) == " ".join("x" * 2000)
+
+
 HIDING = [
     ("<article><p>a <span class=ad>no</p><p>b</p></article>", "a b"),
     ("<article><p>a <span class=ad>no <span>no</p><p>b</span> c</p></article>", "a b c"),
