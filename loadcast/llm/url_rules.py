@@ -127,7 +127,10 @@ def judged_pages(
     host, path = host_and_path(F.col("url"))
     urls = pages.select("url").where("url is not null").distinct().withColumn("host", host).withColumn("path", path)
     urls = materialize(urls.withColumn("tokens", tokens(F.col("url"), F.col("host"), F.col("path"))), "urls")
-    kinds = labels.where("verdict is not null").groupBy("url").agg(F.min("verdict").alias("verdict"))
+    # Labels of one URL that contradict each other: the majority counts, a tie blocks.
+    blocks = (2 * F.count_if(F.col("verdict") == "block") >= F.count(F.lit(1))).alias("blocks")
+    kinds = labels.where("verdict is not null").groupBy("url").agg(blocks)
+    kinds = kinds.select("url", F.when(F.col("blocks"), "block").otherwise("allow").alias("verdict"))
     mined_rules = materialize(mine(urls, kinds, options), "rules")
     verdicts = (
         urls.select("url")

@@ -205,6 +205,16 @@ def test_mined_rules_decide(spark):
     assert got[len(urls)] == "block" and got[len(urls) + 1] == "allow"
 
 
+def test_contradicting_labels_count_by_majority(spark):
+    bad, good, torn = ([f"http://{h}.net/p/{n}" for n in range(100)] for h in ("bad", "good", "torn"))
+    labels = [(u, v) for u in bad for v in ("block", "block", "block", "allow")] + [(u, "allow") for u in good]
+    labels += [(u, v) for u in torn for v in ("allow", "block")]
+    pages = spark.createDataFrame(list(enumerate(bad + good + torn)), "page_id long, url string")
+    found = url_rules.judged_pages(pages, [], spark.createDataFrame(labels, "url string, verdict string"))
+    got = {r.page_id: r.verdict for r in found.collect()}
+    assert [got[i] for i in range(300)] == ["block"] * 100 + ["allow"] * 100 + ["block"] * 100
+
+
 def test_warc_round_trip(spark):
     odd = ["<p>a</p>", None, "", "<p>a</p>", "ünï🙂\r\n\r\nWARC/1.1\r\n", "x" * 500_000, "<p>a</p>", "z"]
     rows = [(i + 10, None if i == 1 else f"http://x/{i}\r\nA: b", h) for i, h in enumerate(odd)]
