@@ -172,6 +172,18 @@ def assign_shards(taken: DataFrame, options: MixOptions) -> DataFrame:
     )
 
 
+def taken_words(rows: DataFrame, options: MixOptions = MixOptions()) -> DataFrame:
+    """`rows` (of `sized`, written once, each with a `row_no` of its own) with source_size, target and `taken`.
+
+    The plan's blocks are dealt to the shards and every copy is drawn as the mix draws it, but without its text; `taken` is
+    the sum of a row's words over the shards that hold it.
+    """
+    planned = with_plan(rows, plan_mix(rows.drop("row_no"), options))
+    drawn = assign_shards(planned, options).groupBy("row_no").agg(F.sum("size").alias("taken"))
+    kept = planned.select(*rows.columns, "source_size", "target").join(drawn, "row_no", "left")
+    return kept.withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
+
+
 def mixed_documents(docs: DataFrame, options: MixOptions = MixOptions()) -> DataFrame:
     """The mixed corpus with the columns of `docs`: a row for every copy, by shard and in random order within a shard."""
     plan = plan_mix(materialize(sized(docs, options), "sizes"), options)  # words are counted once

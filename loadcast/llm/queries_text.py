@@ -13,10 +13,9 @@ from loadcast.session import materialize
 @query("op2_mix_sources")
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document, with its source's size and target."""
-    options = mixing.MixOptions()
-    rows = materialize(mixing.sized(table(spark, sf_dir, "documents"), options), "sizes")
-    mix = mixing.with_plan(rows, mixing.plan_mix(rows, options))
-    return mix.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    sizes = mixing.sized(table(spark, sf_dir, "documents"), mixing.MixOptions())
+    rows = materialize(sizes.withColumn("row_no", F.monotonically_increasing_id()), "sizes")
+    return mixing.taken_words(rows).select("doc_id", "size", "source_size", "target", "taken")
 
 
 @query("op6_fingerprints")

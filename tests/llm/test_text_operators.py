@@ -312,6 +312,11 @@ def test_mix_query(spark):
         taken[of[r.doc_id]] += r.taken
     largest = {s: max(n for i, n in size.items() if of[i] == s) for s in names}
     assert all(abs(taken[s] - target[s]) <= largest[s] for s in names)
+    # What the query says is what the mix holds.
+    held = {}
+    for r in mixing.mixed_documents(spark.read.parquet(f"{SMALL}/documents.parquet")).collect():
+        held[r.doc_id] = held.get(r.doc_id, 0) + len(WORD.findall(r.text or ""))
+    assert {r.doc_id: r.taken for r in got if r.taken} == {k: v for k, v in held.items() if v}
     again = QUERIES["op2_mix_sources"](spark, SMALL).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, again))
 
