@@ -500,6 +500,40 @@ def multi_part_scan(spark, sf):
     return back.select(F.col(N.ENERGY_COLUMNS[0]).alias("first_column"), F.col(N.ENERGY_COLUMNS[1]).alias("second_column"))
 
 
+#: A text with a line break, a separator, quotes and, in some rows, a line that looks like a record of its own.
+_AWKWARD_SQL = """CASE o_orderkey % 5 WHEN 0 THEN 'two' || chr(10) || 'lines; "' || o_custkey || '"'
+    WHEN 1 THEN '"' || o_orderkey || '";x' || chr(10) || '"' WHEN 2 THEN chr(10) || 'a;b;c' || chr(10) || chr(10) || 'd'
+    WHEN 3 THEN '' || o_custkey ELSE '5" of ' || o_orderkey END"""
+
+
+@query(
+    "quoted_records",
+    f"""SELECT row_number() OVER (PARTITION BY o_orderkey % 7 ORDER BY o_orderkey) + 1 AS source_row,
+               CAST(o_orderkey AS VARCHAR) AS first_column, {_AWKWARD_SQL} AS awkward, '' || o_custkey AS last_column FROM orders""",
+)
+def quoted_records(spark, sf):
+    """Cells with line breaks, separators and quotes, written as seven CSV parts and scanned back with their row numbers."""
+    from loadcast import names as N
+
+    root = f"{scratch_folder(spark)}/{uuid.uuid4().hex}"
+    number, key, customer = F.col("o_orderkey"), F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    awkward = (
+        F.when(number % 5 == 0, F.concat(F.lit('two\nlines; "'), customer, F.lit('"')))
+        .when(number % 5 == 1, F.concat(F.lit('"'), key, F.lit('";x\n"')))
+        .when(number % 5 == 2, F.lit("\na;b;c\n\nd"))
+        .when(number % 5 == 3, customer)
+        .otherwise(F.concat(F.lit('5" of '), key))
+    )
+    cells = [c.alias(n) for c, n in zip([key, awkward, *[customer] * 7], N.ENERGY_COLUMNS, strict=True)]
+    rows = table(spark, sf, "orders").select(*cells, (number % 7).alias("k"), number.alias("place")).repartition(7, "k")
+    rows = rows.sortWithinPartitions("k", "place").drop("place")
+    options = {"header": True, "sep": ";", "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.partitionBy("k").options(**options).csv(root)
+    back = scan.scan_energy(spark, root, fmt="csv")
+    first, second, last = N.ENERGY_COLUMNS[0], N.ENERGY_COLUMNS[1], N.ENERGY_COLUMNS[-1]
+    return back.select("source_row", F.col(first).alias("first_column"), F.col(second).alias("awkward"), F.col(last).alias("last_column"))
+
+
 @query(
     "provenance_rows",
     """SELECT i + 2 AS source_row, CAST(o_orderkey AS VARCHAR) AS first_column

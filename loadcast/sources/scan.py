@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from loadcast import names as N
 from loadcast.functions.text import py_token, token
+from loadcast.session import materialize
 from loadcast.sources.limits import part_order
+from loadcast.sources.records import cut_records, may_break, parse_records, text_lines
 
 PART_REGEX = r"^Dane_\d+$"
 _SEPARATORS = [";", ",", "\t", "|"]
@@ -35,33 +37,60 @@ def _separator(line: str) -> str:
     return max(_SEPARATORS, key=line.count)
 
 
-def _header_groups(spark: SparkSession, paths: list[str], sep: str | None) -> list[tuple[str, list[str]]]:
-    """(separator, files) of the files that share separator and header.
-
-    One job takes the first line of every file; one row per distinct header and file reaches the driver.
-    """
+def _first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """One row per file: its first line and whether a line of it may open a quoted cell that goes on in the next."""
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
     lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")).alias("place"),
-        "value",
+        F.col("_metadata.file_path").alias("file"), place.alias("place"), "value", may_break(F.col("value"), _SEPARATORS).alias("b")
     )
-    first = lines.groupBy("file").agg(F.min_by("value", "place").alias("line")).collect()
-    groups: dict[tuple[str, str], list[str]] = {}
-    for r in sorted(first, key=lambda r: r.file):
-        line = (r.line or "").lstrip("\ufeff").rstrip("\r")
-        groups.setdefault((sep or _separator(line), line), []).append(r.file)
-    return [(s, files) for (s, _), files in groups.items()]
+    first = F.regexp_replace(F.coalesce(F.min_by("value", "place"), F.lit("")), "^\ufeff|\r$", "").alias("line")
+    return lines.groupBy("file").agg(first, F.max("b").alias("breaks"))
 
 
-def _read(spark: SparkSession, paths: list[str], kind: str, sep: str | None) -> list[DataFrame]:
-    """One frame per set of files with the same header; of other formats one frame."""
+def _header_groups(spark: SparkSession, paths: list[str]) -> list[tuple[str, bool, list[str]]]:
+    """(first line, whether cells go over lines, files) of the files that share both.
+
+    Files are grouped in the cluster and only distinct first lines reach the driver. Where all files agree, which is the
+    rule, they are read by the paths as given and no file name is collected.
+    """
+    first = materialize(_first_lines(spark, paths), "headers")
+    kinds = first.groupBy("line", "breaks").agg(F.min("file").alias("least")).orderBy("least").collect()
+    if len(kinds) == 1:
+        return [(kinds[0].line, kinds[0].breaks, paths)]
+    groups = []
+    for k in kinds:
+        same = first.where((F.col("line") == k.line) & (F.col("breaks") == k.breaks))
+        groups.append((k.line, k.breaks, [r.file for r in same.select("file").orderBy("file").collect()]))
+    return groups
+
+
+def _numbered(spark: SparkSession, paths: list[str], kind: str, sep: str | None) -> list[DataFrame]:
+    """Frames with provenance, one per set of files with the same header; of other formats one frame."""
     if kind != "csv":
-        return [spark.read.format(kind).load(paths)]
+        return [_with_row_number(spark.read.format(kind).load(paths), kind)]
     out = []
-    for s, files in _header_groups(spark, paths, sep):
+    for line, breaks, files in _header_groups(spark, paths):
+        s = sep or _separator(line)
+        if breaks:
+            out += _cut(spark, files, s)
+            continue
         df = spark.read.options(header=True, sep=s, encoding="UTF-8", escape='"').csv(files)
-        out.append(df.toDF(*[c.lstrip("\ufeff") for c in df.columns]))
-    return out or [spark.read.options(header=True, sep=sep or ";").csv(paths)]
+        out.append(_with_row_number(df.toDF(*[c.lstrip("\ufeff") for c in df.columns]), kind))
+    return out or [_with_row_number(spark.read.options(header=True, sep=sep or ";").csv(paths), kind)]
+
+
+def _cut(spark: SparkSession, files: list[str], sep: str) -> list[DataFrame]:
+    """The same for files with cells over several lines; their headers may be such records too."""
+    records = cut_records(text_lines(spark, files), sep)
+    headers = records.where("record = 1").groupBy("value").agg(F.min("_file").alias("least")).orderBy("least").collect()
+    own = records.where("record = 1").select("_file", F.col("value").alias("header"))
+    out = []
+    for h in headers:
+        some = records if len(headers) == 1 else records.join(own.where(F.col("header") == h.value), "_file", "left_semi")
+        rows = parse_records(some, h.value, sep)
+        sheet = _stem_column(F.col("_name")).alias("source_sheet")
+        out.append(rows.select(sheet, F.col("record").alias("source_row"), *[F.col(f"`{c}`") for c in rows.columns[2:]]))
+    return out
 
 
 def _with_row_number(df: DataFrame, kind: str) -> DataFrame:
@@ -133,7 +162,7 @@ def scan_energy(
         paths = [f for f in found if pattern.search(_stem(f))]
         if not paths:
             raise ValueError(f"no part matches {part_regex!r}; found {[_stem(f) for f in found]}")
-    energy = append_parts(*[pick_energy_columns(_with_row_number(df, kind)) for df in _read(spark, paths, kind, sep)])
+    energy = append_parts(*[pick_energy_columns(df) for df in _numbered(spark, paths, kind, sep)])
     return drop_blank_rows(energy) if part_regex else energy
 
 
@@ -143,7 +172,7 @@ def scan_weather(
     """Weather export with `src_order`, the place of a row in its source (breaks issue-time ties)."""
     paths = [path] if isinstance(path, str) else list(path)
     kind = _kind(paths, fmt)
-    return append_parts(*[_with_order(_with_row_number(df, kind)) for df in _read(spark, paths, kind, sep)])
+    return append_parts(*[_with_order(df) for df in _numbered(spark, paths, kind, sep)])
 
 
 def _with_order(rows: DataFrame) -> DataFrame:
@@ -204,7 +233,7 @@ def resolve_mapping(mapping: DataFrame, order: str | None = None) -> DataFrame:
 
 def scan_mapping(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     """A mapping file with `src_order`, the place of a row in it."""
-    parts = [_with_order(_with_row_number(df, "csv")) for df in _read(spark, [path], "csv", sep)]
+    parts = [_with_order(df) for df in _numbered(spark, [path], "csv", sep)]
     return checked_mapping(append_parts(*[rename_by_alias(df, N.MAPPING_ALIASES) for df in parts]))
 
 

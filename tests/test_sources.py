@@ -1,7 +1,10 @@
 """Scans, limits, mapping, warehouse extract, sinks."""
 
+import csv
 import datetime as dt
+import io
 import os
+import random
 import time
 
 import pytest
@@ -68,6 +71,62 @@ def test_row_numbers_across_many_splits(spark, folder):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def csv_cell(rng):
+    kind = rng.randrange(8)
+    text = "".join(rng.choice(["a", "b", ";", "\n", "\r\n", '"', '""', " ", "x y", ","]) for _ in range(rng.randrange(9)))
+    return '5" p' if kind == 0 else text if kind < 5 else rng.choice(["plain", "1,5", "2024-01-01"])
+
+
+@pytest.mark.parametrize("split", [40, 300, 10_000_000])
+def test_records_over_line_breaks_and_splits(spark, folder, split):
+    """Cells with breaks, separators and quotes, some fully quoted, against Python's reader; files begin and end oddly."""
+    rng, want = random.Random(split), {}
+    os.makedirs(f"{folder}/in")
+    for part in range(4):
+        rows = [[csv_cell(rng) for _ in range(9)] for _ in range(60)]
+        out = io.StringIO(newline="")
+        style = [csv.QUOTE_MINIMAL, csv.QUOTE_ALL][part % 2]
+        writer = csv.writer(out, delimiter=";", quoting=style, lineterminator=["\n", "\r\n"][part // 2])
+        header = [*N.SOURCE_ENERGY_COLUMNS[:8], N.SOURCE_ENERGY_COLUMNS[8]]
+        writer.writerow(header)
+        for k, r in enumerate(rows):
+            writer.writerow(r)
+            out.write("\n" if k % 9 == 0 else "")
+        text = out.getvalue()
+        with open(f"{folder}/in/Dane_{part}.csv", "w", encoding="utf-8-sig" if part else "utf-8", newline="") as f:
+            f.write(text if part != 3 else text.rstrip("\r\n"))
+        read = [r for r in csv.reader(io.StringIO(text, newline=""), delimiter=";") if r]
+        want |= {(f"Dane_{part}", k + 1): r for k, r in enumerate(read) if k}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        got = S.scan_energy(spark, f"{folder}/in", fmt="csv").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    found = {(r.source_sheet, r.source_row): [c or "" for c in tuple(r)[2:]] for r in got}
+    assert len(found) == len(got) and found.keys() == want.keys()
+    for key, cells in want.items():
+        assert found[key] == cells, key
+
+
+def test_headers_over_lines_and_open_cells(spark, folder):
+    for part, name in enumerate(["last", "last\none"]):
+        with open(f"{folder}/p{part}.csv", "w", newline="") as f:
+            f.write(";".join(["a"] * 8 + [f'"{name}"']) + "\n" + ";".join(["1"] * 8 + ['"x\ny"']) + "\n")
+    rows = S.scan_energy(spark, f"{folder}/p*.csv", sep=";").collect()
+    assert sorted((r.source_sheet, r.source_row, r.actual) for r in rows) == [("p0", 2, "x\ny"), ("p1", 2, "x\ny")]
+    with open(f"{folder}/open.csv", "w") as f:
+        f.write(";".join("abcdefghi") + "\n" + ";".join(["1"] * 8) + ';"never\nclosed\n')
+    with pytest.raises(Exception, match="no end"):
+        S.scan_energy(spark, f"{folder}/open.csv").collect()
+
+
+def test_files_with_one_header_are_not_listed(spark, folder):
+    for part in range(30):
+        put(f"{folder}/in/Dane_{part}.csv", [HEADER, "BIA;1;G;K;e;2024-01-01;4;1;1;z"])
+    assert S._header_groups(spark, [f"{folder}/in"]) == [(HEADER, False, [f"{folder}/in"])]
+
+
 def test_every_part_has_its_own_header_and_separator(spark, folder):
     names = list(N.SOURCE_ENERGY_COLUMNS)
     value = {c: f"v{i}" for i, c in enumerate(names)}
