@@ -41,7 +41,8 @@ def fill_baseline(
     keys = list(dict.fromkeys([*scope, *(c for level in levels for c in level)]))
     kept = rows.filter(F.col("baseline").isNotNull()).withColumn(out, clip(F.col("baseline"), low=0.0))
     need = rows.filter(F.col("baseline").isNull())
-    found = _resolve(need.select(*keys).distinct(), medians, scope, keys, levels)
+    # Combinations of all rows: without the filter on the baseline, the optimizer drops what computes it from this branch.
+    found = _resolve(rows.select(*keys).distinct(), medians, scope, keys, levels)
     found = found.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_found")
     filled = need.join(found, _same(keys), "left").drop(*[f"_k_{k}" for k in keys])
     value = clip(F.coalesce(F.col("_found"), F.lit(0.0)), low=0.0)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,67 +19,48 @@ def grouped_medians(df: DataFrame, levels: list[list[str]], value: str, scope: l
 
     Equal values of the finest keys collapse to a count first, and everything below works on these counts: one pass sums
     them for all levels and value buckets, running sums tell which buckets hold the middle ranks, and only the values of
-    those buckets are put in order.
+    those buckets, found for all levels in one join, are put in order. The ranks are neighbours, so what lies between two
+    such buckets of a group is empty and one running sum serves both.
     """
     scope = scope or []
     keys = list(dict.fromkeys(c for level in levels for c in level))
     rows = df.filter(F.col(value).isNotNull()).select(*scope, *keys, F.col(value).cast("double").alias("_v"))
     cells = rows.groupBy(*scope, *keys, "_v").agg(F.count(F.lit(1)).alias("_n")).withColumn("_b", _bucket(F.col("_v")))
+    every = _by_level(cells, scope, keys, levels)
     group = ["level", *scope, *keys]
     upto = W.partitionBy(*group).orderBy("_b").rowsBetween(W.unboundedPreceding, 0)
-    whole = W.partitionBy(*group)
-    buckets = _by_level(cells, scope, keys, levels).withColumns(
-        {"_upto": F.sum("_in").over(upto), "_size": F.sum("_in").over(whole)}
+    buckets = every.groupBy(*group, "_b").agg(F.sum("_n").alias("_in")).withColumns(
+        {"_upto": F.sum("_in").over(upto), "_size": F.sum("_in").over(W.partitionBy(*group))}
     )
     before = F.col("_upto") - F.col("_in")
     hits = buckets.withColumn("_before", before).filter(_holds(before, F.col("_upto"), 1) | _holds(before, F.col("_upto"), 2))
-    # The level after the window: a filter on it stays above, so that all levels share one shuffle of the counts.
-    hits = hits.withColumn("_tag", F.when(F.col("_size") > 0, F.col("level")))
-    inside = reduce(DataFrame.unionByName, [_inside(cells, hits, number, scope, level, keys) for number, level in enumerate(levels)])
-    one = [*group, "_size", "_before", "_b"]
-    values = inside.groupBy(*one, "_v").agg(F.sum("_n").alias("_n"))
-    place = W.partitionBy(*one).orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
-    ranked = values.withColumn("_end", F.col("_before") + F.sum("_n").over(place))
-    start, end = F.col("_end") - F.col("_n"), F.col("_end")
-    middle = [F.max(F.when(_holds(start, end, which), F.col("_v"))) for which in (1, 2)]
+    on = [*group, "_b"]
+    hits = hits.select(*[F.col(c).alias(f"_k_{c}") for c in on], "_size", "_before")
+    inside = every.join(hits, F.expr(" and ".join(f"{c} <=> _k_{c}" for c in on)))
+    order = W.partitionBy(*group).orderBy("_v").rangeBetween(W.unboundedPreceding, 0)
+    end = F.min("_before").over(W.partitionBy(*group)) + F.sum("_n").over(order)
+    ranked = inside.select(*group, "_size", "_v", end.alias("_end"))
+    middle = [F.min(F.when(F.col("_end") >= _rank(which), F.col("_v"))) for which in (1, 2)]
     return ranked.groupBy(*group).agg(F.max("_size").alias("n"), ((middle[0] + middle[1]) / 2).alias("median"))
 
 
-def _holds(before: Column, upto: Column, which: int) -> Column:
-    """Whether the lower (1) or upper (2) middle rank lies after `before` and not after `upto`."""
-    rank = F.floor((F.col("_size") + which) / 2)
-    return (before < rank) & (rank <= upto)
+def _rank(which: int) -> Column:
+    """The lower (1) or upper (2) middle rank."""
+    return F.floor((F.col("_size") + which) / 2)
 
 
-def _by_level(cells: DataFrame, scope: list[str], keys: list[str], levels: list[list[str]]) -> DataFrame:
-    """Counts per level, group and bucket by GROUPING SETS; the grouping bits tell which level a row belongs to."""
-    sets = [[F.col(c) for c in [*scope, *level, "_b"]] for level in levels]
-    level = F.lit(None).cast("int")
-    for number in reversed(range(len(levels))):
-        match = F.lit(True)
-        for c in keys:
-            match = match & (F.grouping(c) == (0 if c in levels[number] else 1))
-        level = F.when(match, F.lit(number)).otherwise(level)
-    out = cells.groupingSets(sets, *[F.col(c) for c in [*scope, *keys, "_b"]]).agg(F.sum("_n").alias("_in"), level.alias("level"))
-    return out.select("level", *scope, *keys, "_b", "_in")
+def _holds(before: Column, upto: Column, which: int) -> Column:
+    """Whether a middle rank lies after `before` and not after `upto`."""
+    return (before < _rank(which)) & (_rank(which) <= upto)
 
 
-def _inside(cells: DataFrame, hits: DataFrame, number: int, scope: list[str], level: list[str], keys: list[str]) -> DataFrame:
-    """The counted values in one level's hit buckets, with the group's size and the ranks before the bucket."""
-    on = [*scope, *level, "_b"]
-    wanted = hits.filter(F.col("_tag") == number).select(*[F.col(c).alias(f"_k_{c}") for c in on], "_size", "_before")
-    same = F.expr(" and ".join(f"{c} <=> _k_{c}" for c in on))
-    types = dict(cells.dtypes)
-    return cells.join(wanted, same).select(
-        F.lit(number).alias("level"),
-        *scope,
-        *[(F.col(c) if c in level else F.lit(None).cast(types[c])).alias(c) for c in keys],
-        "_size",
-        "_before",
-        "_b",
-        "_v",
-        "_n",
-    )
+def _by_level(cells: DataFrame, scope: list[str], keys: list[str], levels: list[list[str]]) -> DataFrame:
+    """Every cell once per level, keys that the level does not use being NULL."""
+    variants = []
+    for number, level in enumerate(levels):
+        held = [f"'{k}', {k if k in level else f'nullif({k}, {k})'}" for k in keys]
+        variants.append(f"named_struct({', '.join([f"'level', {number}", *held])})")
+    return cells.select(F.expr(f"inline(array({', '.join(variants)}))"), *scope, "_b", "_v", "_n")
 
 
 def _bucket(v: Column) -> Column:
