@@ -16,7 +16,7 @@ from loadcast.operators.quality import append_quality
 from loadcast.session import scratch_folder
 from loadcast.sinks.tables import exported_rows, locale_text, output_columns, safe_part, write_predictions
 from loadcast.sources import scan
-from loadcast.sources.limits import input_limit_report, limit_input
+from loadcast.sources.limits import first_n, input_limit_report, limit_input
 from loadcast.sources.warehouse import infer_date_range
 
 _STRIP = r"[\s\x0b\x{1c}-\x{1f}\x{85}\p{Z}]+"
@@ -462,6 +462,21 @@ def quality_append(spark, sf):
     return append_quality(block("orders", "a", "x"), block("customer", "b", "y"))
 
 
+@query(
+    "limit_by_number_and_text",
+    """SELECT o_orderkey FROM orders ORDER BY CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_totalprice / (o_custkey % 5) END DESC NULLS LAST,
+              encode('c' || o_custkey), o_orderkey LIMIT 4000""",
+)
+def limit_by_number_and_text(spark, sf):
+    """The first rows by a double with infinities and nulls, then a text, then a key."""
+    share = (F.col("o_custkey") % 5).cast("double")
+    number = F.when(share == 0, F.lit(float("inf"))).otherwise(F.col("o_totalprice").cast("double") / share)
+    number = F.when(F.col("o_orderkey") % 11 != 0, number)
+    customer = F.concat(F.lit("c"), F.col("o_custkey").cast("string"))
+    rows = first_n(table(spark, sf, "orders"), 4_000, [(number, True), (customer, False), (F.col("o_orderkey"), False)])
+    return rows.select("o_orderkey")
+
+
 @query(
     "tail_over_parts",
     """SELECT 'Dane_' || (o_orderkey % 12 + 1) AS source_sheet, o_orderkey AS source_row FROM orders

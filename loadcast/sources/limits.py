@@ -1,92 +1,131 @@
-"""Exact "first n in this order" for any n, and the input-limit report."""
+"""Exact "first n in this order" for any n and any type of column, and the input-limit report."""
 
 from __future__ import annotations
 
+import math
+from decimal import Decimal
+from typing import Any
+
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Whole numbers are narrowed by so many bits at a time, so that no step counts more than 65,536 values.
-_BITS = 16
+#: A range of values is narrowed to one of so many parts in a pass, until it holds no more rows than are put in order at once.
+_PARTS, _ROWS = 65_536, 10_000
 
 
 def first_n(df: DataFrame, n: int, order: list[tuple[Column, bool]]) -> DataFrame:
-    """First `n` rows by `order`, a coarse-to-fine list of (column, descending); NULL comes last.
-
-    Rows are counted by the coarsest column until the value is known in which the limit falls. Better values are kept by
-    a plain filter, and only that value is refined with the next column. Only (value, count) pairs move, never rows, and
-    they are the same steps for every n. Rows equal in all of `order` are exchangeable. Timestamps are compared as whole
-    numbers (microseconds), so that no zone touches them.
+    """First `n` rows by `order`, a coarse-to-fine list of (column, descending); NULL comes last, NaN is the largest number.
+
+    The range of the first column is cut into parts by a function that never turns two values around, rows are counted
+    by part, and the part in which row n falls is cut again, until it holds few rows. Better parts are kept by a plain
+    filter; only the few rows of the last part are put in order. If one value holds too many rows, the next column goes
+    on among them. Only (part, count, least, largest) move, never rows, and the steps are the same for every n. Rows equal
+    in all of `order` are taken by a hash of all their columns. Times are compared as whole numbers, so that no zone
+    touches them.
     """
     if n <= 0:
         return df.limit(0)
-    if not order:
-        return df.limit(n)
-    (column, descending), rest = order[0], order[1:]
+    types = [f.dataType.typeName() for f in df.schema.fields]
+    if not any(t in ("map", "variant") for t in types):
+        order = [*order, (F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), False)]
+    return _first(df, n, [_plain(df, c, descending) for c, descending in order])
+
+
+def _plain(df: DataFrame, column: Column, descending: bool) -> tuple[Column, str, bool]:
+    """The column as a number, text or bytes of the same order, and its kind."""
     kind = df.select(column.alias("v")).schema["v"].dataType.typeName()
     if kind == "timestamp":
-        column, kind = F.unix_micros(column), "long"
-    elif kind == "date":
-        column, kind = F.unix_date(column), "long"
-    elif kind == "timestamp_ntz":
-        column, kind = F.unix_micros(column.cast("timestamp")), "long"
-    whole = kind in ("byte", "short", "integer", "long")
-    edge, better, at_edge = (_whole_edge if whole else _any_edge)(df, column, descending, n)
-    if edge == "all":
+        return F.unix_micros(column), "whole", descending
+    if kind == "date":
+        return F.unix_date(column).cast("long"), "whole", descending
+    if kind == "timestamp_ntz":
+        return F.unix_micros(column.cast("timestamp")), "whole", descending
+    if kind in ("byte", "short", "integer", "long", "boolean"):
+        return column.cast("int").cast("long") if kind == "boolean" else column.cast("long"), "whole", descending
+    if kind in ("float", "double"):
+        # Negative zero equals zero.
+        return column.cast("double") + F.lit(0.0), "double", descending
+    if kind in ("string", "char", "varchar"):
+        return F.encode(column, "UTF-8"), "bytes", descending
+    if kind in ("binary", "decimal"):
+        return column, {"binary": "bytes"}.get(kind, kind), descending
+    raise TypeError(f"rows cannot be limited by a column of type {kind}")
+
+
+def _first(df: DataFrame, n: int, order: list[tuple[Column, str, bool]]) -> DataFrame:
+    if not order:
+        return df.limit(n)
+    (v, kind, descending), rest = order[0], order[1:]
+    low, high, size, total = df.agg(F.min(v), F.max(v), F.count(v), F.count(F.lit(1))).first()
+    if total <= n:
         return df
-    kept, left = df.filter(column.isNotNull() & better), df.filter(at_edge)
-    value, before, size = edge
-    if before + size == n:
-        return kept.unionByName(left)
-    return kept.unionByName(first_n(left, n - before, rest))
-
-
-def _null_edge(column: Column, before: int, size: int):
-    return (None, before, size), F.lit(True), column.isNull()
+    if size < n:
+        return df.filter(v.isNotNull()).unionByName(_among(df.filter(v.isNull()), n - size, total - size, rest))
+    need = n
+    while size > _ROWS and not _equal(low, high):
+        part = _part(v, kind, low, high)
+        inside = df.filter(v.between(F.lit(low), F.lit(high)))
+        found = inside.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"))
+        for r in sorted(found.collect(), key=lambda r: r.p, reverse=descending):
+            if r.n >= need:
+                low, high, size = r.low, r.high, r.n
+                break
+            need -= r.n
+    better = (v > F.lit(high)) if descending else (v < F.lit(low))
+    edge = df.filter(v.between(F.lit(low), F.lit(high)))
+    left = _among(edge, need, size, rest) if _equal(low, high) else _sorted(edge, need, order)
+    return df.filter(better).unionByName(left)
 
 
-def _whole_edge(df: DataFrame, column: Column, descending: bool, n: int):
-    """The whole number in which row n falls: found digit by digit, counting at most 65,536 values in each pass."""
-    low, high, known, total = df.agg(
-        F.min(column), F.max(column), F.count(column), F.count(F.lit(1))
-    ).first()
-    if total <= n:
-        return "all", None, None
-    if known < n:
-        return _null_edge(column, known, total - known)
-    # Distance from the best value, so that smaller is always better.
-    best = high if descending else low
-    away = (F.lit(best) - column) if descending else (column - F.lit(best))
-    shift = max(0, -(-(int(high) - int(low)).bit_length() // _BITS) - 1) * _BITS
-    before, size, prefix, rows = 0, known, 0, df.filter(column.isNotNull())
-    while True:
-        digits = rows.groupBy(F.shiftright(away.cast("long"), shift).alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()
-        for d, size in sorted((r.d, r.n) for r in digits):
-            if before + size >= n:
-                prefix = d
-                break
-            before += size
-        if not shift:
-            break
-        rows = df.filter(column.isNotNull() & (F.shiftright(away.cast("long"), shift) == prefix))
-        shift -= _BITS
-    value = best - prefix if descending else best + prefix
-    return (value, before, size), (column > value) if descending else (column < value), column == value
-
-
-def _any_edge(df: DataFrame, column: Column, descending: bool, n: int):
-    """The same for columns of few distinct values (names of parts): their counts in order."""
-    counts = df.groupBy(column.alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    order = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_last()
-    upto = F.sum("n").over(W.orderBy(order).rowsBetween(W.unboundedPreceding, 0))
-    edge = counts.withColumn("upto", upto).filter(F.col("upto") >= n).orderBy("upto").limit(1).collect()
-    if not edge:
-        return "all", None, None
-    value, before = edge[0]["v"], edge[0]["upto"] - edge[0]["n"]
-    if value is None:
-        return _null_edge(column, before, edge[0]["n"])
-    better = (column > F.lit(value)) if descending else (column < F.lit(value))
-    return (value, before, edge[0]["n"]), better, column == F.lit(value)
+def _among(df: DataFrame, need: int, size: int, rest: list[tuple[Column, str, bool]]) -> DataFrame:
+    """The first rows of some that agree so far."""
+    if need >= size:
+        return df
+    return _sorted(df, need, rest) if size <= _ROWS else _first(df, need, rest)
+
+
+def _sorted(df: DataFrame, need: int, order: list[tuple[Column, str, bool]]) -> DataFrame:
+    keys = [v.desc_nulls_last() if descending else v.asc_nulls_last() for v, _, descending in order]
+    return df.orderBy(*keys).limit(need) if keys else df.limit(need)
+
+
+def _equal(low: Any, high: Any) -> bool:
+    return low == high or (isinstance(low, float) and math.isnan(low) and math.isnan(high))
+
+
+def _part(v: Column, kind: str, low: Any, high: Any) -> Column:
+    """A number from no more than about `_PARTS`, never smaller for a larger value between `low` and `high`."""
+    if kind == "whole":
+        shift = 0
+        while (high >> shift) - (low >> shift) >= _PARTS:
+            shift += 1
+        return F.shiftright(v, shift)
+    if kind == "bytes":
+        low, high = bytes(low), bytes(high)
+        same = next((k for k, (a, b) in enumerate(zip(low, high, strict=False)) if a != b), min(len(low), len(high)))
+        # All values in between share the bytes before; the next two are a number, missing ones being 0.
+        return F.conv(F.rpad(F.hex(F.substring(v, same + 1, 2)), 4, "0"), 16, 10).cast("int") + F.when(
+            F.octet_length(v) > same, F.lit(1)
+        ).otherwise(F.lit(0))
+    if kind == "decimal":
+        low, high = Decimal(low), Decimal(high)
+        a, b = float(low), float(high)
+        x = v.cast("double")
+    else:
+        a, b, x = low, high, v
+    if math.isinf(a) or math.isinf(b) or math.isnan(b):
+        size = F.abs(x)
+        power = F.when(size > 0, F.floor(F.log2(size))).otherwise(F.lit(-1100)).cast("int") + 1101
+        finite = F.when(x > 0, power).when(x < 0, -power).otherwise(F.lit(0))
+        return F.when(F.isnan(x), F.lit(5000)).when(x == float("inf"), F.lit(4000)).when(x == float("-inf"), F.lit(-4000)).otherwise(finite)
+    span = b / 2 - a / 2
+    if not span or math.isinf(_PARTS / span):
+        return (v > F.lit(low)).cast("int")
+    return F.greatest(
+        F.floor((x / 2 - F.lit(a / 2)) / F.lit(span) * (_PARTS - 1)).cast("int"),
+        # The least value alone, where rounding leaves one part.
+        (v > F.lit(low)).cast("int"),
+    )
 
 
 def part_order(part: str = "source_sheet") -> list[Column]:

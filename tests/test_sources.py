@@ -6,6 +6,7 @@ import io
 import os
 import random
 import time
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -161,7 +162,8 @@ def test_limits(spark, folder):
 @pytest.mark.parametrize("n", [1, 400, 1000, 1400, 2000, 5000])
 def test_large_limit_equals_sorted_limit(spark, n, monkeypatch):
     """A third of the rows shares one time and some have none; numbers take several digits."""
-    monkeypatch.setattr(L, "_BITS", 3)
+    monkeypatch.setattr(L, "_PARTS", 8)
+    monkeypatch.setattr(L, "_ROWS", 20)
     df = spark.range(2000).select(
         F.when(F.col("id") % 3 == 0, F.lit(50)).when(F.col("id") % 20 != 1, F.pmod(F.xxhash64("id"), F.lit(100)).cast("int")).alias("t"),
         (F.col("id") % 7).alias("s"),
@@ -172,6 +174,48 @@ def test_large_limit_equals_sorted_limit(spark, n, monkeypatch):
     assert got == {r.id for r in want}
 
 
+_TOP = (1 << 63) - 1
+ODD = {
+    "long": [_TOP, -_TOP - 1, 0, -1, 1, _TOP - 1, None, *range(-5, 6)],
+    "int": [2**31 - 1, -(2**31), 0, None, *range(9)],
+    "boolean": [True, False, None],
+    "double": [float("nan"), float("inf"), float("-inf"), 0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308, None, 0.1, 0.1 + 1e-16, 1.0, 1e9],
+    "float": [float("nan"), float("inf"), 3.25, -3.25, 1e-45, None, 16777216.0],
+    "decimal(38,4)": [Decimal("9" * 34), Decimal("-" + "9" * 34), Decimal("0.0001"), Decimal("0.0002"), Decimal(0), None, Decimal("9" * 34 + ".9999")],
+    "string": ["", "\0", "\0\0", "a", "a\0", "a\0\0b", "ab", "abc", "abcd" * 50, "abcd" * 50 + "e", "ż", "🙂", "\uffff", None, "Z", "z"],
+    "binary": [b"", b"\0", b"\xff" * 9, b"\xff" * 8, b"a", None],
+    "date": [dt.date(1, 1, 1), dt.date(9999, 12, 31), dt.date(1970, 1, 1), dt.date(1969, 12, 31), None],
+}
+
+
+@pytest.mark.parametrize("kind", ODD)
+def test_limits_of_any_type(spark, monkeypatch, kind):
+    """Extremes, ties and nulls: the first rows are those that an ordinary sort puts first."""
+    monkeypatch.setattr(L, "_PARTS", 16)
+    monkeypatch.setattr(L, "_ROWS", 3)
+    rng = random.Random(kind)
+    rows = [(v, rng.randrange(3), k) for k, v in enumerate(ODD[kind] * 2 + [rng.choice(ODD[kind][:4]) for _ in range(20)])]
+    df = spark.createDataFrame(rows, f"v {kind}, t int, id int").repartition(3).cache()
+    for descending in (False, True):
+        first = F.desc_nulls_last("v") if descending else F.asc_nulls_last("v")
+        want = [r.id for r in df.orderBy(first, F.desc_nulls_last("t"), "id").collect()]
+        for n in {1, len(rows) // 3, len(rows) - 2} | ({7, len(rows) - 9, len(rows) + 1} if kind in ("long", "double", "string") else set()):
+            got = L.first_n(df, n, [(F.col("v"), descending), (F.col("t"), True), (F.col("id"), False)])
+            assert {r.id for r in got.collect()} == set(want[:n]), (kind, descending, n)
+    df.unpersist()
+
+
+def test_limit_of_equal_rows_and_of_many_strings(spark, monkeypatch):
+    same = spark.range(500).select(F.lit(7).alias("a"), F.lit("x").alias("b"))
+    monkeypatch.setattr(L, "_ROWS", 10)
+    assert L.first_n(same, 123, [(F.col("a"), False)]).count() == 123
+    names = spark.range(3000).select(F.concat(F.lit("a common beginning "), F.sha2(F.col("id").cast("string"), 256)).alias("name"), "id")
+    want = [r.id for r in names.orderBy("name").limit(1234).collect()]
+    assert {r.id for r in L.first_n(names, 1234, [(F.col("name"), False)]).collect()} == set(want)
+    with pytest.raises(TypeError):
+        L.first_n(spark.createDataFrame([([1],)], "a array<int>"), 1, [(F.col("a"), False)])
+
+
 def test_parts_are_in_natural_order(spark):
     df = spark.createDataFrame([(f"Dane_{p}", r) for p in range(1, 13) for r in (2, 3)], "source_sheet string, source_row long")
     tail = {(r.source_sheet, r.source_row) for r in L.limit_input(df, 5, "tail").collect()}
