@@ -5,20 +5,21 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loadcast.config import ForecastConfig
 from loadcast.operators import encode as E
+from loadcast.operators.boosting import BoostOptions, fit_median_trees
 from loadcast.operators.features import FeatureSpec
 from loadcast.operators.medians import grouped_medians
-from loadcast.session import materialize, shared_folder
+from loadcast.session import materialize
 
 ROW_KEY = ["source_sheet", "source_row"]
-LEAF_LIMIT_DEPTH = 5
-MIN_LEAF_ROWS = 30
+#: Trees of the leaf-limited kind: splits by gain up to so many leaves, no deeper than this, of so many rows at least.
+MAX_LEAVES, LEAF_LIMIT_DEPTH, MIN_LEAF_ROWS = 31, 8, 30
 
 
 @dataclass
@@ -68,12 +69,9 @@ def held_out_from(by_hour: list[tuple[int | None, int]]) -> int | None:
 def fit_residual(train: DataFrame, spec: FeatureSpec, config: ForecastConfig) -> ResidualModel:
     """Fit on all usable rows of `train`.
 
-    Absolute loss moves each leaf by about one step in target units per tree, so the target is divided by its median
-    absolute size. The newest tenth of the rows decides when to stop.
+    The target is divided by its median absolute size, so that tolerances mean the same in any unit. The newest tenth of
+    the rows decides when to stop.
     """
-    spark = train.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     usable = usable_rows(train)
     fold = E.row_fold(ROW_KEY, config.seed)
     cells = materialize(E.target_cells(usable, spec.categorical, "residual_target", fold), "target_cells")
@@ -93,22 +91,18 @@ def fit_residual(train: DataFrame, spec: FeatureSpec, config: ForecastConfig) ->
         (F.col("residual_target") / F.lit(scale)).alias("label"),
         F.coalesce(hour >= F.lit(first_held), F.lit(False)).alias("held_out"),
     )
-    depth = LEAF_LIMIT_DEPTH if config.backend == "leaf_limited" else config.tree_depth
-    stop = {} if first_held is None else {"validationIndicatorCol": "held_out"}
-    trees = GBTRegressor(
-        featuresCol="features",
-        labelCol="label",
-        lossType="absolute",
-        maxIter=config.max_iter,
-        stepSize=config.step_size,
-        maxDepth=depth,
-        minInstancesPerNode=MIN_LEAF_ROWS if config.backend == "leaf_limited" else 1,
-        **stop,
-        validationTol=1e-4,
-        seed=config.seed,
-        maxMemoryInMB=1024,
-        checkpointInterval=10,
-    ).fit(materialize(matrix, "matrix"))
+    leafy = config.backend == "leaf_limited"
+    trees = fit_median_trees(
+        matrix,
+        BoostOptions(
+            max_iter=config.max_iter,
+            step_size=config.step_size,
+            max_depth=LEAF_LIMIT_DEPTH if leafy else config.tree_depth,
+            max_leaves=MAX_LEAVES if leafy else None,
+            min_leaf_rows=MIN_LEAF_ROWS if leafy else 1,
+            seed=config.seed,
+        ),
+    )
     return ResidualModel(trees, encodings, float(mean), scale, spec)
 
 
