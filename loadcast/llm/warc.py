@@ -58,12 +58,13 @@ READ_SQL = "page_id long, url string, record_type string, refers_to long, payloa
 @dataclass(frozen=True)
 class WarcOptions:
     """Payloads below `least` bytes are always responses; ranges up to `gap` bytes apart are read in one request, until
-    it has `request` bytes."""
+    it has `request` bytes; an archive of `archive_bytes` is closed and the next one begun."""
 
     least: int = 0
     date: str = "1970-01-01T00:00:00Z"
     gap: int = 64 * 1024
     request: int = 8 * 1024 * 1024
+    archive_bytes: int = 1 << 30
 
 
 def _name(page_id: int | None) -> str:
@@ -129,7 +130,7 @@ def _open(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(folder)
 
 
-def _writer(folder: str, date: str):
+def _writer(folder: str, date: str, most: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, offset, sink = f"{uuid.uuid4().hex}.warc.gz", 0, None
         fs, root = _open(folder)
@@ -137,6 +138,9 @@ def _writer(folder: str, date: str):
             for batch in batches:
                 rows = []
                 for row in batch.to_pylist():
+                    if sink is not None and offset >= most:
+                        sink.close()
+                        name, offset, sink = f"{uuid.uuid4().hex}.warc.gz", 0, None
                     if sink is None:
                         fs.create_dir(root)
                         sink = fs.open_output_stream(f"{root}/{name}", compression=None)
@@ -175,7 +179,7 @@ def write_archives(pages: DataFrame, options: WarcOptions = WarcOptions()) -> tu
         F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"),
     )
     folder = f"{scratch_folder(spark)}/{uuid.uuid4().hex}/archives"
-    return folder, materialize(marked.mapInArrow(_writer(folder, options.date), INDEX_SQL), "index")
+    return folder, materialize(marked.mapInArrow(_writer(folder, options.date, options.archive_bytes), INDEX_SQL), "index")
 
 
 def _reader(folder: str, options: WarcOptions, payloads: bool):
@@ -212,10 +216,14 @@ def _reader(folder: str, options: WarcOptions, payloads: bool):
 
 def read_records(folder: str, index: DataFrame, options: WarcOptions = WarcOptions(), payloads: bool = True) -> DataFrame:
     """The records that the rows of `index` name. A revisit's payload is that of the response it refers to, not repeated."""
-    ready_workers(index.sparkSession)
+    spark = index.sparkSession
+    ready_workers(spark)
+    # Ranges by the bytes they read, as many as Spark would cut the archives into; rows of an index weigh next to nothing.
+    total = index.agg(F.sum("length")).first()[0] or 0
+    ranges = max(1, -(-total // spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()))
     ordered = (
         index.select("archive", "offset", "length")
-        .repartitionByRange("archive", "offset")
+        .repartitionByRange(ranges, "archive", "offset")
         .sortWithinPartitions("archive", "offset")
     )
     return ordered.mapInArrow(_reader(folder, options, payloads), READ_SQL)

@@ -215,6 +215,24 @@ def test_contradicting_labels_count_by_majority(spark):
     assert [got[i] for i in range(300)] == ["block"] * 100 + ["allow"] * 100 + ["block"] * 100
 
 
+def test_archives_roll_and_ranges_follow_bytes(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, f"http://x/{i}", rng.bytes(3000).hex()) for i in range(60)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    folder, index = warc.write_archives(df, warc.WarcOptions(archive_bytes=20_000))
+    sizes = [r.n for r in index.groupBy("archive").agg(F.sum("length").alias("n")).collect()]
+    assert len(sizes) > 5 and max(sizes) < 26_000
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    try:
+        read = warc.read_records(folder, index)
+        parts = read.select("page_id", "payload", F.spark_partition_id().alias("p")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((r.page_id, bytes(r.payload).decode()) for r in parts) == [(i, h) for i, _, h in rows]
+    assert len({r.p for r in parts}) >= 3
+
+
 def test_warc_round_trip(spark):
     odd = ["<p>a</p>", None, "", "<p>a</p>", "ünï🙂\r\n\r\nWARC/1.1\r\n", "x" * 500_000, "<p>a</p>", "z"]
     rows = [(i + 10, None if i == 1 else f"http://x/{i}\r\nA: b", h) for i, h in enumerate(odd)]
