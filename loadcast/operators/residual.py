@@ -19,7 +19,7 @@ from loadcast.session import materialize
 
 ROW_KEY = ["source_sheet", "source_row"]
 #: Trees of the leaf-limited kind: splits by gain up to so many leaves, no deeper than this, of so many rows at least.
-MAX_LEAVES, LEAF_LIMIT_DEPTH, MIN_LEAF_ROWS = 31, 8, 30
+MAX_LEAVES, LEAF_LIMIT_DEPTH, MIN_LEAF_ROWS = 31, 6, 30
 
 
 @dataclass
