@@ -18,7 +18,7 @@ from loadcast.operators import blend as B
 from loadcast.operators import metrics as M
 from loadcast.operators import splits as S
 from loadcast.operators.baseline import fallback_medians, fill_baseline
-from loadcast.operators.residual import importance_summary
+from loadcast.operators.residual import importance_summary, usable_rows
 from loadcast.plans.forecast import run_forecast, training_range
 from loadcast.plans.package import build_package, history_tail, score_package
 from loadcast.session import materialize
@@ -457,3 +457,110 @@ def package_score(spark, sf):
     return scored.select("source_row", "direction", "prediction_status", "blend_alpha", "baseline_backtest", "forecast")
 
 
+class HourShift:
+    """A correction that SQL can learn as well: the mean residual of every hour of the day."""
+
+    def __init__(self, train):
+        rows = usable_rows(train).groupBy("hour").agg(F.avg("residual_target").alias("_shift"))
+        self.shifts = materialize(rows, "shifts")
+
+    def predict(self, df, out="correction"):
+        found = df.join(self.shifts, "hour", "left")
+        return found.withColumn(out, F.coalesce(F.col("_shift"), F.lit(0.0))).drop("_shift")
+
+
+_LATE_SQL = f"""SELECT * REPLACE (CASE WHEN source_row % 19 <> 0 AND valid_local < TIMESTAMP '2024-01-29' THEN actual END AS actual)
+  FROM ({V.ENERGY_SQL})"""
+
+
+def _medians_by_set(number: int, keys: str) -> str:
+    return f"m{number} AS (SELECT set_id, {keys}, median(actual) AS v{number} FROM tr GROUP BY ALL)"
+
+
+def _decided(name: str, rows: str, keys: str) -> str:
+    """SQL of the weight per key: least error on the grid, none without a gain."""
+    return f"""
+  {name}_grid AS (SELECT {keys}, i / CAST(20 AS DOUBLE) AS alpha, count(*) AS n, avg(abs(base - actual)) AS base_mae,
+      avg(abs(greatest(base + i / CAST(20 AS DOUBLE) * corr, 0) - actual)) AS mae FROM {rows}, range(21) r(i) GROUP BY {keys}, i),
+  {name}_best AS (SELECT *, (base_mae - mae) / base_mae AS gain,
+      CASE WHEN n < 10 THEN 'TOO_FEW_CALIBRATION' WHEN base_mae <= 0 THEN 'BASELINE_PERFECT_OR_INVALID'
+           WHEN alpha <= 0 OR (base_mae - mae) / base_mae < 0 THEN 'NO_CONFIRMED_GAIN' ELSE 'HYBRID_CHOSEN' END AS reason
+    FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY mae, alpha) AS rn FROM {name}_grid) WHERE rn = 1),
+  {name} AS (SELECT {keys}, n, reason, CASE WHEN reason = 'HYBRID_CHOSEN' THEN alpha ELSE 0 END AS alpha,
+      CASE WHEN reason IN ('TOO_FEW_CALIBRATION', 'BASELINE_PERFECT_OR_INVALID') THEN 0 ELSE greatest(gain, 0) END AS gain
+    FROM {name}_best)"""
+
+
+#: Two folds of five days, four days of calibration, as in `_small_config`; every step of the backtest as a plain table.
+_BACKTEST_SQL = f"""
+  WITH {HIST_SQL.replace(V.ENERGY_SQL, _LATE_SQL)},
+  s AS (SELECT *, CASE WHEN source_row % 19 <> 0 THEN valid_local - INTERVAL 1 HOUR END AS utc,
+          CASE WHEN source_row % 19 <> 0 THEN hour(valid_local) END AS h FROM ({STATS_SQL.replace(V.ENERGY_SQL, _LATE_SQL)})),
+  t AS (SELECT * FROM s WHERE actual >= 0),
+  c AS (SELECT max(utc) AS cutoff FROM s WHERE actual IS NOT NULL),
+  folds AS (SELECT k AS fold, e - to_days(CAST((3 - k) * 5 AS INTEGER)) AS lo, e - to_days(CAST((2 - k) * 5 AS INTEGER)) AS hi
+    FROM (SELECT date_trunc('day', cutoff) + INTERVAL 1 DAY AS e FROM c), range(1, 3) r(k)),
+  bounds AS (SELECT 'TEST_' || fold AS set_id, lo AS bound FROM folds UNION ALL SELECT 'CAL_' || fold, lo - INTERVAL 4 DAY FROM folds
+    UNION ALL SELECT 'FINAL', TIMESTAMP '9999-01-01'),
+  tr AS (SELECT t.*, set_id FROM t JOIN bounds ON utc < bound),
+  {_medians_by_set(0, "client, direction, h")}, {_medians_by_set(1, "branch_code, direction, h")},
+  {_medians_by_set(2, "direction, h")}, {_medians_by_set(3, "direction")},
+  shift AS (SELECT fold, direction, h, avg(actual - baseline) AS d FROM t JOIN folds ON utc < lo - INTERVAL 4 DAY
+    WHERE baseline IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT 0, direction, h, avg(actual - baseline) FROM t WHERE baseline IS NOT NULL AND utc IS NOT NULL GROUP BY ALL),
+  uses AS (SELECT s.*, 'TEST' AS role, fold, 'TEST_' || fold AS set_id FROM s JOIN folds ON utc >= lo AND utc < hi AND actual >= 0
+    UNION ALL SELECT s.*, 'CAL', fold, 'CAL_' || fold FROM s JOIN folds ON utc >= lo - INTERVAL 4 DAY AND utc < lo AND actual >= 0
+    UNION ALL SELECT s.*, 'FUTURE', 0, 'FINAL' FROM s, c WHERE actual IS NULL AND utc > cutoff),
+  filled AS (SELECT u.*, greatest(coalesce(baseline, v0, v1, v2, v3, 0), 0) AS base, coalesce(d, 0) AS corr FROM uses u
+    LEFT JOIN m0 USING (set_id, client, direction, h) LEFT JOIN m1 USING (set_id, branch_code, direction, h)
+    LEFT JOIN m2 USING (set_id, direction, h) LEFT JOIN m3 USING (set_id, direction) LEFT JOIN shift USING (fold, direction, h)),
+  cal AS (SELECT * FROM filled WHERE role = 'CAL'), oof AS (SELECT * FROM filled WHERE role = 'TEST'),
+  {_decided("decision", "cal", "fold, direction")}, {_decided("final", "oof", "direction")}"""
+
+
+def _plain_backtest(spark, sf):
+    joined = materialize(_future(enriched(spark, sf)), "joined")
+    config = replace(_small_config(), compute_importance=False)
+    return run_forecast(joined, config, fit=lambda train, spec, config: HourShift(train))
+
+
+@query(
+    "backtest_decisions",
+    f"""{_BACKTEST_SQL} SELECT CAST(fold AS INTEGER) AS fold, direction, alpha AS blend_alpha, n AS calibration_n,
+          round(gain + 3.3e-8, 6) AS calibration_improvement, reason AS calibration_reason FROM decision
+        UNION ALL SELECT 0, direction, alpha, n, round(gain + 3.3e-8, 6), reason FROM final""",
+)
+def backtest_decisions(spark, sf):
+    """What every fold decides from its calibration window, and (fold 0) the final weights from all out-of-fold rows."""
+    result = _plain_backtest(spark, sf)
+    rows = [(x["fold"], x["direction"], x["blend_alpha"], x["calibration_n"], x["calibration_improvement"], x["calibration_reason"]) for x in result.decisions]
+    rows += [(0, d, a.alpha, a.calibration_n, a.calibration_improvement, a.calibration_reason) for d, a in result.models.items()]
+    out = spark.createDataFrame(
+        rows, "fold int, direction string, blend_alpha double, calibration_n long, calibration_improvement double, calibration_reason string"
+    )
+    return out.withColumn("calibration_improvement", r6("calibration_improvement"))
+
+
+@query(
+    "backtest_rows",
+    f"""{_BACKTEST_SQL}, scored AS (
+          SELECT o.source_row, 'OOF' AS st, CAST(o.fold AS INTEGER) AS fold, base, corr, alpha, n, reason, actual,
+            CASE WHEN alpha > 0 THEN '{N.S_HYBRID}' ELSE '{N.S_BASELINE}' END AS strategy FROM oof o JOIN decision USING (fold, direction)
+          UNION ALL SELECT f.source_row, 'FUTURE', NULL, base, corr, alpha, n, reason, NULL,
+            CASE WHEN alpha > 0 THEN '{N.S_HYBRID_FINAL}' ELSE '{N.S_BASELINE_FINAL}' END
+          FROM filled f JOIN final USING (direction) WHERE role = 'FUTURE')
+        SELECT s.source_row, coalesce(st, CASE WHEN utc IS NULL THEN '{N.P_NO_UTC}' WHEN s.actual IS NULL THEN '{N.P_GAP}' ELSE '{N.P_WARMUP}' END)
+            AS prediction_status, fold, strategy, alpha AS blend_alpha, n AS calibration_n, reason AS calibration_reason,
+          round(base + 3.3e-8, 6) AS baseline_backtest, round(corr + 3.3e-8, 6) AS correction,
+          round(scored.actual - base + 3.3e-8, 6) AS residual_actual, round(raw + 3.3e-8, 6) AS raw_candidate,
+          round(blended + 3.3e-8, 6) AS forecast, round(blended - scored.actual + 3.3e-8, 6) AS error, cutoff AS forecast_cutoff_utc
+        FROM s LEFT JOIN (SELECT *, greatest(base + corr, 0) AS raw, greatest(base + alpha * corr, 0) AS blended FROM scored) scored
+          USING (source_row), c""",
+)
+def backtest_rows(spark, sf):
+    """Every row of a run with its final status, fold, decision, forecast and audit columns."""
+    out = _plain_backtest(spark, sf).predictions
+    plain = ["source_row", "prediction_status", "fold", "strategy", "blend_alpha", "calibration_n", "calibration_reason"]
+    rounded = ["baseline_backtest", "correction", "residual_actual", "raw_candidate", "forecast", "error"]
+    cutoff = F.col("forecast_cutoff_utc").cast("timestamp_ntz").alias("forecast_cutoff_utc")
+    return out.select(*plain, *[r6(c).alias(c) for c in rounded], cutoff)

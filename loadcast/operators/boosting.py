@@ -176,3 +176,37 @@ def fit_median_trees(matrix: DataFrame, options: BoostOptions = BoostOptions())
     first = _tree(spark, "start", leaf, trees[0].numFeatures)
     kept_trees = trees[:best_at]
     return _ensemble(spark, [first, *kept_trees], [1.0, *[options.step_size] * len(kept_trees)])
+
+
+def same_steps(models: list[GBTRegressionModel]) -> bool:
+    """Whether trees at the same place weigh the same in all models, however many trees each has."""
+    weights = [list(m.treeWeights) for m in models]
+    longest = max(weights, key=len)
+    return all(w == longest[: len(w)] for w in weights)
+
+
+def joined_trees(spark: SparkSession, models: list[GBTRegressionModel]) -> GBTRegressionModel:
+    """One ensemble for all models: the feature after their own tells by number which of them scores a row.
+
+    Tree k splits on that number down to the k-th tree of the model, so a row passes log2(models) more nodes a tree; models
+    with fewer trees add 0 there. The models must weigh their trees alike (`same_steps`).
+    """
+    if not same_steps(models):
+        raise ValueError("the models weigh their trees differently")
+    nodes = spark.sparkContext._jvm.org.apache.spark.ml.tree
+    roots = [[t._call_java("rootNode") for t in m.trees] for m in models]
+    features = models[0].trees[0].numFeatures
+    stats = roots[0][0].impurityStats()
+
+    def choose(place: int, first: int, end: int) -> Any:
+        if end - first == 1:
+            own = roots[first]
+            return own[place] if place < len(own) else nodes.LeafNode(0.0, 0.0, stats)
+        middle = (first + end) // 2
+        split = nodes.ContinuousSplit(features, middle - 0.5)
+        halves = choose(place, first, middle), choose(place, middle, end)
+        return nodes.InternalNode(0.0, 0.0, 0.0, *halves, split, stats)
+
+    longest = max(range(len(models)), key=lambda k: len(roots[k]))
+    trees = [_tree(spark, f"joined_{k}", choose(k, 0, len(models)), features + 1) for k in range(len(roots[longest]))]
+    return _ensemble(spark, trees, list(models[longest].treeWeights))

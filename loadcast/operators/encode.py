@@ -75,27 +75,37 @@ def overall_mean(cells: DataFrame) -> DataFrame:
 
 
 def apply_encoding(
-    df: DataFrame, encodings: DataFrame, categories: list[str], default: float, fold: Column | None = None
+    df: DataFrame,
+    encodings: DataFrame,
+    categories: list[str],
+    default: float | Column,
+    fold: Column | None = None,
+    scope: list[str] | None = None,
 ) -> DataFrame:
     """Adds `<category>_enc`. Without `fold` the all-rows encodings apply, with it the out-of-fold ones.
 
+    `scope` names columns of both frames that must agree too, such as the number of a model; `default` may depend on them.
+
     Encodings are looked up once per distinct category combination (as many as there are series), all categories in
     one join, and the wide rows are joined a single time.
     """
     tag = "_fold"
     keyed = df.withColumn(tag, F.lit(ALL_ROWS) if fold is None else fold)
-    combos = keyed.select(*categories, tag).distinct()
+    scope = scope or []
+    keys = [*scope, *categories, tag]
+    other = default if isinstance(default, Column) else F.lit(float(default))
+    combos = keyed.select(*keys).distinct()
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in categories])
-    wanted = combos.select(*categories, tag, F.inline(pairs))
-    side = encodings.select("feature", "value", F.col("fold").alias(tag), "enc")
-    found = wanted.join(side, ["feature", "value", tag], "left")
-    table = found.groupBy(*categories, tag).agg(
+    wanted = combos.select(*keys, F.inline(pairs))
+    side = encodings.select(*scope, "feature", "value", F.col("fold").alias(tag), "enc")
+    found = wanted.join(side, [*scope, "feature", "value", tag], "left")
+    table = found.groupBy(*keys).agg(
         *[
-            F.coalesce(F.max(F.when(F.col("feature") == c, F.col("enc"))), F.lit(float(default))).alias(f"{c}_enc")
+            F.coalesce(F.max(F.when(F.col("feature") == c, F.col("enc"))), other).alias(f"{c}_enc")
             for c in categories
         ]
     )
-    return keyed.join(table, [*categories, tag], "left").drop(tag)
+    return keyed.join(table, keys, "left").drop(tag)
 
 
 def crossfit_encode(

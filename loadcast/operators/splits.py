@@ -76,6 +76,29 @@ def training_sets(df: DataFrame, folds: list[Fold], calibration_days: int, final
     return rows.withColumn("set_id", F.explode(F.filter(F.array(*tags), lambda t: t.isNotNull())))
 
 
+def scoring_roles(df: DataFrame, pairs: list[tuple[Fold, str, int | None, bool]], calibration_days: int) -> DataFrame:
+    """Trainable rows once per use in the backtest: `role` (TEST or CAL), `fold`, `set_id` of their medians, `model`.
+
+    `pairs` lists fold, direction, the number of the model that scores them (None: no model) and whether the model is
+    calibrated. Windows of calibration may overlap, so a row can have several uses; all are told in one pass.
+    """
+    utc, uses = F.col("model_utc"), []
+
+    def use(f: Fold, d: str, inside: Column, role: str, model: int | None) -> Column:
+        number = F.lit(model).cast("int")
+        told = F.struct(
+            F.lit(role).alias("role"), F.lit(f.number).alias("fold"), F.lit(f"{role}_{f.number}").alias("set_id"), number.alias("model")
+        )
+        return F.when((F.col("direction") == d) & inside, told)
+
+    for f, d, model, calibrated in pairs:
+        uses.append(use(f, d, (utc >= instant(f.start)) & (utc < instant(f.end)), "TEST", model))
+        if calibrated:
+            uses.append(use(f, d, calibration_part(f.start, calibration_days) == "CALIBRATION", "CAL", model))
+    told = F.filter(F.array(*uses), lambda u: u.isNotNull())
+    return df.filter(trainable()).select("*", F.inline(told))
+
+
 def fold_counts(df: DataFrame, folds: list[Fold], calibration_days: int) -> DataFrame:
     """Rows per (direction, fold): history, fit, usable fit, calibration, test - one aggregate for all folds."""
     utc = F.col("model_utc")

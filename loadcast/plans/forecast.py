@@ -20,6 +20,7 @@ from loadcast.operators.baseline import LEVELS, fallback_medians, fill_baseline
 from loadcast.operators.blend import select_alpha
 from loadcast.operators.features import FeatureSpec, build_features
 from loadcast.operators.metrics import add_errors, all_metrics
+from loadcast.operators.model_set import predict_each
 from loadcast.operators.residual import (
     ROW_KEY,
     fit_residual,
@@ -124,8 +125,9 @@ def run_forecast(
     """Backtest on expanding windows, learn one final model per direction, forecast the future rows.
 
     `history` may name narrower rows with the same series keys, hours and actuals (all hours of `joined` included) for
-    the lags. The feature table is written once, split by direction, and every later step reads the slices it needs. Medians and
-    calibration run for all folds in one job each; only model fits are submitted one by one.
+    the lags. The feature table is written once, split by direction, and every later step reads the slices it needs. Medians,
+    the scores of all fold models on their test and calibration rows, and calibration run for all folds in one job each;
+    only model fits are submitted one by one.
     """
     config.validate()
     require_utc(joined.sparkSession)
@@ -167,32 +169,28 @@ def _backtest(table, medians, folds, spec, config, fit):
         return None, {}, []
     models = _in_threads(table.sparkSession, jobs, config.parallel_fits)
 
-    # Baselines are filled before the split by model: the filter of each part still reaches the partitioned table.
-    calibration = []
-    for f, d in active:
-        model = models.get((f.number, d))
-        if model is None or counts[(d, f.number)].calibration == 0:
-            continue
-        part = S.calibration_part(f.start, config.calibration_days)
-        rows = table.filter(_is(d) & S.trainable() & (part == "CALIBRATION"))
-        tagged = rows.withColumns({"fold": F.lit(f.number), "set_id": F.lit(f"CAL_{f.number}")})
-        filled = fill_baseline(tagged, medians, ["set_id"], SET_LEVELS)
-        calibration.append(
-            model.predict(filled, "correction").select("fold", "direction", "actual", "baseline_filled", "correction")
-        )
+    # All uses of all rows in one scan of the feature table; a row names its fold's model by number.
+    number = {key: k for k, key in enumerate(models)}
+    pairs = [
+        (f, d, number.get((f.number, d)), (f.number, d) in models and counts[(d, f.number)].calibration > 0) for f, d in active
+    ]
+    uses = materialize(S.scoring_roles(table, pairs, config.calibration_days), "uses", ["role", "direction"])
+    filled = fill_baseline(uses, medians, ["set_id"], SET_LEVELS, out="baseline_backtest")
+    scored = predict_each(filled, list(models.values()), "model").drop("set_id", "model")
+    scored = materialize(scored, "scored", ["role", "direction"])
     chosen = {}
-    if calibration:
+    if any(calibrated for *_, calibrated in pairs):
         picked = select_alpha(
-            _union(calibration),
+            scored.filter(F.col("role") == "CAL"),
             ["fold", "direction"],
             config.min_calibration_rows,
             config.min_improvement,
             config.grid_steps,
-            baseline="baseline_filled",
+            baseline="baseline_backtest",
         )
         chosen = {(r.fold, r.direction): r for r in picked.collect()}
 
-    decisions, tests = [], []
+    decisions = []
     for f, d in active:
         key = (f.number, d)
         if key not in models:
@@ -205,12 +203,8 @@ def _backtest(table, medians, folds, spec, config, fit):
             r = chosen[key]
             verdict = _decision(r.alpha, r.n, r.improvement, r.reason)
         decisions.append({"fold": f.number, "direction": d, **verdict})
-        in_window = (F.col("model_utc") >= S.instant(f.start)) & (F.col("model_utc") < S.instant(f.end))
-        rows = table.filter(_is(d) & S.trainable() & in_window)
-        tagged = rows.withColumns({"fold": F.lit(f.number), "set_id": F.lit(f"TEST_{f.number}")})
-        filled = fill_baseline(tagged, medians, ["set_id"], SET_LEVELS, out="baseline_backtest").drop("set_id")
-        tests.append(_corrected(models.get(key), filled, "correction"))
-    oof = _union(tests).join(F.broadcast(_decision_frame(table, decisions)), ["fold", "direction"], "left")
+    oof = scored.filter(F.col("role") == "TEST").drop("role")
+    oof = oof.join(F.broadcast(_decision_frame(table, decisions)), ["fold", "direction"], "left")
     base, corr = F.col("baseline_backtest"), F.col("correction")
     oof = oof.withColumns(
         {
@@ -220,7 +214,7 @@ def _backtest(table, medians, folds, spec, config, fit):
             "strategy": F.when(F.col("blend_alpha") > 0, N.S_HYBRID).otherwise(N.S_BASELINE),
         }
     )
-    return materialize(oof, "oof", ["direction"]), models, decisions
+    return oof, models, decisions
 
 
 def _decision_frame(table: DataFrame, decisions: list[dict[str, Any]]) -> DataFrame:

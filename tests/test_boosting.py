@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel, GBTRegressor
 from pyspark.sql import functions as F
 
@@ -97,3 +97,25 @@ def test_rows_without_a_held_out_part_use_all_trees(spark):
     flat = df.withColumn("label", F.lit(2.5))
     model = B.fit_median_trees(flat, B.BoostOptions(max_iter=2))
     assert {r.prediction for r in model.transform(flat).collect()} == {2.5}
+
+
+def test_joined_trees_score_as_each_model_does(spark):
+    """Models of unlike numbers of trees; the extra last feature names the model."""
+    frames = [sample(spark, k, n=600) for k in (3, 4, 5)]
+    models = [
+        B.fit_median_trees(df, B.BoostOptions(max_iter=k + 1, step_size=0.3, max_leaves=5, min_leaf_rows=15, patience=9, tolerance=-1.0))
+        for k, df in enumerate(frames)
+    ]
+    assert [m.getNumTrees for m in models] == [2, 3, 4] and B.same_steps(models)
+    both = B.joined_trees(spark, models)
+    assert both.getNumTrees == 4
+    x = sample(spark, 6, n=400)
+    for k, m in enumerate(models):
+        want = m.transform(x).select("id", F.col("prediction").alias("want"))
+        wide = x.withColumn("features", array_to_vector(F.concat(vector_to_array("features"), F.array(F.lit(float(k))))))
+        got = both.transform(wide).join(want, "id")
+        assert got.count() == 400 and got.where(F.abs(F.col("prediction") - F.col("want")) > 1e-9).count() == 0
+    other = B.fit_median_trees(frames[0], B.BoostOptions(max_iter=1, step_size=0.1, max_leaves=3, tolerance=-1.0))
+    assert not B.same_steps([models[0], other])
+    with pytest.raises(ValueError):
+        B.joined_trees(spark, [models[0], other])

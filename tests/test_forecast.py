@@ -2,14 +2,19 @@
 
 import dataclasses
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from fixtures import mapping, plant
 from loadcast import names as N
 from loadcast.config import ForecastConfig
+from loadcast.operators import splits as S
+from loadcast.operators.baseline import fallback_medians, fill_baseline
 from loadcast.operators.features import build_features
-from loadcast.plans.forecast import run_forecast
+from loadcast.operators.model_set import predict_each
+from loadcast.operators.residual import fit_residual
+from loadcast.plans.forecast import SET_LEVELS, run_forecast
 from loadcast.plans.package import build_package, load_package, save_package, score_package
 from loadcast.plans.prepare import join_prepared, prepare_energy
 from loadcast.session import materialize
@@ -189,3 +194,57 @@ def test_short_history_falls_back_to_the_baseline(joined):
     oof = result.predictions.filter(F.col("prediction_status") == N.P_OOF)
     assert oof.count() > 0
     assert oof.filter((F.col("strategy") != N.S_BASELINE) | (F.col("forecast") != F.col("baseline_backtest"))).count() == 0
+
+
+def test_one_pass_scores_what_every_fold_model_scores_alone(spark, joined):
+    """Overlapping calibration windows: a row is scored once per use, by the model and medians of that use."""
+    config = dataclasses.replace(CONFIG, n_splits=2, validation_days=2, calibration_days=4, min_train_rows=20, max_iter=3)
+    table = materialize(build_features(joined)[0], "features", ["direction"])
+    spec = build_features(joined)[1]
+    folds = S.expanding_splits(S.forecast_cutoff(table), 2, 2)
+    medians = fallback_medians(S.training_sets(table, folds, 4), ["set_id"], SET_LEVELS)
+    medians = materialize(medians, "medians")
+    models, pairs = [], []
+    for f in folds:
+        for d in N.DIRECTIONS:
+            fit = table.filter((F.col("direction") == d) & S.trainable() & (S.calibration_part(f.start, 4) == "FIT"))
+            pairs.append((f, d, len(models), True))
+            models.append(fit_residual(fit, spec, config))
+    # One pair without a model.
+    pairs[1] = (pairs[1][0], pairs[1][1], None, False)
+    uses = S.scoring_roles(table, pairs, 4)
+    scans = [line for line in uses._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Relation" in line]
+    assert len(scans) == 1
+    uses = materialize(uses, "uses", ["role", "direction"])
+    filled = fill_baseline(uses, medians, ["set_id"], SET_LEVELS, out="base")
+    got = predict_each(filled, models, "model").select("source_row", "role", "fold", "direction", "base", "correction")
+    want = None
+    for k, (f, d, number, calibrated) in enumerate(pairs):
+        test = (F.col("model_utc") >= S.instant(f.start)) & (F.col("model_utc") < S.instant(f.end))
+        for role, inside in (("TEST", test), ("CAL", S.calibration_part(f.start, 4) == "CALIBRATION")):
+            if role == "CAL" and not calibrated:
+                continue
+            rows = table.filter((F.col("direction") == d) & S.trainable() & inside).withColumn("set_id", F.lit(f"{role}_{f.number}"))
+            rows = fill_baseline(rows, medians, ["set_id"], SET_LEVELS, out="base")
+            rows = rows.withColumn("correction", F.lit(0.0)) if number is None else models[number].predict(rows)
+            rows = rows.select("source_row", F.lit(role).alias("role"), F.lit(f.number).alias("fold"), "direction", "base", "correction")
+            want = rows if want is None else want.unionByName(rows)
+    keys = ["source_row", "role", "fold", "direction"]
+    a, b = (df.toPandas().sort_values(keys).reset_index(drop=True) for df in (got, want))
+    assert len(a) == len(b) > 0 and (a[keys] == b[keys]).all().all()
+    assert np.allclose(a[["base", "correction"]], b[["base", "correction"]], rtol=1e-9, atol=1e-9)
+    assert a.correction.abs().max() > 0 and (a.groupby("source_row").size() > 1).any()
+
+
+def test_models_of_other_kinds_score_their_slices(spark):
+    class Plus:
+        def __init__(self, step):
+            self.step = step
+
+        def predict(self, df, out):
+            return df.withColumn(out, F.col("x") + self.step)
+
+    df = spark.createDataFrame([(1.0, 0), (1.0, 1), (1.0, None), (None, 1)], "x double, m int")
+    got = [tuple(r) for r in predict_each(df, [Plus(1), Plus(10)], "m").orderBy("m", "x").collect()]
+    assert got == [(1.0, None, 0.0), (1.0, 0, 2.0), (None, 1, None), (1.0, 1, 11.0)]
+    assert {r.correction for r in predict_each(df, [], "m").collect()} == {0.0}
