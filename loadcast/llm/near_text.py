@@ -5,8 +5,10 @@
    probability below 2.5e-6 (6 at 0.85, 4 at 0.80), so each class is listed under its rarest values only (11 and 13; fewer
    for smaller sets): by the prefix principle two sets that share so many values still meet. Values that very many texts
    hold drop out of nearly all prefixes, and values held once make no list.
-3. Lists with the same members collapse to one. A long list is split into blocks that meet in pairs, so that no task holds
-   a long list whole.
+3. Lists with the same members collapse to one. A long list is split into blocks, so that no task holds it whole, and its
+   members meet some pivots first, one copy of each member: what links with a pivot is one part, and meets only those
+   others that are near enough to the pivot to link with it (triangle inequality, on exact similarities). The rest meets
+   in pairs of blocks. A family of copies so costs linear work, and no link is lost.
 4. Where two members of a list hold enough of each other's 64 smallest values, the union of both sketches estimates their
    similarity; pairs that may reach the limit are confirmed on their full sets. The member that overlaps most with the
    others is compared first; what it links needs no comparison with one another. A block gives at most one row per member.
@@ -41,6 +43,8 @@ LISTED, SKETCH = 16, 64
 MISS = 2.5e-6
 #: A block holds about so many members and shingles.
 BLOCK_ROWS, BLOCK_SHINGLES = 512, 750_000
+#: Members of a long list that all others are compared with first.
+PIVOTS = 8
 
 
 @dataclass(frozen=True)
@@ -200,49 +204,175 @@ def link_members(sets: list[np.ndarray], cross: np.ndarray | None, percent: int)
             may[np.ix_(one, one)] = False
 
 
-def _block_links(percent: int, node: str):
+def _sets(group: pa.Table) -> list[np.ndarray]:
+    flat = group.column("s").combine_chunks()
+    ends, values = flat.offsets.to_numpy(), flat.values.to_numpy()
+    return [values[ends[r] : ends[r + 1]] for r in range(group.num_rows)]
+
+
+def _moved(node: np.ndarray, label: np.ndarray) -> dict[str, np.ndarray]:
+    """Links of the members of a tile to the first of their part."""
+    moved = np.flatnonzero(label != np.arange(len(node)))
+    return {"a": node[moved], "b": node[label[moved]]}
+
+
+def around_pivots(
+    pivots: list[np.ndarray], sets: list[np.ndarray], percent: int
+) -> tuple[np.ndarray, list[list[int]]]:
+    """For each set the first pivot that it links with (-1: none), and the pivots before it whose links it may link with.
+
+    Jaccard distance obeys the triangle inequality: what lies further from a pivot than twice the limit links with no
+    text that is linked with the pivot.
+    """
+    n = np.array([len(s) for s in sets])
+    core, near = np.full(len(sets), -1), [[] for _ in sets]
+    for k, pivot in enumerate(pivots):
+        common = _common(pivot, sets)
+        union = len(pivot) + n - common
+        linked = 100 * common >= percent * union
+        may = 100 * common >= (2 * percent - 100) * union
+        for r in np.flatnonzero(may & ~linked & (core < 0)):
+            near[r].append(k)
+        core[linked & (core < 0)] = k
+    return core, near
+
+
+#: A link (a, b), b null where there is none; the other columns describe a member of a long list.
+MET = "a long, b long, list long, rep long, h1 long, n long, core int, near array<int>"
+_MET = pa.schema(
+    [(c, pa.int64()) for c in ("a", "b", "list", "rep", "h1", "n")] + [("core", pa.int32()), ("near", pa.list_(pa.int32()))]
+)
+
+
+def _first_meeting(percent: int):
+    """Links inside of short lists; links of a block of a long list to the pivots of the list."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_groups(batches, ["list", "part"]):
+            node, sets = group.column("node").to_numpy(), _sets(group)
+            if group.column("blocks")[0].as_py() == 1:
+                rows = {name: pa.array(v) for name, v in _moved(node, link_members(sets, None, percent)).items()}
+                rows |= {f.name: pa.nulls(len(rows["a"]), f.type) for f in _MET if f.name not in rows}
+            else:
+                # Members come first: their pivot is -1.
+                first = int((group.column("pivot").to_numpy() < 0).sum())
+                if not first:
+                    continue
+                core, near = around_pivots(sets[first:], sets[:first], percent)
+                rows = {name: group.column(name).slice(0, first).combine_chunks() for name in ("list", "rep", "h1")}
+                rows["a"], rows["b"] = pa.array(node[:first]), pa.array(node[first:][core], mask=core < 0)
+                rows["n"] = pa.array([len(s) for s in sets[:first]], pa.int64())
+                rows["core"], rows["near"] = pa.array(core, pa.int32()), pa.array(near, pa.list_(pa.int32()))
+            if len(rows["a"]):
+                yield pa.RecordBatch.from_arrays([rows[f.name] for f in _MET], schema=_MET)
+
+    return work
+
+
+def _tile_links(percent: int):
+    """Links inside of a block, or between the two sides of a tile."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in sorted_groups(batches, ["list", "i", "j"]):
-            rep = group.column(node).to_numpy()
-            flat = group.column("s").combine_chunks()
-            ends, values = flat.offsets.to_numpy(), flat.values.to_numpy()
-            sets = [values[ends[r] : ends[r + 1]] for r in range(len(rep))]
-            i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-            cross = None if i == j else group.column("part").to_numpy() == i
-            label = link_members(sets, cross, percent)
-            moved = np.flatnonzero(label != np.arange(len(rep)))
-            if len(moved):
-                yield pa.RecordBatch.from_arrays([pa.array(rep[moved]), pa.array(rep[label[moved]])], schema=schema)
+        for group in sorted_groups(batches, ["list", "pivot", "i", "j"]):
+            pivot, i, j = (group.column(c)[0].as_py() for c in ("pivot", "i", "j"))
+            cross = None if pivot < 0 and i == j else group.column("side").to_numpy() == 1
+            rows = _moved(group.column("node").to_numpy(), link_members(_sets(group), cross, percent))
+            if len(rows["a"]):
+                yield pa.RecordBatch.from_arrays([pa.array(rows["a"]), pa.array(rows["b"])], schema=schema)
 
     return work
 
 
-def class_links(docs: DataFrame, classes: DataFrame, limit: Limit) -> DataFrame:
-    """(a, b): links between classes, enough to join all that belong together; named by `node`, without it by `rep`."""
-    lists = materialize(inverted_lists(classes, limit), "lists")
-    node = "node" if "node" in classes.columns else "rep"
-    # Full sets of the listed texts only; they are made again from the text instead of being kept for all rows. The merge
-    # join keeps one plan at every size, and its order by id serves the joins below.
-    listed = lists.select(F.col("rep").alias("doc_id")).distinct().hint("merge")
-    full = (
-        docs.join(listed, "doc_id", "left_semi")
+def _blocks(members: str, shingles: str) -> Column:
+    return F.greatest(F.ceil(F.col(members) / BLOCK_ROWS), F.ceil(F.col(shingles) / BLOCK_SHINGLES), F.lit(1)).cast("int")
+
+
+def _full_sets(docs: DataFrame, reps: DataFrame, limit: Limit) -> DataFrame:
+    """(rep, h1, s): full sets of the texts of some ids; made again from the text instead of being kept for all rows."""
+    return (
+        docs.join(reps, "doc_id", "left_semi")
         .select(F.col("doc_id").cast("long").alias("rep"), shingle_set(F.col("text"), limit).alias("s"))
         .withColumn("h1", F.xxhash64("s"))
         .dropDuplicates(["rep", "h1"])
     )
-    blocks = F.greatest(F.ceil(F.col("members") / BLOCK_ROWS), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
-    names = list(dict.fromkeys(["rep", "h1", node]))
-    placed = in_blocks(lists.select("list", *names, "members", "shingles"), "list", "rep", blocks)
+
+
+def later_tiles(states: DataFrame) -> DataFrame:
+    """(list, pivot, i, j, side, rep, h1, node): the members of long lists that still have to meet, tile by tile.
+
+    Members that link with no pivot meet in pairs of blocks (pivot -1). Those linked with a pivot are one part already;
+    they meet only members from elsewhere that are near enough to that pivot.
+    """
+    ids = ["rep", "h1", "node"]
+    total = [F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles")]
+    alone = states.where("core < 0")
+    sizes = alone.groupBy("list").agg(*total).where("members > 1")
+    met = in_blocks(alone.join(sizes, "list"), "list", "rep", _blocks("members", "shingles"))
+    side = ((F.col("part") == F.col("j")) & (F.col("i") < F.col("j"))).cast("int").alias("side")
+    tiles = met.select("list", F.lit(-1).alias("pivot"), "i", "j", side, *ids)
+
+    at = ["list", "pivot"]
+    own = states.where("core >= 0").withColumn("pivot", F.col("core"))
+    guests = states.withColumn("pivot", F.explode("near"))
+    rows, columns = (
+        side.groupBy(*at).agg(*total).select(*at, _blocks("members", "shingles").alias(name))
+        for side, name in ((own, "rows"), (guests, "columns"))
+    )
+    grid = rows.join(columns, at)
+
+    def dealt(side: DataFrame, number: int, mine: str, my_blocks: str, other: str, other_blocks: str) -> DataFrame:
+        place = F.pmod(F.xxhash64(F.lit(3), "list", "rep"), F.col(my_blocks)).cast("int").alias(mine)
+        every = F.explode(F.sequence(F.lit(0), F.col(other_blocks) - 1)).alias(other)
+        return side.join(grid, at).select(*at, place, every, F.lit(number).alias("side"), *ids)
+
+    return tiles.unionByName(dealt(own, 0, "i", "rows", "j", "columns")).unionByName(
+        dealt(guests, 1, "j", "columns", "i", "rows")
+    )
+
+
+def class_links(docs: DataFrame, classes: DataFrame, limit: Limit) -> DataFrame:
+    """(a, b): links between classes, enough to join all that belong together; named by `node`, without it by `rep`."""
+    if "node" not in classes.columns:
+        classes = classes.withColumn("node", F.col("rep"))
+    lists = materialize(inverted_lists(classes, limit), "lists")
+    # The merge join keeps one plan at every size, and its order by id serves the joins below.
+    full = _full_sets(docs, lists.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), limit)
+    rows = lists.withColumn("blocks", _blocks("members", "shingles")).select(
+        "list",
+        "blocks",
+        F.pmod(F.xxhash64(F.lit(3), "list", "rep"), F.col("blocks")).cast("int").alias("part"),
+        F.lit(-1).alias("pivot"),
+        "rep",
+        "h1",
+        "node",
+    )
+    # The smallest hash of each of some buckets: a bounded number of pivots from an aggregate that starts in the map tasks.
+    bucket = F.pmod(F.xxhash64(F.lit(11), "rep", "h1"), F.lit(PIVOTS)).cast("int").alias("pivot")
+    first = F.min(F.struct(F.xxhash64(F.lit(13), "rep", "h1").alias("hash"), "rep", "h1", "node")).alias("m")
+    picked = rows.where("blocks > 1").groupBy("list", "blocks", bucket).agg(first)
+    everywhere = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part")
+    pivots = picked.select("list", "blocks", everywhere, "pivot", "m.rep", "m.h1", "m.node")
     met = (
-        placed.select("list", "i", "j", "part", *names)
+        rows.unionByName(pivots)
         .join(full, ["rep", "h1"])
-        .select("list", "i", "j", "part", node, "s")
-        .repartition("list", "i", "j")
-        .sortWithinPartitions("list", "i", "j", node)
+        .select("list", "part", "pivot", "blocks", "rep", "h1", "node", "s")
+        .repartition("list", "part")
+        .sortWithinPartitions("list", "part", "pivot", "node")
+    )
+    met = materialize(met.mapInArrow(_first_meeting(limit.percent), MET), "met")
+    links = met.where("b is not null").select("a", "b")
+    states = met.where("list is not null").withColumnRenamed("a", "node")
+    tiles = materialize(later_tiles(states), "tiles")
+    # Few texts are left as a rule; whether they are few enough for a broadcast is known from the written table.
+    rest = _full_sets(docs, tiles.select(F.col("rep").alias("doc_id")).distinct(), limit)
+    later = (
+        tiles.join(rest, ["rep", "h1"])
+        .select("list", "pivot", "i", "j", "side", "node", "s")
+        .repartition("list", "pivot", "i", "j")
+        .sortWithinPartitions("list", "pivot", "i", "j", "side", "node")
     )
-    return met.mapInArrow(_block_links(limit.percent, node), "a long, b long")
+    return links.union(later.mapInArrow(_tile_links(limit.percent), "a long, b long"))
 
 
 KEY = ["n", "h1", "h2"]

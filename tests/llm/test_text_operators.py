@@ -41,7 +41,7 @@ def shingles(text, width=5):
     return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set()
 
 
-def brute_components(texts):
+def brute_components(texts, percent=85):
     sets = [(i, shingles(t)) for i, t in texts]
     root = {i: i for i, _ in texts if i is not None}
 
@@ -51,7 +51,7 @@ def brute_components(texts):
         return x
 
     for (i, a), (j, b) in itertools.combinations(sets, 2):
-        if None not in (i, j) and a and b and 100 * len(a & b) >= 85 * len(a | b):
+        if None not in (i, j) and a and b and 100 * len(a & b) >= percent * len(a | b):
             x, y = sorted((find(i), find(j)))
             root[y] = x
     return {i: find(i) for i in root}
@@ -108,6 +108,65 @@ def test_near_text_blocks_meet(spark, monkeypatch):
     assert {(i, c) for i, _, c, _ in got} == set(want.items())
 
 
+def walked(rng, steps, changes=3, n=120):
+    """Texts of a walk: neighbours are near, the ends are not."""
+    w = prose(rng, n).split(" ")
+    out = []
+    for _ in range(steps):
+        out.append(" ".join(w))
+        for _ in range(changes):
+            w[rng.randrange(n)] = "step" + str(rng.randrange(10**6))
+    return out
+
+
+def test_near_text_chains_in_long_lists(spark, monkeypatch):
+    # Texts that hang together only over others, around and far from the pivots, and families that share lines.
+    monkeypatch.setattr(near_text, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(near_text, "PIVOTS", 2)
+    rng = random.Random(12)
+    texts = walked(rng, 20) + walked(rng, 20, 1)
+    line = prose(rng, 60)
+    texts += [line + " " + t for f in range(3) for t in (lambda b: [edited(rng, b, 2) for _ in range(9)])(prose(rng, 70))]
+    texts += [line + " " + prose(rng, 40 + i) for i in range(12)]
+    rng.shuffle(texts)
+    texts = list(enumerate(texts))
+    for percent in (85, 60):
+        want = brute_components(texts, percent)
+        got = near_rows(near_text.near_duplicates(table_of(spark, texts), near_text.Limit(percent)))
+        assert {(i, c) for i, _, c, _ in got} == set(want.items())
+    assert 3 < len(set(want.values())) < len(texts) - 20
+
+
+def test_pivots_lose_no_link():
+    rng = np.random.default_rng(5)
+    words = rng.integers(0, 2**62, 400)
+    sets = [np.unique(np.where(rng.random(200) < rng.random() * 0.3, rng.integers(0, 2**62, 200), words[:200])) for _ in range(150)]
+    share = lambda a, b: len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+    for percent in (85, 80, 56):
+        pivots = sets[:5]
+        core, near = near_text.around_pivots(pivots, sets, percent)
+        for i, j in itertools.combinations(range(len(sets)), 2):
+            linked = 100 * share(sets[i], sets[j]) >= percent
+            meet = core[i] == core[j] or core[i] in near[j] or core[j] in near[i]
+            assert meet or not linked
+        assert all(100 * share(sets[i], pivots[k]) >= percent for i, k in enumerate(core) if k >= 0)
+        assert core[:5].tolist()[0] == 0 and len(set(core.tolist())) > 2
+
+
+def test_copies_of_a_family_meet_once(spark, monkeypatch):
+    monkeypatch.setattr(near_text, "BLOCK_ROWS", 4)
+    seen = []
+    later = near_text.later_tiles
+    monkeypatch.setattr(near_text, "later_tiles", lambda states: seen.append((states, later(states))) or seen[-1][1])
+    rng = random.Random(13)
+    hub = prose(rng, 400)
+    texts = [(i, edited(rng, hub, 3)) for i in range(60)]
+    got = near_rows(near_text.near_duplicates(table_of(spark, texts)))
+    assert {c for _, _, c, _ in got} == {0}
+    (states, tiles), = seen
+    assert states.count() > 0 and tiles.count() == 0
+
+
 def test_near_text_limit_is_exact(spark):
     # 17 of 20 shingles in common is 85 in 100; 16 of 19 is less.
     words = [f"w{i}" for i in range(40)]
