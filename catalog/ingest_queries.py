@@ -14,7 +14,7 @@ from loadcast.functions.times import strict_to_utc, valid_time
 from loadcast.operators import energy as EN
 from loadcast.operators.quality import append_quality
 from loadcast.session import scratch_folder
-from loadcast.sinks.tables import exported_rows, locale_text, output_columns, safe_part, write_predictions
+from loadcast.sinks.tables import exported_rows, in_one_partition, locale_text, output_columns, safe_part, write_predictions
 from loadcast.sources import scan
 from loadcast.sources.limits import first_n, input_limit_report, limit_input
 from loadcast.sources.warehouse import infer_date_range
@@ -559,8 +559,8 @@ def provenance_rows(spark, sf):
     from loadcast import names as N
 
     path = f"{scratch_folder(spark)}/{uuid.uuid4().hex}/one"
-    rows = _nine(spark, sf)
-    rows.coalesce(1).sortWithinPartitions(F.col(N.ENERGY_COLUMNS[0]).cast("long")).write.options(header=True, sep=";").csv(path)
+    rows = in_one_partition(_nine(spark, sf), F.col(N.ENERGY_COLUMNS[0]).cast("long"))
+    rows.write.options(header=True, sep=";").csv(path)
     return scan.scan_energy(spark, path, fmt="csv").select("source_row", F.col(N.ENERGY_COLUMNS[0]).alias("first_column"))
 
 

@@ -4,16 +4,20 @@ from __future__ import annotations
 
 import json
 from dataclasses import asdict
+from functools import reduce
 from typing import Any, NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadcast import names as N
 from loadcast.plans.forecast import ForecastResult
+from loadcast.session import materialize
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+#: Rows that one task puts in order for a file in order.
+SORT_ROWS = 500_000
 
 
 class Group(NamedTuple):
@@ -87,6 +91,18 @@ def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None) -
     writer.csv(path)
 
 
+def in_one_partition(df: DataFrame, order: Column, sort_rows: int = SORT_ROWS) -> DataFrame:
+    """All rows in order in a single partition, for a format that wants one file, without a task that holds them all.
+
+    Ranges of the order are sorted side by side and written first. The last task only passes their rows on, range by range.
+    """
+    ranges = max(1, -(-df.count() // sort_rows))
+    parts = materialize(df.repartitionByRange(ranges, order).sortWithinPartitions(order), "in_order")
+    files = sorted(parts.inputFiles())
+    frames = [df.sparkSession.read.schema(df.schema).parquet(f) for f in files]
+    return reduce(DataFrame.unionByName, frames, df.limit(0)).coalesce(1)
+
+
 def safe_part(name: str):
     """Part names reduced to letters, digits, '-' and '_'."""
     return F.regexp_replace(F.coalesce(F.col(name).cast("string"), F.lit("none")), r"[^\p{L}\p{N}_-]", "_")

@@ -142,6 +142,19 @@ def test_every_part_has_its_own_header_and_separator(spark, folder):
     assert w == {"Lublin": "1,5", "Kielce": "2.5"}
 
 
+def test_one_file_in_order_from_many_ranges(spark, folder):
+    keys = [(k * 7919) % 5003 for k in range(5003)] + [None, 17, 17]
+    df = spark.createDataFrame([(k, str(k)) for k in keys], "k long, t string").repartition(5)
+    one = OUT.in_one_partition(df, F.col("k"), sort_rows=250)
+    assert one.rdd.getNumPartitions() == 1 and "Sort" not in one._jdf.queryExecution().executedPlan().toString()
+    one.write.options(header=True, sep=";").csv(f"{folder}/one")
+    assert len(os.listdir(f"{folder}/one")) == 4  # the file, _SUCCESS and their checksums
+    back = S._numbered(spark, [f"{folder}/one"], "csv", ";")[0].orderBy("source_row").collect()
+    assert [r.source_row for r in back] == list(range(2, len(keys) + 2))
+    assert [r.t for r in back] == [str(k) for k in sorted(keys, key=lambda k: -1 if k is None else k)]
+    assert OUT.in_one_partition(df.where("k < 0"), F.col("k")).count() == 0
+
+
 def test_parquet_scan_has_row_index(spark, folder):
     spark.range(100).coalesce(1).select(*[F.col("id").cast("string").alias(c) for c in N.ENERGY_COLUMNS]).write.parquet(f"{folder}/e")
     df = S.scan_energy(spark, f"{folder}/e", fmt="parquet")
