@@ -19,11 +19,11 @@ from loadcast.operators import metrics as M
 from loadcast.operators import splits as S
 from loadcast.operators import vintage as V
 from loadcast.operators.baseline import fallback_medians, fill_baseline
-from loadcast.operators.features import feature_spec
+from loadcast.operators.features import FeatureSpec, feature_spec
 from loadcast.operators.lags import add_lag_statistics, add_lags
 from loadcast.operators.medians import grouped_medians
 from loadcast.operators.residual import held_out_from
-from loadcast.operators.residual import fit_residual, usable_rows
+from loadcast.operators.residual import fit_residual, permutation_importance, usable_rows
 
 BIA = [("BIA", "Białystok", "active")]
 MAP = "branch_code string, point string, status string"
@@ -340,3 +340,28 @@ def test_configuration():
     ):
         with pytest.raises(ValueError):
             ForecastConfig(**bad).validate()
+
+
+class FirstNumber:
+    """A correction that is its numeric input."""
+
+    def __init__(self):
+        self.spec = FeatureSpec(["c"], ["x"])
+
+    def encode(self, df):
+        return df.withColumn("c_enc", F.lit(0.0))
+
+    def score(self, df, matrix, out):
+        return df.withColumn(out, F.get(matrix, F.lit(1)))
+
+
+def test_importance_sends_no_rows_through_the_driver(spark):
+    rows = spark.range(400).select(
+        F.lit("s").alias("source_sheet"), F.col("id").alias("source_row"), F.lit("a").alias("c"), F.col("id").cast("double").alias("x"),
+        F.col("id").cast("double").alias("actual"), F.lit(0.0).alias("baseline"),
+    )
+    got = permutation_importance(FirstNumber(), rows, bucket_rows=50)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "[_b" in plan and not [x for x in plan.splitlines() if "BroadcastHashJoin" in x and "[_b" in x]
+    found = {r.feature: r.importance for r in got.collect()}
+    assert found["c"] == 0 and 90 < found["x"] < 180  # a third of the range, for rows of any place
