@@ -540,8 +540,9 @@ def quoted_records(spark, sf):
         .otherwise(F.concat(F.lit('5" of '), key))
     )
     cells = [c.alias(n) for c, n in zip([key, awkward, *[customer] * 7], N.ENERGY_COLUMNS, strict=True)]
-    rows = table(spark, sf, "orders").select(*cells, (number % 7).alias("k"), number.alias("place")).repartition(7, "k")
-    rows = rows.sortWithinPartitions("k", "place").drop("place")
+    rows = table(spark, sf, "orders").select(*cells, (number % 7).alias("k"), number.alias("place"))
+    # Ranges finer than the parts, so that no task writes two of them.
+    rows = rows.repartitionByRange(28, "k").sortWithinPartitions("k", "place").drop("place")
     options = {"header": True, "sep": ";", "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     rows.write.partitionBy("k").options(**options).csv(root)
     back = scan.scan_energy(spark, root, fmt="csv")

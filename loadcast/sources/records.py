@@ -6,7 +6,8 @@ lines, the state at a split's begin from the maps of the splits before it in the
 A record begins at a line that starts outside. Lines that are a record by themselves stay where they are; only the lines of
 longer records move, to be put together. A record's number is its place in the file, so no second pass numbers the rows.
 
-One file may have any size: no task holds more than a split, and what is carried over splits is one row for each.
+One file may have any size: no task holds more than a split, and what is carried over splits is one row for each. Lines are
+searched for quotes and put in order once, and written with what was found under both assumptions.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from loadcast.session import materialize
+
 #: A cell opens with a quote at its begin; two quotes inside are one; after the closing quote text goes on to the separator.
 _CLOSE = r'[^"]*+(?:""[^"]*+)*+"(?!")'
 
@@ -94,12 +97,14 @@ def cut_records(lines: DataFrame, sep: str) -> DataFrame:
         return F.when(F.col(s), F.col("_i")).otherwise(F.col("_o"))
 
     def begun(s: str) -> Column:
-        return F.count_if(~F.col(s) & ~F.col("_blank"))
+        """Records that begin in the split up to a line."""
+        return F.sum((~F.col(s) & ~F.col("_blank")).cast("long")).over(upto)
 
+    coded = materialize(coded.withColumns({"_n0": begun("_s0"), "_n1": begun("_s1")}), "lines")
     splits = coded.groupBy(*split).agg(
         F.max_by(F.struct(after("_s0").alias("e0"), after("_s1").alias("e1")), "_at").alias("end"),
-        begun("_s0").alias("n0"),
-        begun("_s1").alias("n1"),
+        F.max("_n0").alias("n0"),
+        F.max("_n1").alias("n1"),
     )
     # The same composition over the splits of a file, one row each.
     in_file = W.partitionBy("_file").orderBy("_block")
@@ -122,12 +127,12 @@ def cut_records(lines: DataFrame, sep: str) -> DataFrame:
     last = F.row_number().over(W.partitionBy("_file").orderBy(F.col("_block").desc())) == 1
     end = F.when(F.col("_start"), F.col("end.e1")).otherwise(F.col("end.e0"))
     splits = splits.withColumn("_open", last & end).withColumn("_open", F.max("_open").over(W.partitionBy("_file")))
-    placed = coded.join(splits.select(*split, "_start", "_before", "_open"), split)
+    # One row for each split, found once; its size on disk lets Spark send it to the lines instead of shuffling them.
+    placed = coded.join(materialize(splits.select(*split, "_start", "_before", "_open"), "splits"), split)
     placed = placed.withColumn("_s", F.when(F.col("_start"), F.col("_s1")).otherwise(F.col("_s0")))
-    # Blank lines between records go here; the order of a split is one window again, on the same distribution.
+    # Blank lines between records go here.
     placed = placed.where(F.col("_s") | ~F.col("_blank")).withColumn("_e", after("_s"))
-    number = F.col("_before") + F.sum((~F.col("_s")).cast("long")).over(upto)
-    placed = placed.withColumn("record", F.coalesce(number, F.col("_before")))
+    placed = placed.withColumn("record", F.col("_before") + F.when(F.col("_start"), F.col("_n1")).otherwise(F.col("_n0")))
     whole = F.regexp_replace("line", "\r$", "")
     single = placed.where(~F.col("_s") & ~F.col("_e")).select("_name", "_file", "record", whole.alias("value"))
     refuse = F.raise_error(F.concat(F.lit("a quoted cell has no end in "), F.col("_file")))

@@ -19,6 +19,7 @@ from loadcast.session import tune
 from loadcast.sinks import tables as OUT
 from loadcast.sinks.vocabulary import to_source_vocabulary
 from loadcast.sources import limits as L
+from loadcast.sources import records as R
 from loadcast.sources import scan as S
 from loadcast.sources import warehouse as WH
 
@@ -110,6 +111,14 @@ def test_records_over_line_breaks_and_splits(spark, folder, split):
         assert found[key] == cells, key
 
 
+def test_lines_are_read_once_to_be_cut(spark, folder):
+    put(f"{folder}/in/Dane_01.csv", ["a;b", *[f'{k};"x\n\n;{k}"' for k in range(50)]])
+    records = R.cut_records(R.text_lines(spark, [f"{folder}/in"]), ";")
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan.split("Join")[0] and f"{folder}/in" not in " ".join(records.inputFiles())
+    assert sorted((r.record, r.value) for r in records.collect())[:2] == [(1, "a;b"), (2, '0;"x\n\n;0"')] and records.count() == 51
+
+
 def test_headers_over_lines_and_open_cells(spark, folder):
     for part, name in enumerate(["last", "last\none"]):
         with open(f"{folder}/p{part}.csv", "w", newline="") as f:
