@@ -693,3 +693,32 @@ def test_group_stream_cuts_at_keys():
     rows = [(1, 0), (1, 0), (1, 1), (2, 0), (2, 0), (2, 0), (3, 0)]
     batches = [pa.RecordBatch.from_pydict({"a": [r[0] for r in part], "b": [r[1] for r in part]}) for part in (rows[:1], rows[1:5], [], rows[5:]) if part]
     assert [len(t) for t in sorted_groups(iter(batches), ["a", "b"])] == [2, 1, 3, 1]
+
+
+def test_detector_learns_from_all_windows(spark):
+    rng = random.Random(6)
+    key = lambda n: "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdef0123456789") for _ in range(n))
+    rows = [(i, f"{prose(rng, 4)} token={key(20)} {prose(rng, 3)} secret: {key(16)} {prose(rng, 3).replace(' ', '-')}") for i in range(2_000)]
+    found = table_of(spark, rows).select(secrets.scan(F.col("text")).alias("scan"))
+    net = secrets.train_on(found, secrets.SecretOptions(epochs=2))
+    # A fifth of the 4,000 secrets is only counted, one window of each: none is left out.
+    assert net.unseen.secrets == net.unseen.windows == 800 and net.unseen.found >= 760
+    distinct = found.select(F.explode("scan.open")).distinct().count()
+    assert abs(net.unseen.others - distinct / 5) < distinct / 50 and net.unseen.others_found < net.unseen.others / 20
+
+
+def test_one_share_is_plain_training(spark):
+    rng = random.Random(7)
+    rows = [(i, f"{prose(rng, 3)} token={rng.getrandbits(64):016x} {prose(rng, 3).replace(' ', '-')} {prose(rng, 1)}{i}{i}{i}{i}{i}") for i in range(150)]
+    found = table_of(spark, rows).select(secrets.scan(F.col("text")).alias("scan")).persist()
+    scans = [secrets.scan_text(t) for _, t in rows]
+    digit = lambda w: any(48 <= c < 58 for c in w[0][secrets.BEFORE : secrets.BEFORE + secrets.INSIDE])
+    open_of = sorted({(w, k) for s in scans for w, k in zip(s.open, s.open_of, strict=True) if k is not None}, key=lambda p: (not digit(p), p))
+    found_of = sorted({p for s in scans for p in zip(s.found, s.found_of, strict=True)})
+    options = secrets.SecretOptions(epochs=2)
+    plain = secrets.train(*([w for w, _ in p] for p in (found_of, open_of)), options, *([k for _, k in p] for p in (found_of, open_of)))
+    whole = secrets.train_on(found, options)
+    assert all(np.allclose(plain.p[k], whole.p[k], atol=1e-9) for k in plain.p)
+    assert plain.unseen == whole.unseen and plain.threshold == pytest.approx(whole.threshold, abs=1e-4)
+    parts = secrets.train_on(found, secrets.SecretOptions(epochs=2, share=100))
+    assert parts.unseen.windows == whole.unseen.windows and parts.unseen.others == whole.unseen.others
