@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from loadcast.operators import enrich as J
 from loadcast.operators import metrics as M
+from loadcast.operators import splits as S
 from loadcast.operators.encode import model_matrix
 from loadcast.operators.features import feature_spec
 from loadcast.operators.lags import add_lag_statistics, add_lags
@@ -125,3 +126,17 @@ def test_broadcast_only_below_the_bound(spark):
         assert "Broadcast" not in plan(joined) and joined.count() == 4000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_windows_are_told_by_generated_code(spark):
+    """A lambda is evaluated outside of generated code, for every row and use."""
+    i = F.col("id")
+    direction = F.when(i % 3 == 0, "IMPORT").when(i % 3 == 1, "EXPORT").alias("direction")
+    rows = spark.range(2000).select(direction, F.lit(1.0).alias("actual"), F.timestamp_seconds(i * 3600).alias("model_utc"))
+    folds = S.expanding_splits(dt.datetime(1970, 3, 1), 2, 3)
+    uses = S.scoring_roles(rows, [(f, d, k, True) for k, f in enumerate(folds) for d in ("IMPORT", "EXPORT")], 4)
+    sets = S.training_sets(rows, folds, 4)
+    assert "lambda" not in plan(uses).lower() and "lambda" not in plan(sets).lower()
+    # Six days are tested; the calibration windows of four days before them overlap by one. A third has no direction.
+    assert {(r.role, r["count"]) for r in uses.groupBy("role").count().collect()} == {("TEST", 96), ("CAL", 128)}
+    assert [r.set_id for r in sets.select("set_id").distinct().orderBy("set_id").collect()] == ["CAL_1", "CAL_2", "FINAL", "TEST_1", "TEST_2"]
