@@ -11,9 +11,10 @@ from loadcast.config import ForecastConfig
 from loadcast.operators import quality as Q
 from loadcast.operators.energy import unknown_branches
 from loadcast.operators.metrics import kpi_summary
-from loadcast.plans.forecast import ForecastResult, run_forecast
+from loadcast.plans.forecast import ForecastResult, run_forecast, with_predictions
 from loadcast.plans.package import ForecastPackage, build_package, save_package
 from loadcast.plans.prepare import join_prepared, prepare_energy
+from loadcast.session import materialize
 from loadcast.sinks import tables as OUT
 from loadcast.sources import scan
 from loadcast.sources.warehouse import empty_weather, infer_date_range, warehouse_extract
@@ -81,6 +82,8 @@ def _finish(energy, joined, quality, mapping, source, output_path, config, csv)
     spark = joined.sparkSession
     # Lags need energy only, so their history is read without the weather join.
     result = run_forecast(joined, config, history=energy)
+    # Many outputs read the predictions, so they are written once.
+    result = with_predictions(result, materialize(result.predictions, "predictions"))
     predictions = result.predictions
     quality = Q.append_quality(
         quality,

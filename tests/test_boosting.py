@@ -119,3 +119,32 @@ def test_joined_trees_score_as_each_model_does(spark):
     assert not B.same_steps([models[0], other])
     with pytest.raises(ValueError):
         B.joined_trees(spark, [models[0], other])
+
+
+def test_array_inputs_are_stored_as_vectors(spark):
+    rows = [([float(k % 7), float(k % 3)], float(k % 5), False) for k in range(200)]
+    arrays = spark.createDataFrame(rows, "features array<double>, label double, held_out boolean")
+    vectors = arrays.withColumn("features", array_to_vector("features"))
+    options = B.BoostOptions(max_iter=2, step_size=0.5, max_depth=2, min_leaf_rows=1)
+    one, other = B.fit_median_trees(arrays, options), B.fit_median_trees(vectors, options)
+    assert [t.toDebugString.split("\n", 1)[1:] for t in one.trees] == [t.toDebugString.split("\n", 1)[1:] for t in other.trees]
+
+
+def test_trees_on_the_inputs_they_read(spark):
+    """A score has to pass on only the inputs that some split reads, and stays the same."""
+    rows = [([0.0, float(k % 7), 1.0, float(k % 3), 2.0], float(k % 7 + k % 3), False) for k in range(200)]
+    df = spark.createDataFrame(rows, "features array<double>, label double, held_out boolean")
+    model = B.fit_median_trees(df, B.BoostOptions(max_iter=3, step_size=0.5, max_depth=2, min_leaf_rows=1))
+    small, used = B.on_used_inputs(model)
+    assert set(used) <= {1, 3} and small.trees[0].numFeatures == len(used)
+    picked = F.array(*[F.get("features", F.lit(k)) for k in used])
+    whole = model.transform(df.select(array_to_vector("features").alias("features")))
+    part = small.transform(df.select(array_to_vector(picked).alias("features")))
+    assert [r[0] for r in whole.select("prediction").collect()] == [r[0] for r in part.select("prediction").collect()]
+
+
+def test_trees_without_a_split_keep_one_input(spark):
+    df = spark.createDataFrame([([1.0, 2.0], 3.0, False)] * 5, "features array<double>, label double, held_out boolean")
+    small, used = B.on_used_inputs(B.fit_median_trees(df, B.BoostOptions(max_iter=1, min_leaf_rows=1)))
+    assert used == [0]
+    assert small.transform(df.select(array_to_vector(F.slice("features", 1, 1)).alias("features"))).first().prediction == 3.0

@@ -365,3 +365,33 @@ def test_importance_sends_no_rows_through_the_driver(spark):
     assert "[_b" in plan and not [x for x in plan.splitlines() if "BroadcastHashJoin" in x and "[_b" in x]
     found = {r.feature: r.importance for r in got.collect()}
     assert found["c"] == 0 and 90 < found["x"] < 180  # a third of the range, for rows of any place
+
+
+def _shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_wide_rows_look_small_tables_up_without_a_shuffle(spark):
+    """Encodings and medians of a few categories are sent to the rows; the rows themselves stay where they are."""
+    rows = spark.createDataFrame([("a", k, 1.0 * k, float(k) if k % 2 else None) for k in range(20)], "c string, hour int, actual double, baseline double")
+    rows = rows.withColumns({"client": F.col("c"), "direction": F.col("c"), "branch_code": F.col("c")})
+    fold = E.row_fold(["hour"])
+    cells = E.target_cells(rows, ["c"], "actual", fold)
+    table = E.encoding_table(cells, ["c"])
+    scanned, known = E.apply_encoding(rows, table, ["c"], 0.0, fold), E.apply_encoding(rows, table, ["c"], 0.0, fold, combos=cells)
+    assert _shuffles(scanned) == _shuffles(known) == 0
+    assert sorted(scanned.collect()) == sorted(known.collect()) and known.where("c_enc is null").count() == 0
+    filled = fill_baseline(rows, fallback_medians(rows))
+    assert _shuffles(filled) == 0
+    assert {r.hour: r.baseline_filled for r in filled.collect()} == {k: float(k) for k in range(20)}
+
+
+def test_baselines_where_the_medians_are_many(spark, monkeypatch):
+    """Beyond the bound for sending them, the other way gives the same rows."""
+    rows = spark.createDataFrame([("a", k % 3, 1.0 * k, float(-k) if k % 2 else None) for k in range(30)], "client string, hour int, actual double, baseline double")
+    rows = rows.withColumns({"direction": F.col("client"), "branch_code": F.lit(None).cast("string")})
+    sent = fill_baseline(rows, fallback_medians(rows)).collect()
+    monkeypatch.setattr("loadcast.operators.baseline.few_rows", lambda df: False)
+    joined = fill_baseline(rows, fallback_medians(rows)).collect()
+    key = lambda r: (r.actual, r.baseline_filled)
+    assert sorted(map(key, sent)) == sorted(map(key, joined))
