@@ -23,7 +23,7 @@ from loadcast.operators.features import FeatureSpec, feature_spec
 from loadcast.operators.lags import add_lag_statistics, add_lags
 from loadcast.operators.medians import grouped_medians
 from loadcast.operators.residual import held_out_from
-from loadcast.operators.residual import fit_residual, permutation_importance, usable_rows
+from loadcast.operators.residual import _with_donors, fit_residual, permutation_importance, usable_rows
 
 BIA = [("BIA", "Białystok", "active")]
 MAP = "branch_code string, point string, status string"
@@ -367,6 +367,83 @@ def test_importance_sends_no_rows_through_the_driver(spark):
     assert found["c"] == 0 and 90 < found["x"] < 180  # a third of the range, for rows of any place
 
 
+def _residual_rows(spark, n=600):
+    """Rows whose target follows `x` and the category; `z` tells nothing, `x` is sometimes missing, every fifth key comes twice."""
+    rows = []
+    for k in range(n):
+        x = None if k % 11 == 0 else float(k * 7919 % 101)
+        actual = (40.0 if x is None else x) + 10.0 * (k % 3)
+        rows.append(("s", k - k % 5 % 2, "abc"[k % 3], x, 1.0, actual, 0.0, dt.datetime(2025, 1, 1) + dt.timedelta(hours=k)))
+    names = "source_sheet string, source_row int, c string, x double, z double, actual double, baseline double, model_utc timestamp"
+    return spark.createDataFrame(rows, names)
+
+
+def _plain_importance(model, rows, repeats, seed, buckets):
+    """The rise of the error, one swapped column after the other, rows put in order in Python."""
+    keyed = rows.withColumn("h", F.xxhash64("source_sheet", "source_row"))
+    draws = [F.struct(F.pmod(F.xxhash64("h", F.lit(seed - 1 - r)), F.lit(buckets)), F.xxhash64("h", F.lit(seed + r))) for r in range(repeats)]
+    found = keyed.withColumn("draws", F.array(*draws)).collect()
+    tagged = [("", 0, r.c, r.x, r.z, r.actual) for r in found]
+    for repeat in range(repeats):
+        bucket = lambda r: r.draws[repeat][0]  # noqa: B023, E731
+        for b in {bucket(r) for r in found}:
+            inside = [r for r in found if bucket(r) == b]
+            own = sorted(inside, key=lambda r: (r.h, r.source_row))
+            drawn = sorted(inside, key=lambda r: (r.draws[repeat][1], r.source_row))  # noqa: B023
+            for feature in ("c", "x", "z"):
+                for r, o in zip(own, drawn, strict=True):
+                    swapped = [o[f] if f == feature else r[f] for f in ("c", "x", "z")]
+                    tagged.append((feature, repeat, *swapped, r.actual))
+    frame = rows.sparkSession.createDataFrame(tagged, "feature string, repeat int, c string, x double, z double, actual double")
+    error = F.avg(F.abs(F.col("correction") - F.col("actual")))
+    errors = {(r.feature, r.repeat): r.e for r in model.predict(frame).groupBy("feature", "repeat").agg(error.alias("e")).collect()}
+    return {f: [errors[(f, k)] - errors[("", 0)] for k in range(repeats)] for f in ("c", "x", "z")}
+
+
+def test_importance_swaps_what_trees_read_without_a_join(spark):
+    rows = _residual_rows(spark).dropDuplicates(["source_sheet", "source_row"])
+    spec = FeatureSpec(["c"], ["x", "z"])
+    config = ForecastConfig(min_train_rows=20, max_iter=8, step_size=0.5, backend="depth_limited", tree_depth=3)
+    model = fit_residual(rows, spec, config)
+    got = permutation_importance(model, rows, bucket_rows=100)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("hashpartitioning(_b") == 2
+    want = _plain_importance(model, rows, 2, 42, rows.count() // 100)
+    found = {r.feature: (r.importance, r.spread) for r in got.collect()}
+    assert set(found) == {"c", "x", "z"} and found["z"] == (0.0, 0.0)
+    assert found["c"][0] > 1 and found["x"][0] > 10
+    for f, rises in want.items():
+        assert found[f] == pytest.approx((sum(rises) / 2, abs(rises[0] - rises[1]) / 2), abs=1e-9)
+
+
+def test_importance_of_repeated_keys_and_of_no_rows(spark):
+    """Repeated keys are rows like any other; without rows every feature is NULL, and NaN where the error itself is."""
+    rows = _residual_rows(spark)
+    spec = FeatureSpec(["c"], ["x", "z"])
+    model = fit_residual(rows, spec, ForecastConfig(min_train_rows=20, max_iter=2, backend="depth_limited", tree_depth=2))
+    count = lambda df: {r.feature: r.importance for r in permutation_importance(model, df, bucket_rows=100).collect()}
+    twice = count(rows)
+    assert twice["x"] > 0 and twice["z"] == 0
+    assert count(rows.where("false")) == {"c": None, "x": None, "z": None}
+    odd = count(rows.withColumn("actual", F.when(F.col("source_row") < 2, F.lit(float("nan"))).otherwise(F.col("actual"))))
+    assert len(odd) == 3 and all(v != v for v in odd.values())
+
+
+def test_donors_are_the_rows_of_the_bucket(spark):
+    """Every row of a bucket gives its inputs to one row of it, whatever the keys."""
+    rows = spark.range(500).select(
+        F.array(F.col("id").cast("double")).alias("_inputs"), (F.col("id") * 1.0).alias("residual_target"), F.lit("s").alias("source_sheet"),
+        F.when(F.col("id") % 3 > 0, F.col("id") % 50).alias("source_row"),
+    )
+    rows = rows.withColumn("_h", F.xxhash64("source_sheet", "source_row"))
+    met = _with_donors(rows, 7, 42, 1).collect()
+    assert sorted(r._inputs[0] for r in met) == sorted(r._other[0] for r in met) == [float(k) for k in range(500)]
+    assert all(r._inputs[0] == r.residual_target and r._repeat == 1 for r in met)
+    dealt = rows.select(F.col("_inputs")[0], F.pmod(F.xxhash64("_h", F.lit(40)), F.lit(7))).collect()
+    bucket = {x: b for x, b in dealt}
+    assert all(bucket[r._inputs[0]] == bucket[r._other[0]] for r in met) and any(r._inputs != r._other for r in met)
+
+
 def _shuffles(df):
     return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
