@@ -130,6 +130,16 @@ def test_array_inputs_are_stored_as_vectors(spark):
     assert [t.toDebugString.split("\n", 1)[1:] for t in one.trees] == [t.toDebugString.split("\n", 1)[1:] for t in other.trees]
 
 
+def test_leaf_medians_and_errors_read_no_inputs(spark, monkeypatch):
+    """Per tree the inputs are read once for the leaves; medians come from the leaves alone."""
+    plans, real = [], B.leaf_medians
+    monkeypatch.setattr(B, "leaf_medians", lambda rows: plans.append(rows._jdf.queryExecution().optimizedPlan().toString()) or real(rows))
+    rows = [([float(k % 7), float(k % 3)], float(k % 5), k > 150) for k in range(200)]
+    df = spark.createDataFrame(rows, "features array<double>, label double, held_out boolean")
+    B.fit_median_trees(df, B.BoostOptions(max_iter=2, step_size=0.5, max_depth=2, min_leaf_rows=1))
+    assert len(plans) == 2 and not [p for p in plans if "features" in p]
+
+
 def test_trees_on_the_inputs_they_read(spark):
     """A score has to pass on only the inputs that some split reads, and stays the same."""
     rows = [([0.0, float(k % 7), 1.0, float(k % 3), 2.0], float(k % 7 + k % 3), False) for k in range(200)]
